@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.sources.workspace import written
+
 HOT_SHARE = 1000  # a key is hot when it holds more than 1/1000 of all rows
 HOT_SLOTS = 64  # tasks that share the rows of one hot key
 
@@ -24,7 +26,10 @@ def join_per_key(
     the total, so broadcasting them is bounded at any data size. Rows of a hot key are spread over
     HOT_SLOTS slots by a hash of `row_id`, and the key's single row is repeated once per slot. Each
     row still meets its key exactly once, so the result is the plain join.
+
+    `per_key` is written once, because it is read four times and usually aggregates all the rows.
     """
+    per_key = written(per_key, "per-key")
     total = per_key.agg(F.sum(weight)).scalar()
     hot = per_key.where(F.col(weight) * HOT_SHARE > total).select(key, F.lit(HOT_SLOTS).alias("_slots"))
     hot = F.broadcast(hot)

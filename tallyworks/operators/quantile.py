@@ -59,8 +59,9 @@ def exact_quantile(
     rank, size, lo, hi = rank_rule(p, facts.total), facts.size, facts.lo, facts.hi
 
     while size > task_rows:
-        share = (F.col("value") - lo) / (hi - lo)
-        bucket = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+        place = F.floor((F.col("value") - lo) / (hi - lo) * BUCKETS)
+        last = F.lit(BUCKETS - 1)
+        bucket = F.when(F.col("value") == hi, last).otherwise(F.least(place, last)).cast("int")
         histogram = counted.groupBy(bucket.alias("bucket")).agg(
             F.sum("n").alias("n"),
             F.count("n").alias("size"),

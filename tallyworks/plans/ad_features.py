@@ -73,12 +73,14 @@ def event_features(ads: DataFrame) -> DataFrame:
 
 
 def event_features_two_tables(ads: DataFrame) -> DataFrame:
-    """One row per event: view days and click rates from two tables; ads never viewed have no days.
+    """One row per event: view days and click rates as from two tables, so that an ad that was never
+    viewed has no day count at all instead of 0.
 
-    The two tables are joined with each other first, one row per ad, so the events are joined once.
+    Both statistics come out of the same pass over the events and are joined back together.
     """
-    rates = ads.groupBy("ad_id").agg(F.count(F.lit(1)).alias("events"), views(), clicks())
-    per_ad = with_ctr(rates).join(renamed_view_days(ads), "ad_id", "left")
+    events = F.count(F.lit(1)).alias("events")
+    per_ad = with_ctr(ads.groupBy("ad_id").agg(events, views(), clicks(), view_days()))
+    per_ad = per_ad.withColumn("days_count", F.nullif("day_count", F.lit(0))).drop("day_count")
     return _onto_events(ads, per_ad).select(*AD_COLUMNS, "days_count", "ctr")
 
 
