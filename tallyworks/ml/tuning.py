@@ -15,6 +15,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SEED = 42
 TRAIN_RATIO = 0.8
@@ -81,6 +82,20 @@ def settings_count(settings: dict[str, list]) -> int:
     return len(list(product(*settings.values())))
 
 
+GRIDS = {"joint": JOINT_GRID, "per family": FAMILY_GRID, "three-class forest": {"rf": FOREST_GRID}}
+
+
+def grid_sizes(rows: DataFrame) -> DataFrame:
+    """Settings per grid and family, with the number of rows each of them is fitted on or scored with."""
+    sizes = [
+        F.struct(F.lit(grid).alias("grid"), F.lit(family).alias("family"), F.lit(settings_count(chosen)).alias("settings"))
+        for grid, families in GRIDS.items()
+        for family, chosen in families.items()
+    ]
+    counted = rows.agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select(F.inline(F.array(*sizes)), "rows")
+
+
 def rmse(label: str = "ctr") -> RegressionEvaluator:
     return RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
 

@@ -634,6 +634,15 @@ MODELS = {
                cast(day_count as double) as f5
         from features""",
     ),
+    "grid_sizes": on(
+        "features",
+        """
+        select grid, family, cast(settings as int) as settings, n as rows
+        from (values ('joint', 'lr', 1), ('joint', 'gbt', 24), ('joint', 'rf', 36), ('joint', 'dt', 27),
+                     ('per family', 'dt', 27), ('per family', 'rf', 27), ('per family', 'gbt', 18),
+                     ('three-class forest', 'rf', 56)) as t(grid, family, settings),
+             (select count(ctr) as n from features)""",
+    ),
     "linreg_simple": """
         select round(slope, 4) as slope, round(intercept, 4) as intercept,
                round(sqrt(avg(power(l_extendedprice - (slope * l_quantity + intercept), 2))), 3) as rmse,

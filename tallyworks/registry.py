@@ -266,6 +266,7 @@ FLOWS: dict[str, Query] = {
 
 MODELS: dict[str, Query] = {
     "assemble_features": over(vectors.assembled, ctr_rows),
+    "grid_sizes": over(lambda features: tuning.grid_sizes(vectors.labelled(features)), ctr_rows),
     "linreg_simple": over(models.price_line, "lineitem"),
     "linreg_fit": over(models.price_coefficients, "lineitem"),
     "linreg_summary": over(models.price_summary, "lineitem"),
