@@ -25,7 +25,7 @@ from tallyworks.ml.vectors import assembler, labelled, middle_columns
 from tallyworks.operators.splits import seeded_parts
 from tallyworks.plans import passengers
 from tallyworks.sources.files import write_csv
-from tallyworks.sources.workspace import new_folder, written
+from tallyworks.sources.workspace import new_folder, spread, written
 
 RESULT_SCHEMA = "family string, params string, validation_rmse double, test_rmse double"
 
@@ -104,7 +104,7 @@ def model_round_trip(passenger_rows: DataFrame) -> DataFrame:
             RandomForestClassifier(labelCol="Survived", seed=SEED),
         ]
     )
-    model = pipeline.fit(seeded_parts(rows, {"train": 0.8, "validate": 0.2}, SEED)["train"])
+    model = pipeline.fit(spread(seeded_parts(rows, {"train": 0.8, "validate": 0.2}, SEED)["train"]))
     path = new_folder(spark, "forest")
     model.write().overwrite().save(path)
     before = model.transform(rows).select("row_id", F.col("prediction").alias("before"))

@@ -129,3 +129,11 @@ def test_approximate_count_is_close(spark, sf_dir):
         registry.QUERIES[name](spark, sf_dir).first()[0] for name in ("click_first_ads", "approx_click_first")
     )
     assert abs(approximate - exact) <= 0.15 * exact
+
+
+def test_accuracy_equals_the_evaluator(spark):
+    rows = [(0.0, 0), (1.0, 1), (1.0, 0), (2.0, 2)]
+    scored = spark.createDataFrame(rows, "prediction double, label int")
+    row = models.scored_row("m", "label", scored).first()
+    exact = models.accuracy("label").evaluate(scored.withColumn("label", F.col("label").cast("double")))
+    assert (row.test_rows, row.accuracy, row.error) == (4, exact, 1 - exact) == (4, 0.75, 0.25)
