@@ -49,16 +49,13 @@ def clicks() -> Column:
 def daily_stats(ads: DataFrame) -> DataFrame:
     """Events, views, clicks, distinct ads and campaigns per date.
 
-    Two distinct counts over raw events would multiply every event row; over one row per
-    (date, ad, campaign) they are cheap.
+    One exchange: the distinct ids of a date are combined in each task and spread by (date, id), so
+    neither a busy date nor a busy ad meets a single task.
     """
-    per_ad = ads.groupBy("date", "ad_id", "campaign_union_id").agg(
-        F.count("event").alias("events"), views(), clicks()
-    )
-    return per_ad.groupBy("date").agg(
-        F.sum("events").alias("all_events"),
-        F.sum("views").alias("views"),
-        F.sum("clicks").alias("clicks"),
+    return ads.groupBy("date").agg(
+        F.count("event").alias("all_events"),
+        views(),
+        clicks(),
         F.count_distinct("ad_id").alias("unique_ads"),
         F.count_distinct("campaign_union_id").alias("unique_campaigns"),
     )
@@ -119,17 +116,11 @@ def spike_ads_ranked(ads: DataFrame, day: datetime.date = SPIKE_DAY) -> DataFram
 def top_spike_ads_daily(ads: DataFrame, day: datetime.date = SPIKE_DAY, k: int = 5) -> DataFrame:
     """Daily numbers of the k largest ads seen on the day.
 
-    The days travel with the ad (at most one entry per calendar day), so the top-k keeps them and the
-    events are read once; the alternative reads them a second time to semi-join the k ads.
+    The ranking shuffles one row per ad; its k ids are broadcast (never more than k rows), so the
+    second scan keeps only their events before anything else is shuffled.
     """
-    day_row = F.struct("date", "all_events", "views", "clicks")
-    per_ad = ad_days(ads).groupBy("ad_id").agg(
-        F.sum("all_events").alias("total"),
-        F.max(F.col("date") == F.lit(day)).alias("seen"),
-        F.collect_list(day_row).alias("days"),
-    )
-    top = per_ad.where("seen").orderBy(F.desc("total"), "ad_id").limit(k)
-    return top.select("ad_id", F.inline("days")).orderBy(F.desc("ad_id"), "date")
+    largest = F.broadcast(spike_ads_ranked(ads, day).limit(k).select("ad_id"))
+    return ad_days(ads.join(largest, "ad_id", "left_semi")).orderBy(F.desc("ad_id"), "date")
 
 
 def spike_diagnosis(ads: DataFrame, day: datetime.date = SPIKE_DAY) -> DataFrame:
@@ -286,12 +277,12 @@ def max_platforms_per_ad(ads: DataFrame) -> DataFrame:
 def platform_sets(ads: DataFrame) -> DataFrame:
     """Share of all ads per combination of platforms they were viewed on.
 
-    (ad, platform) pairs are made unique first, so each array has at most one entry per platform.
-    Ads without views stay in as an empty set until the total is known.
+    A set holds each platform once, in the tasks' partial results too, so its size is bounded by the
+    number of platforms and not by the events of the ad. Ads without views stay in as an empty set
+    until the total is known.
     """
-    pairs = ads.groupBy("ad_id", "platform").agg(F.max(is_view()).alias("viewed"))
-    seen_on = F.collect_list(F.when(F.col("viewed"), F.col("platform")))
-    per_ad = pairs.groupBy("ad_id").agg(F.array_sort(seen_on).alias("platforms"))
+    seen_on = F.collect_set(F.when(is_view(), F.col("platform")))
+    per_ad = ads.groupBy("ad_id").agg(F.array_sort(seen_on).alias("platforms"))
     sets = per_ad.groupBy("platforms").agg(F.count(F.lit(1)).alias("ads"))
     sets = sets.withColumn("sum_ads", F.sum("ads").over(Window.partitionBy()))
     shares = sets.where(F.size("platforms") > 0).select(
