@@ -40,6 +40,17 @@ def days_between(start: Column, end: Column) -> Column:
     return F.datediff(F.to_date(end), F.to_date(start))
 
 
+def hour_number(time: Column, zoned: bool) -> Column:
+    """Number of the whole hour a time lies in, free of clock changes in the session's time zone.
+
+    `zoned` tells a timestamp (an instant) from a timestamp without a zone (a wall-clock reading).
+    """
+    if zoned:
+        seconds = F.unix_seconds(time)
+        return F.floor(seconds / 3600)
+    return F.datediff(F.to_date(time), F.lit("1970-01-01").cast("date")) * 24 + F.hour(time)
+
+
 def first_word(text: Column) -> Column:
     return F.split(text, " ", 2)[0]
 

@@ -17,6 +17,7 @@ from tallyworks.functions.columns import (
     day_key,
     days_between,
     flag,
+    hour_number,
     percent,
     ratio,
     sum_where,
@@ -364,9 +365,10 @@ def late_changes(ads: DataFrame) -> DataFrame:
     (ad, hour) are compared, and no window ever runs over the raw events of a hot ad. Events at the
     same time are taken as view before click.
     """
+    hour = hour_number(F.col("time"), dict(ads.dtypes)["time"] == "timestamp")
     last_click = F.max(F.when(is_click(), F.col("time")))
     last_view = F.max(F.when(is_view(), F.col("time")))
-    hours = ads.groupBy("ad_id", F.date_trunc("HOUR", "time").alias("hour")).agg(
+    hours = ads.groupBy("ad_id", hour.alias("hour")).agg(
         F.min("time").alias("first_time"),
         F.max("time").alias("last_time"),
         click_comes_first().alias("starts_with_click"),

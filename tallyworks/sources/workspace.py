@@ -42,8 +42,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def spread(stored: DataFrame) -> DataFrame:
     """A frame read from files, over at least as many partitions as there are cores.
 
-    Tree and forest fits make many passes with the partitions they are given. A table of few files is
-    redistributed once before them; one that fills the cluster anyway is left as it is.
+    For work that costs far more than a shuffle of its input, such as fits with many passes. A table of
+    few files is redistributed once; one that fills the cluster anyway is left as it is.
     """
     cores = stored.sparkSession.sparkContext.defaultParallelism
     return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores)

@@ -5,8 +5,10 @@ import random
 from itertools import groupby
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyworks.plans import ad_features, ads
+from tallyworks.sources.workspace import new_folder
 
 START = dt.datetime(2024, 1, 4)
 
@@ -52,6 +54,29 @@ def test_gap_of_exactly_an_hour_is_not_late(make_ads):
     assert tuple(ads.late_changes(make_ads(rows)).first()) == (1, 1)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_late_changes_across_clock_changes(spark, make_ads, kind):
+    """Spring has no 2:00 and autumn has 1:00 twice in the session's zone; gaps stay what they are."""
+    spring, autumn = dt.datetime(2024, 3, 10, 0, 30), dt.datetime(2024, 11, 3, 4, 30)
+    rows = [
+        (i, 1 + (start == autumn), start + dt.timedelta(minutes=step), "click" if i % 2 else "view", "web")
+        for start in (spring, autumn)
+        for i, step in enumerate(range(0, 600, 61))
+    ]
+    frame = make_ads(rows)
+    path = new_folder(spark, "clock")
+    frame.withColumn("time", F.col("time").cast(kind)).write.parquet(path)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    found = {}
+    try:
+        for name in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            found[name] = tuple(ads.late_changes(spark.read.parquet(path)).first())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found["UTC"] == found["America/New_York"] == (18, 10)
+
+
 def test_click_first(make_ads):
     rows = random_events(5)
     pairs = {}
