@@ -16,7 +16,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.ml import scoring
-from tallyworks.operators.splits import write_split
 from tallyworks.operators.words import word_count
 from tallyworks.plans import ad_features, passengers
 from tallyworks.sources.files import read_csv_text, write_csv
@@ -26,13 +25,11 @@ GRAINS = {
     "event": ad_features.event_features,
     "event-two-tables": ad_features.event_features_two_tables,
 }
-SHARES = {"train": 0.75, "test": 0.25}
-SEED = 42
 
 
 def features(spark: SparkSession, source: str, target: str, grain: str = "ad") -> None:
     """Feature rows of ad events, split into `target/train` and `target/test`."""
-    write_split(GRAINS[grain](spark.read.parquet(source)), target, SHARES, SEED)
+    ad_features.build_training_files(GRAINS[grain](spark.read.parquet(source)), target)
 
 
 def fit(spark: SparkSession, train: str, test: str, model: str, search: str = "joint", settings=None) -> None:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.functions.columns import flag, ratio
+from tallyworks.functions.columns import flag
 from tallyworks.operators.keyed_join import join_per_key
 from tallyworks.operators.splits import write_split
 from tallyworks.plans.ads import clicks, is_view, views
@@ -13,6 +13,8 @@ from tallyworks.sources.workspace import new_folder
 
 AD_COLUMNS = ["ad_id", "target_audience_count", "has_video", "is_cpm", "is_cpc", "ad_cost"]
 FEATURE_COLUMNS = [*AD_COLUMNS, "day_count", "ctr"]
+SHARES = {"train": 0.75, "test": 0.25}
+SEED = 42
 
 
 def with_cost_flags(ads: DataFrame) -> DataFrame:
@@ -84,11 +86,10 @@ def event_features_two_tables(ads: DataFrame) -> DataFrame:
     return _onto_events(ads, per_ad).select(*AD_COLUMNS, "days_count", "ctr")
 
 
-def build_training_files(spark: SparkSession, ads: DataFrame, target: str, seed: int = 42) -> dict[str, str]:
+def build_training_files(features: DataFrame, target: str) -> dict[str, str]:
     """The feature job: features once, then train (75 %) and test (25 %) as Parquet below `target`."""
-    return write_split(ad_features(ads), target, {"train": 0.75, "test": 0.25}, seed)
+    return write_split(features, target, SHARES, SEED)
 
 
 def training_files(ads: DataFrame) -> dict[str, str]:
-    spark = ads.sparkSession
-    return build_training_files(spark, ads, new_folder(spark, "ctr-files"))
+    return build_training_files(ad_features(ads), new_folder(ads.sparkSession, "ctr-files"))

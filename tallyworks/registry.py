@@ -30,8 +30,6 @@ SHORT_FAMILY_GRID = {
 }
 SHORT_FOREST_GRID = {"impurity": ["entropy", "gini"], "maxDepth": [2, 4], "numTrees": [3]}
 
-CTR_SHARES = {"train": 0.75, "test": 0.25}
-
 
 def over(plan: Callable[..., DataFrame], *sources, **options) -> Query:
     """The plan applied to views, or to stored tables given by name."""
@@ -83,7 +81,7 @@ def train_test_split(spark: SparkSession, data_dir: str) -> DataFrame:
     features = ctr_rows(spark, data_dir)
     paths = ad_features.training_files(tables.ads_data(spark, data_dir))
     parts = {name: spark.read.parquet(path) for name, path in paths.items()}
-    return splits.split_report(features, parts, CTR_SHARES, "ad_id")
+    return splits.split_report(features, parts, ad_features.SHARES, "ad_id")
 
 
 def seeded_split(spark: SparkSession, data_dir: str) -> DataFrame:
