@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each; larger tables are joined by a shuffle
 
@@ -40,3 +41,8 @@ def join_hot(rows: DataFrame, table: DataFrame, key: str, how: str = "left") ->
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     cold = rows.where(~is_hot).join(table.where(~is_hot), key, how)
     return cold.unionByName(rows.where(is_hot).join(F.broadcast(table.where(is_hot)), key, how))
+
+
+def with_fields(df: DataFrame, **types: str) -> StructType:
+    """The schema of `df` with more columns, each given by the name of its type."""
+    return StructType([*df.schema.fields, *(StructField(c, StructType.fromDDL(f"x {t}")["x"].dataType) for c, t in types.items())])

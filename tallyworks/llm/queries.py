@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import packing, token_counts, wavelet
+from tallyworks.llm import jaccard, language, packing, quality, token_counts, wavelet
+from tallyworks.llm.common import fold
 from tallyworks.sources.tables import stored
 from tallyworks.sources.workspace import new_folder, written
 
@@ -38,6 +39,32 @@ def op3_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     return token_counts.token_counts(docs, TOKENIZER, new_folder(spark, "token-cache"), CONTEXT)
 
 
+def op4_compression_quality(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from labels outside the held-out third."""
+    docs, labels = stored(spark, data_dir, "documents"), stored(spark, data_dir, "labels")
+    model = quality.train(docs.select("doc_id", "text"), labels.where(fold("doc_id", 3) != 1))
+    result = quality.scored(docs.select("doc_id", "text"), model)
+    return result.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+def op5_ngram_jaccard(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Components of documents whose 5-word shingle sets have a similarity of 0.75 or more."""
+    return jaccard.similar_groups(stored(spark, data_dir, "documents"), 75)
+
+
+def op6_language(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Languages of all documents, learned from `lang` outside the held-out quarter."""
+    docs = stored(spark, data_dir, "documents")
+    model = language.train(docs.where(fold("doc_id", 4) != 2).select("doc_id", "text", "lang"))
+    result = language.predicted(docs.select("doc_id", "text"), model)
+    return result.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_best_fit_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     """All documents in as few sequences as dominance reduction and best fit find."""
     cut = packing.pieces(stored(spark, data_dir, "documents"), TOKENIZER, 0, CONTEXT)
@@ -47,7 +74,14 @@ def op10_best_fit_packing(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet_shards, op3_token_counts, op10_best_fit_packing)
+    f.__name__: f for f in (
+        op1_wavelet_shards,
+        op3_token_counts,
+        op4_compression_quality,
+        op5_ngram_jaccard,
+        op6_language,
+        op10_best_fit_packing,
+    )
 }
 
 ORACLES: dict[str, str] = {}
