@@ -7,9 +7,11 @@ All other files encode text by text.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 from pathlib import Path
 
@@ -17,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 400_000  # a worker forgets all words beyond so many, which bounds its memory
-TEXT_BYTES = 8 << 20  # texts are encoded in runs of about this size
+MEMO_WORDS = 800_000  # beyond so many, a worker forgets all words but those of its last texts
+TEXT_BYTES = 16 << 20  # texts are encoded in runs of about this size
 
 # The pre-tokenizer pattern and the normaliser of files that can be encoded word by word.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -47,42 +49,47 @@ class WordEncoder:
         self.tokenizer, self.model = tokenizer, tokenizer.model
         self.letters, self.memo = byte_letters(), {"": b""}
 
-    def word(self, word: str) -> bytes:
-        found = self.memo.get(word)
+    def new(self, word: str) -> bytes:
+        plain = PLAIN.fullmatch(word)
+        if plain is None:
+            return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        letters, marks = plain.groups()
+        lower = letters.lower()
+        found = self.memo.get(lower)
         if found is None:
-            plain = PLAIN.fullmatch(word)
-            if plain is None:
-                found = ids_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
-            elif plain[2] or plain[1] != plain[1].lower():
-                found = self.word(plain[1].lower()) + (self.marks(plain[2]) if plain[2] else b"")
-            else:
-                found = ids_bytes([t.id for t in self.model.tokenize(word.translate(self.letters))])
-            self.memo[word] = found
+            shown = lower if lower.isascii() else lower.translate(self.letters)
+            found = self.memo[lower] = packed([t.id for t in self.model.tokenize(shown)])
+        if marks:
+            tail = self.memo.get(marks)
+            if tail is None:
+                tail = self.memo[marks] = packed(self.tokenizer.encode(marks, add_special_tokens=False).ids)
+            found += tail
         return found
 
-    def marks(self, marks: str) -> bytes:
-        if marks not in self.memo:
-            self.memo[marks] = ids_bytes(self.tokenizer.encode(marks, add_special_tokens=False).ids)
-        return self.memo[marks]
-
     def encode(self, texts: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row (none if not `ids`), and the number of ids of each text."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {"": b""}
-        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-        coded = words.flatten().dictionary_encode()
-        parts = [self.word(w) for w in coded.dictionary.to_pylist()]
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts, memo = list(map(self.memo.get, words)), self.memo
+        gc.disable()  # its passes over the memo find nothing: words and ids refer to nothing else
+        for i, part in enumerate(parts):
+            if part is None:
+                parts[i] = memo[words[i]] = self.new(words[i])
+        gc.enable()
+        if len(memo) > MEMO_WORDS:
+            self.memo = dict(zip(words, parts, strict=True))
         of_word = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         at = coded.indices.to_numpy()
         sizes = of_word[at]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
-        counts = np.diff(ends[bounds])
+        counts = np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
         if not ids:
             return np.zeros(0, np.uint32), counts
-        first = np.cumsum(of_word) - of_word
-        index = np.repeat(first[at] - ends[:-1], sizes)
-        index += np.arange(len(index))
+        kind = np.int32 if ends[-1] < 2**31 else np.int64
+        first = (np.cumsum(of_word) - of_word).astype(kind)
+        index = np.repeat(first[at] - ends[:-1].astype(kind), sizes)
+        index += np.arange(len(index), dtype=kind)
         return np.frombuffer(b"".join(parts), np.uint32)[index], counts
 
 
@@ -98,8 +105,8 @@ class TextEncoder:
         return np.concatenate([np.asarray(x, np.uint32) for x in lists] or [np.zeros(0, np.uint32)]), counts
 
 
-def ids_bytes(ids: list[int]) -> bytes:
-    return np.asarray(ids, "<u4").tobytes()
+def packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 @lru_cache(maxsize=4)
