@@ -72,7 +72,7 @@ class WaveletMatrix:
                 ends.astype("<u8").tobytes(),
                 *blocks,
             ]
-            current = np.concatenate([current[~bits], current[bits]])
+            current = np.concatenate([np.compress(~bits, current), np.compress(bits, current)])
         return b"".join(out)
 
     def block(self, plane: int, i: int) -> np.ndarray:
@@ -94,12 +94,13 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """The whole sequence."""
-        current = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        current = np.zeros(self.n, kind)
         for plane in reversed(range(self.planes)):
             bits, zeros = self.bits(plane), self.zeros[plane]
             above = np.empty_like(current)
-            above[~bits] = current[:zeros]
-            above[bits] = current[zeros:] | np.uint32(1 << (self.planes - 1 - plane))
+            above[np.flatnonzero(~bits)] = current[:zeros]
+            above[np.flatnonzero(bits)] = current[zeros:] | kind(1 << (self.planes - 1 - plane))
             current = above
         return self.alphabet[current] if self.n else current
 
