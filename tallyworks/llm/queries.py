@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import jaccard, language, packing, quality, token_counts, wavelet
+from tallyworks.llm import chat, decontaminate, fingerprints, jaccard, language, packing, quality, sharding, token_counts, wavelet
 from tallyworks.llm.common import fold
 from tallyworks.sources.tables import stored
 from tallyworks.sources.workspace import new_folder, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CONTEXT = 2048  # tokens of a training sequence
+SHARD_BYTES = 1 << 20  # of text in a shard
 
 
 def op1_wavelet_shards(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -33,6 +34,11 @@ def op1_wavelet_shards(spark: SparkSession, data_dir: str) -> DataFrame:
     return placed.select("doc_id", (F.col("base") + F.col("within")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op2_chat(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Maximal conversations in the chat format."""
+    return chat.chats(stored(spark, data_dir, "conversations"))
+
+
 def op3_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     """Token counts of all documents through a cache that is new for this run."""
     docs = stored(spark, data_dir, "documents")
@@ -65,6 +71,21 @@ def op6_language(spark: SparkSession, data_dir: str) -> DataFrame:
     return result.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op7_benchmark_leaks(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Documents with benchmark items, and where."""
+    return decontaminate.leaked(stored(spark, data_dir, "documents"), stored(spark, data_dir, "benchmark"))
+
+
+def op8_imatch(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprint_report(stored(spark, data_dir, "documents"))
+
+
+def op9_extendible_shards(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The shard of every document, by extendible hashing of its id."""
+    return sharding.shards(stored(spark, data_dir, "documents"), SHARD_BYTES)
+
+
 def op10_best_fit_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     """All documents in as few sequences as dominance reduction and best fit find."""
     cut = packing.pieces(stored(spark, data_dir, "documents"), TOKENIZER, 0, CONTEXT)
@@ -76,12 +97,55 @@ def op10_best_fit_packing(spark: SparkSession, data_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_shards,
+        op2_chat,
         op3_token_counts,
         op4_compression_quality,
         op5_ngram_jaccard,
         op6_language,
+        op7_benchmark_leaks,
+        op8_imatch,
+        op9_extendible_shards,
         op10_best_fit_packing,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_chat": """
+        with turns as (
+            select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        ), placed as (
+            select *, row_number() over w as position, count(*) over (partition by conv_id) as n_turns,
+                string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '') over w as so_far
+            from turns
+            window w as (partition by conv_id order by turn nulls first, role, text rows unbounded preceding)
+        ), whole as (
+            select min(conv_id) as conv_id, n_turns, so_far from placed where position = n_turns group by all
+        )
+        select conv_id, 0::integer as part, n_turns, so_far as text
+        from whole
+        where not exists (
+            select 1 from placed p
+            where p.position < p.n_turns and p.position = whole.n_turns and p.so_far = whole.so_far
+        )
+    """,
+    "op9_extendible_shards": f"""
+        with hashed as (
+            select doc_id, octet_length(encode(coalesce(text, '')))::bigint as n_bytes,
+                ('0x' || left(md5(doc_id::varchar), 15))::bigint as hash
+            from documents
+        ), buckets as (
+            select depth, hash >> (60 - depth) as prefix, sum(n_bytes)::bigint as shard_bytes
+            from hashed, range(0, 61) t(depth)
+            group by all
+            having sum(n_bytes) <= {SHARD_BYTES} or min(hash) = max(hash)
+        ), placed as (
+            select doc_id, n_bytes, hash, min_by(depth, depth)::integer as depth, min_by(shard_bytes, depth) as shard_bytes
+            from hashed, range(0, 61) t(depth) join buckets using (depth)
+            where prefix = hash >> (60 - depth)
+            group by doc_id, n_bytes, hash
+        )
+        select doc_id, n_bytes, case when depth = 0 then '' else lpad(bin(hash >> (60 - depth)), depth, '0') end as shard,
+            0::integer as page, depth, shard_bytes
+        from placed
+    """,
+}
