@@ -46,3 +46,11 @@ def join_hot(rows: DataFrame, table: DataFrame, key: str, how: str = "left") ->
 def with_fields(df: DataFrame, **types: str) -> StructType:
     """The schema of `df` with more columns, each given by the name of its type."""
     return StructType([*df.schema.fields, *(StructField(c, StructType.fromDDL(f"x {t}")["x"].dataType) for c, t in types.items())])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, made longer until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -18,15 +18,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import whole_text
+from tallyworks.llm.common import bounded, free_name, whole_text
 from tallyworks.llm.encoding import runs
 from tallyworks.sources.workspace import written
 
-ITEMS = 1000  # benchmark items of one search; more are searched in blocks of so many
+ITEMS = 500  # benchmark items of one search; more are searched in blocks of so many
 PASSAGE = 64  # words of a document passage, and of an item passage at most
 SCALES = ((64, 16), (24, 8))  # windows that are searched: words, words between their beginnings
-RANK, EXTRA = 64, 8  # dimensions of the latent space, and more that the random projection takes
-NEAR = 0.6  # cosine of a candidate, at least
+RANK, EXTRA = 48, 8  # dimensions of the latent space, and more that the random projection takes
+STOP_SHARE = 0.01  # words in more than this share of all passages have no weight,
+OWN_WORDS = 8  # unless they are among so many rarest words of an item passage
+NEAR = 0.65  # cosine of a candidate, at least
 LEAK = 0.8  # share of an item's words in common order that makes a leak
 PARAPHRASE = 0.5  # the same where the passage also has the item's answer
 ANSWER_WORDS = 5  # an answer is the last sentence of an item, and so many words at least
@@ -186,7 +188,7 @@ def pieces(total: np.ndarray, count: int = 32) -> pa.RecordBatch:
 
 @dataclass(frozen=True)
 class LatentSpace:
-    idf: np.ndarray  # of each word number
+    idf: np.ndarray  # of each word number, 0 for stop words
     axes: np.ndarray  # word x dimension
 
     def table(self) -> np.ndarray:
@@ -198,7 +200,16 @@ class LatentSpace:
         return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
-def latent_space(stored: DataFrame, vocabulary: int) -> LatentSpace:
+def inverse_frequencies(counts: np.ndarray, total: float, passages: list[Passage]) -> np.ndarray:
+    """idf of each word number by the passages it is in; 0 for no word and for stop words."""
+    stop = counts > STOP_SHARE * total
+    for p in passages:
+        stop[sorted(set(p.words), key=lambda w: (counts[w], w))[:OWN_WORDS]] = False
+    stop[0] = True
+    return np.where(stop, 0.0, np.log((1 + total) / (1 + counts)) + 1e-6)
+
+
+def latent_space(stored: DataFrame, vocabulary: int, passages: list[Passage]) -> LatentSpace:
     """Randomised SVD of the TF-IDF matrix of all passages of PASSAGE words, `vocabulary` words and one for none.
 
     With random directions W, one pass gives A'AW and so an orthonormal basis Q of about the leading right
@@ -218,12 +229,12 @@ def latent_space(stored: DataFrame, vocabulary: int) -> LatentSpace:
         yield pieces(total)
 
     counts = added(stored.mapInArrow(frequencies, schema), (size + 1,))
-    idf = np.log((1 + counts[size]) / (1 + counts[:size])) + 1
-    idf[0] = 0.0
+    idf = inverse_frequencies(counts[:size], counts[size], passages)
     rank = min(RANK + EXTRA, vocabulary)
 
     def passage_sums(table, words, bounds):
         start, end = chunks(bounds, PASSAGE)
+        words = np.where(idf[words] > 0, words, 0)
         known = np.flatnonzero(words)
         return sums(table, words, start, end), np.searchsorted(end, known, "right"), words[known]
 
@@ -257,31 +268,86 @@ def latent_space(stored: DataFrame, vocabulary: int) -> LatentSpace:
 FOUND = "doc_id long, item_id long, start long, end long, share double, cosine double"
 
 
+@dataclass(frozen=True)
+class Searched:
+    """Item passages with what the search needs of them, in arrays."""
+
+    passages: list[Passage]
+    table: np.ndarray  # latent vector of each word number
+    vectors: np.ndarray  # of each passage
+    rare: np.ndarray  # passage x word: a weighted word of the passage
+    answer: np.ndarray  # passage x word: a weighted word of its answer
+    size: np.ndarray  # words of each passage
+    leak: np.ndarray  # weighted words that a leak must share at least
+    paraphrase: np.ndarray  # the same for a paraphrase
+
+    @staticmethod
+    def of(passages: list[Passage], space: LatentSpace) -> Searched:
+        rare = np.zeros((len(passages), len(space.idf)), bool)
+        answer = np.zeros_like(rare)
+        for i, p in enumerate(passages):
+            rare[i, list(p.words)] = True
+            answer[i, list(p.words[len(p.words) - p.answer :])] = True
+        rare &= space.idf > 0
+        answer &= space.idf > 0
+        size = np.array([len(p.words) for p in passages])
+        stops = np.array([sum(space.idf[w] == 0 for w in p.words) for p in passages])
+        leak = np.where(size < LEAST_WORDS, size, np.ceil(LEAK * size)) - stops
+        paraphrase = np.where(answer.any(1), np.ceil(PARAPHRASE * size) - stops, size + 1)
+        return Searched(
+            passages, space.table(), space.of(passages), rare, answer, size, np.maximum(1, leak), np.maximum(1, paraphrase)
+        )
+
+    def near(self, words: np.ndarray, bounds: np.ndarray, size: int, step: int) -> list[np.ndarray]:
+        """document, passage, beginning and end of the part to check, and cosine of the windows of one scale that
+        are near a passage and have enough of its weighted words around them."""
+        doc, start, end = windows(bounds, size, step)
+        weighted = np.where(self.table[words].any(1), words, 0)
+        found = [[np.zeros(0, np.int64)] * 5]
+        for first in range(0, len(doc), 50_000):
+            part = slice(first, first + 50_000)
+            low, high = start[part][0], end[part].max()
+            inside = sums(self.table, weighted[low:high], start[part] - low, end[part] - low)
+            cosine = inside / np.maximum(np.linalg.norm(inside, axis=1), 1e-6)[:, None] @ self.vectors.T
+            row, item = np.nonzero(cosine >= NEAR)
+            d, value = doc[part][row], cosine[row, item]
+            margin = self.size[item] * 3 // 4
+            a = np.maximum(bounds[d], start[part][row] - margin)
+            b = np.minimum(bounds[d + 1], end[part][row] + margin)
+            enough = np.zeros(len(row), bool)
+            for some in range(0, len(row), 20_000):
+                g = slice(some, some + 20_000)
+                at = a[g][:, None] + np.arange((b[g] - a[g]).max())
+                w = np.where(at < b[g][:, None], weighted[np.minimum(at, len(words) - 1)], 0)
+                shared, answered = (t[item[g][:, None], w].sum(1) for t in (self.rare, self.answer))
+                enough[g] = (shared >= self.leak[item[g]]) | (
+                    (shared >= self.paraphrase[item[g]]) & (answered >= self.answer[item[g]].sum(1))
+                )
+            found.append([x[enough] for x in (d, item, a, b, value)])
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+
 def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> DataFrame:
     """doc_id, item_id, start and end (words), share (of the passage's words in common order) and cosine of the
     leaks in numbered documents; at most one for each document and item passage, the nearest window that is one."""
-    shared = stored.sparkSession.sparkContext.broadcast((passages, space.table(), space.of(passages)))
+    shared = stored.sparkSession.sparkContext.broadcast(Searched.of(passages, space))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, table, vectors = shared.value
-        masks = [p.masks() for p in wanted]
+        wanted = shared.value
+        masks = [p.masks() for p in wanted.passages]
         for doc_ids, words, bounds in sequences(batches):
-            near = [candidates(table, vectors, words, bounds, *scale) for scale in SCALES]
-            doc, item, start, end, cosine = (np.concatenate(x) for x in zip(*near, strict=True))
-            order = np.lexsort((-cosine, item, doc))
+            scales = [wanted.near(words, bounds, *scale) for scale in SCALES]
+            doc, item, start, end, cosine = (np.concatenate(x) for x in zip(*scales, strict=True))
             rows, done = [], None
-            for i in order:
+            for i in np.lexsort((-cosine, item, doc)):
                 key = doc[i], item[i]
                 if key == done:
                     continue
-                passage = wanted[item[i]]
-                margin = len(passage.words) * 3 // 4
-                low, high = max(bounds[doc[i]], start[i] - margin), min(bounds[doc[i] + 1], end[i] + margin)
-                share = leaks(passage, masks[item[i]], words[low:high].tolist())
+                passage = wanted.passages[item[i]]
+                share = leaks(passage, masks[item[i]], words[start[i] : end[i]].tolist())
                 if share:
-                    done = key
-                    base = bounds[doc[i]]
-                    rows.append((doc[i], passage.item_id, low - base, high - base, share, float(cosine[i])))
+                    done, base = key, bounds[doc[i]]
+                    rows.append((doc[i], passage.item_id, start[i] - base, end[i] - base, share, float(cosine[i])))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.take(pa.array(columns[0], pa.int64()))]
@@ -293,21 +359,6 @@ def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> Da
     return stored.mapInArrow(find, FOUND)
 
 
-def candidates(table, vectors, words, bounds, size, step):
-    """Windows of one scale whose cosine with an item passage is NEAR or more."""
-    doc, start, end = windows(bounds, size, step)
-    found = []
-    for first in range(0, len(doc), 100_000):
-        part = slice(first, first + 100_000)
-        low, high = start[part][0], end[part].max()
-        inside = sums(table, words[low:high], start[part] - low, end[part] - low)
-        norms = np.linalg.norm(inside, axis=1)
-        cosine = (inside / np.maximum(norms, 1e-6)[:, None]) @ vectors.T
-        row, item = np.nonzero(cosine >= NEAR)
-        found.append((doc[part][row], item, start[part][row], end[part][row], cosine[row, item]))
-    return [np.concatenate(x) for x in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 5
-
-
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The leaks of `benchmark` (item_id, text) in `docs` (doc_id, text): doc_id, item_id, start, end, share, cosine.
 
@@ -319,16 +370,28 @@ def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct(), "items")
     found, after = None, None
     while True:
-        block = items if after is None else items.where(F.struct("item_id", "text") > F.struct(F.lit(after[0]), F.lit(after[1])))
+        block = items
+        if after is not None:
+            same = F.col("item_id") == after[0]
+            block = items.where((F.col("item_id") > after[0]) | (same & (F.col("text") > after[1])))
         rows = [(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").limit(ITEMS).collect()]
         known = sorted({w for _, text in rows for w in words_of(text)})
         if known:
             number = {w: i + 1 for i, w in enumerate(known)}
             passages = passages_of(rows, number)
             stored = written(numbered(docs, number), "numbered")
-            part = written(search(stored, passages, latent_space(stored, len(known))), "leaks")
+            part = written(search(stored, passages, latent_space(stored, len(known), passages)), "leaks")
             found = part if found is None else found.unionByName(part)
         if len(rows) < ITEMS:
             break
         after = rows[-1]
     return found if found is not None else docs.sparkSession.createDataFrame([], FOUND)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, whose text has no leak of `benchmark`."""
+    row = F.xxhash64(docs["doc_id"], whole_text(docs))  # an id may stand for several texts
+    found = leaked(docs.select(row.alias("doc_id"), "text"), benchmark)
+    name = free_name(docs, "_leak")
+    ids = written(found.select(F.col("doc_id").alias(name)).distinct(), "leaked-rows")
+    return docs.join(bounded(ids), row == F.col(name), "left_anti")

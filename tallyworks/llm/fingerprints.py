@@ -69,9 +69,15 @@ def digests(text: Column, bits: Column) -> tuple[Column, Column]:
 
 
 def with_fingerprint(df: DataFrame, text: str, bits: Column, name: str) -> DataFrame:
-    """`df` with the column `name`: the digests of its column `text`, joined by '-'."""
+    """`df` with the column `name`: the digests of its column `text`, joined by '-'.
+
+    The last part is empty, or a hash of the whole text if that has no term of the lexicon: such texts are like
+    their copies only.
+    """
     band, parts = digests(F.col(text), bits)
-    return df.withColumn("_band", band).withColumn(name, F.array_join(parts, "-")).drop("_band")
+    exact = F.when(F.size("_band") > 0, "").otherwise(F.lpad(F.hex(F.xxhash64(text)), 16, "0"))
+    whole = F.array_join(F.concat(parts, F.array(exact)), "-")
+    return df.withColumn("_band", band).withColumn(name, whole).drop("_band")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -114,7 +120,7 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     """The fingerprint of every row of `docs` (doc_id, text), and how it takes an edit.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many, or all, of the
-    next row's text. Missing texts are empty; an empty text has the fingerprint without digests. Missing ids
+    next row's text. Missing texts are empty; an empty text is like empty ones only. Missing ids
     come first; rows with the same id follow each other by text.
     """
     bits = lexicon(docs)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import bounded, join_hot, whole_text
+from tallyworks.llm.common import bounded, free_name, join_hot, whole_text, with_fields
 from tallyworks.llm.encoding import runs
 from tallyworks.llm.graph import components
 from tallyworks.sources.workspace import written
@@ -404,23 +404,14 @@ def large_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
     return central.unionByName(asked(sets.join(reached, "node", "left_anti")))
 
 
-def similar_groups(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
-
-    Two rows are linked when 100 * intersection >= percent * union of their shingle sets; component_id is the
-    smallest doc_id that links reach, the row's own without links. Missing and empty texts have no shingles
-    and no links. Repeated rows count as any equal texts; a missing id is a row, and no component_id.
-    """
-    threshold = Threshold(percent)
-    sets = written(set_table(docs), "sets")
+def similarity_roots(docs: DataFrame, sets: DataFrame, threshold: Threshold, frequent: int, block_bytes: int) -> DataFrame:
+    """node, doc_id (the smallest with that set) and root (one for each component) of every set of `docs`."""
     nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")
     )
     groups = components(candidate_links(docs, threshold, frequent))
     size = groups.join(nodes, "node")
-    of_group = size.groupBy("root").agg(
-        F.ceil(F.sum("n_shingles") * 8 / block_bytes).cast("long").alias("blocks"), F.count(F.lit(1)).alias("_n")
-    )
+    of_group = size.groupBy("root").agg(F.ceil(F.sum("n_shingles") * 8 / block_bytes).cast("long").alias("blocks"))
     members = written(size.join(of_group, "root").select("doc_id", "node", "root", "blocks"), "members")
     small = packed_sets(docs, members.where("blocks <= 1").drop("blocks")).select("root", "node", "hashes")
     links = small_group_links(small, threshold)
@@ -428,8 +419,49 @@ def similar_groups(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT,
         large = written(packed_sets(docs, members.where("blocks > 1")).dropDuplicates(["node"]), "large-groups")
         links = links.unionByName(large_group_links(large, threshold))
     linked = components(links)
-    named = nodes.join(linked, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    return nodes.join(linked, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+
+
+def similar_groups(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
+
+    Two rows are linked when 100 * intersection >= percent * union of their shingle sets; component_id is the
+    smallest doc_id that links reach, the row's own without links. Missing and empty texts have no shingles
+    and no links. Repeated rows count as any equal texts; a missing id is a row, and no component_id.
+    """
+    sets = written(set_table(docs), "sets")
+    named = similarity_roots(docs, sets, Threshold(percent), frequent, block_bytes)
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = written(named.select("node", "root").join(least, "root").select("node", "component_id"), "labels")
     rows = join_hot(sets, labels, "node")
     return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of `docs`, all columns, one of each component: that with the smallest doc_id, and of several texts
+    or rows with that id one. Rows without shingles are linked with nothing and stay."""
+    sets = written(set_table(docs), "sets")
+    named = written(similarity_roots(docs, sets, Threshold(percent), frequent, block_bytes), "roots")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "node")  # a missing id comes last
+    kept = named.groupBy("root").agg(F.min(first).alias("_first")).select(F.col("_first.node").alias("node"), F.col("_first.doc_id").alias("_kept"), F.lit(True).alias("_chosen"))
+    # Most rows are the only ones of their group. The others are listed: those that go, and those that come again.
+    keys = sets.where(F.col("node").isNotNull()).groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("_rows"))
+    keys = keys.join(kept, "node", "left")
+    stays = F.coalesce(F.col("_chosen") & F.col("doc_id").eqNullSafe(F.col("_kept")), F.lit(False))
+    doc, node, stay = (free_name(docs, c) for c in ("_doc", "_set", "_stays"))
+    listed = keys.select(F.col("doc_id").alias(doc), F.col("node").alias(node), stays.alias(stay), "_rows")
+    listed = written(listed.where(~F.col(stay) | (F.col("_rows") > 1)).drop("_rows"), "listed")
+    own = free_name(docs, "_node")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, nodes = pc.fill_null(batch["text"], ""), []
+            for start, n in runs(texts):
+                nodes += [node_of(s) if len(s) else None for s in shingle_sets(texts.slice(start, n))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, own])
+
+    marked = docs.mapInArrow(mark, with_fields(docs, **{own: "long"}))
+    same = marked["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(node))
+    rows = marked.join(bounded(listed), same, "left").where(F.col(node).isNull() | F.col(stay))
+    again = rows.where(F.col(node).isNotNull()).dropDuplicates([doc, node])
+    return rows.where(F.col(node).isNull()).unionByName(again).select(*docs.columns)

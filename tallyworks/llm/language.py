@@ -201,13 +201,13 @@ def train(labelled: DataFrame) -> LanguageModel:
     return LanguageModel(tuple(languages), idf, weights, bias, calibrate(logits, labels[held]))
 
 
-def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """All rows and columns of `docs` with lang_pred and score, the calibrated probability of lang_pred.
+def predicted(docs: DataFrame, model: LanguageModel, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All rows and columns of `docs` with the predicted language and its calibrated probability, called `names`.
 
     Only `text` is looked at, whole. Missing texts and those without a letter are `und` with score 0, and so
     is everything when no language was learned. Columns with these two names are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # DIMENSIONS numbers for each language
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +216,7 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
         table[:-1, :-1] = learned.weights * learned.idf[:, None] * SCALE
         table[:-1, -1] = learned.idf
         for batch in batches:
-            names, values = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            predictions, values = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             texts = batch["text"].to_pylist()
             rows = [i for i, t in enumerate(texts) if t and learned.languages and has_letter(t)]
             some = pa.array([texts[i] for i in rows], pa.large_string())
@@ -225,10 +225,10 @@ def predicted(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 sums = sum(np.add.reduceat(table[each], starts, axis=0, dtype=np.float64) for each in found)
                 p = learned.probabilities(sums[:, :-1] / sums[:, -1:] + learned.bias)
                 for i, k, value in zip(rows[first : first + n], p.argmax(1), p.max(1), strict=True):
-                    names[i], values[i] = learned.languages[k], value
+                    predictions[i], values[i] = learned.languages[k], value
             yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in kept), pa.array(names, pa.string()), pa.array(values)], [*kept, "lang_pred", "score"]
+                [*(batch[c] for c in kept), pa.array(predictions, pa.string()), pa.array(values)], [*kept, *names]
             )
 
     rest = docs.select(*kept)
-    return rest.mapInArrow(predict, with_fields(rest, lang_pred="string", score="double"))
+    return rest.mapInArrow(predict, with_fields(rest, **dict(zip(names, ("string", "double"), strict=True))))

@@ -137,20 +137,20 @@ def calibrated(model: QualityModel, x: np.ndarray, y: np.ndarray, counts: dict[i
     return QualityModel(model.good, model.bad, tuple(mean), tuple(scale), tuple(beta))
 
 
-def scored(docs: DataFrame, model: QualityModel) -> DataFrame:
+def scored(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFrame:
     """All rows and columns of `docs` in their order with a score from 0 to 1, higher for good text.
 
     Only `text` is looked at; missing texts are empty, and empty texts get the score of no difference. A column
-    called `score` is replaced. `docs` goes through the tasks as it is read, without a shuffle.
+    called `name` is replaced. `docs` goes through the tasks as it is read, without a shuffle.
     """
-    kept = [c for c in docs.columns if c != "score"]
+    kept = [c for c in docs.columns if c != name]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.compressors()
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             values = pa.array(model.score(features(texts, tools)))
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), values], [*kept, "score"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), values], [*kept, name])
 
     rest = docs.select(*kept)
-    return rest.mapInArrow(score, with_fields(rest, score="double"))
+    return rest.mapInArrow(score, with_fields(rest, **{name: "double"}))
