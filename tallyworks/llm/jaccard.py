@@ -60,13 +60,14 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     without words has none. Hashes have 64 bits: two shingles of one pair of sets, or two sets of the corpus,
     are mixed up with a chance of about their number squared over 2^65.
     """
-    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     flat = split.flatten()
     real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
     offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
     ends = np.concatenate([[0], np.cumsum(real)])[offsets]
     coded = flat.dictionary_encode()
-    of_word = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    of_word = np.fromiter((xxhash.xxh3_64_intdigest(w.encode().lower()) for w in distinct), np.uint64, len(distinct))
     w = of_word[coded.indices.to_numpy()[real]]
     multiplier = np.uint64(0x9E3779B97F4A7C15)
     h = np.zeros(max(0, len(w) - words + 1), np.uint64)
