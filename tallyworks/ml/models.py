@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import (
     ClusteringEvaluator,
     MulticlassClassificationEvaluator,
@@ -17,12 +17,15 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.ml.tuning import TrainValidationSplitModel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.ml import checks
 from tallyworks.ml.tuning import (
     FOREST_GRID,
     SEED,
+    TRAIN_RATIO,
     best_position,
     describe_setting,
     grid_of,
@@ -30,10 +33,10 @@ from tallyworks.ml.tuning import (
     rmse,
     tune,
 )
-from tallyworks.ml.vectors import after_first, assembler, embedding_vectors, labelled_union
-from tallyworks.operators.splits import seeded_parts
+from tallyworks.ml.vectors import assembler, embedding_vectors, labelled_union
+from tallyworks.operators.splits import hash_split
 from tallyworks.plans import passengers
-from tallyworks.sources.workspace import spread, written
+from tallyworks.sources.workspace import placed, written
 
 
 # --- linear regression ------------------------------------------------------------------------
@@ -47,22 +50,46 @@ def _line_fit(rows: DataFrame, inputs: list[str], estimator: LinearRegression) -
     return estimator.fit(assembler(inputs).transform(rows).select("features", "label"))
 
 
+PRICE_INPUTS = ["l_quantity", "l_discount", "l_tax"]
+PENALTY, MIX = 0.5, 0.75  # fixed values: elastic net of the price model
+
+
 def price_fit(lineitem: DataFrame) -> LinearRegressionModel:
-    inputs = ["l_quantity", "l_discount", "l_tax"]
-    return _line_fit(price_rows(lineitem), inputs, LinearRegression(maxIter=20, regParam=0.5, elasticNetParam=0.75))
+    estimator = LinearRegression(maxIter=20, regParam=PENALTY, elasticNetParam=MIX)
+    return _line_fit(price_rows(lineitem), PRICE_INPUTS, estimator)
 
 
-def price_coefficients(lineitem: DataFrame) -> DataFrame:
+def price_coefficients(lineitem: DataFrame) -> list[tuple[str, float]]:
     model = price_fit(lineitem)
-    rows = [(f"f{i}", float(value)) for i, value in enumerate(model.coefficients)]
-    rows.append(("intercept", float(model.intercept)))
-    return lineitem.sparkSession.createDataFrame(rows, "term string, weight double")
+    return [*((f"f{i}", float(value)) for i, value in enumerate(model.coefficients)), ("intercept", float(model.intercept))]
+
+
+def price_check(lineitem: DataFrame) -> DataFrame:
+    """Conditions of the best elastic net that the fitted weights violate."""
+    *weights, intercept = (weight for _, weight in price_coefficients(lineitem))
+    rows = assembler(PRICE_INPUTS).transform(price_rows(lineitem)).select("features", "label")
+    wrong = checks.wrong_elastic_net(rows, weights, intercept, PENALTY, MIX)
+    return one_row(rows, F.count(F.lit(1)).alias("rows"), violations=wrong)
+
+
+def one_row(rows: DataFrame, *counts: Column, **found) -> DataFrame:
+    """One row with aggregates of the rows and values found elsewhere."""
+    values = [F.lit(v).cast("boolean" if isinstance(v, bool) else "bigint").alias(k) for k, v in found.items()]
+    return rows.agg(*counts).select("*", *values)
 
 
 def price_summary(lineitem: DataFrame) -> DataFrame:
-    summary = price_fit(lineitem).summary
-    row = [(round(summary.rootMeanSquaredError, 3), round(summary.r2, 3), summary.numInstances)]
-    return lineitem.sparkSession.createDataFrame(row, "rmse double, r2 double, rows long")
+    """The training summary against the same errors summed up from the predictions."""
+    model = price_fit(lineitem)
+    scored = model.transform(assembler(PRICE_INPUTS).transform(price_rows(lineitem)))
+    summary = model.summary
+    return one_row(
+        scored,
+        F.count(F.lit(1)).alias("rows"),
+        summarised=summary.numInstances,
+        wrong_rmse=not checks.close(summary.rootMeanSquaredError, checks.rmse_of(scored, "label")),
+        wrong_r2=not checks.close(summary.r2, checks.r2_of(scored, "label")),
+    )
 
 
 def price_line(lineitem: DataFrame) -> DataFrame:
@@ -84,23 +111,46 @@ def price_line(lineitem: DataFrame) -> DataFrame:
 # --- click-rate regression --------------------------------------------------------------------
 
 
+def ctr_model(train: DataFrame, family: str, inputs: list[str]) -> PipelineModel:
+    return Pipeline(stages=[assembler(inputs), regressors()[family]]).fit(placed(train))
+
+
 def ctr_predictions(train: DataFrame, test: DataFrame, family: str, inputs: list[str]) -> DataFrame:
     """Predicted click rate per test ad, from one model family."""
-    model = Pipeline(stages=[assembler(inputs), regressors()[family]]).fit(train)
-    return model.transform(test).select("ad_id", "ctr", "prediction")
+    return ctr_model(train, family, inputs).transform(test).select("ad_id", "ctr", "prediction")
+
+
+def ctr_check(train: DataFrame, test: DataFrame, family: str, inputs: list[str]) -> DataFrame:
+    """One family fitted: labelled rows, and predictions that are not what its trees say."""
+    model = ctr_model(train, family, inputs)
+    learned, scored = model.transform(train), model.transform(test)
+    rows = learned.unionByName(scored)
+    count = F.count("prediction").alias("rows")
+    if family == "dt":
+        wrong = checks.wrong_leaf_means(learned, "ctr")
+        return one_row(rows, count, wrong_leaves=wrong, unknown_values=checks.unknown_values(scored, learned))
+    return one_row(rows, count, wrong_sums=checks.wrong_sums(model.stages[-1], rows, mean=family == "rf"))
 
 
-def compare_regressors(train: DataFrame, test: DataFrame, inputs: list[str]) -> DataFrame:
-    """Test error of each family; the vectors are assembled once for all of them."""
+def compare_regressors(train: DataFrame, test: DataFrame, inputs: list[str]) -> list[tuple[str, float, float]]:
+    """Test error of each family by the evaluator and by plain sums; the vectors are assembled once for all."""
     features = assembler(inputs)
-    train_vectors = features.transform(train).select("features", "ctr").persist()
-    test_vectors = features.transform(test).select("features", "ctr")
-    rows = [
-        (name, float(rmse().evaluate(estimator.fit(train_vectors).transform(test_vectors))))
-        for name, estimator in regressors().items()
-    ]
+    train_vectors = placed(features.transform(placed(train)).select("ad_id", "features", "ctr"), "ad_id").persist()
+    test_vectors = features.transform(test).select("features", "ctr").persist()
+    rows = []
+    for name, estimator in regressors().items():
+        scored = estimator.fit(train_vectors).transform(test_vectors)
+        rows.append((name, float(rmse().evaluate(scored)), float(checks.rmse_of(scored, "ctr"))))
     train_vectors.unpersist()
-    return train.sparkSession.createDataFrame(rows, "model string, rmse double")
+    test_vectors.unpersist()
+    return rows
+
+
+def compare_check(train: DataFrame, test: DataFrame, inputs: list[str]) -> DataFrame:
+    compared = compare_regressors(train, test, inputs)
+    entries = [F.struct(F.lit(m).alias("model"), F.lit(not checks.close(a, b)).alias("wrong_rmse")) for m, a, b in compared]
+    rows = train.unionByName(test).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select("rows", F.inline(F.array(*entries)))
 
 
 # --- metrics of given predictions -------------------------------------------------------------
@@ -143,9 +193,20 @@ def survival_classifiers() -> dict[str, Estimator]:
     }
 
 
+KEY = "PassengerId"
+
+
+def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """80 % to train on and 20 % to test with, by the passenger's number; placed by it too."""
+    parts = hash_split(rows, KEY, 80)
+    train, test = (parts.where(F.col("part") == name).drop("part") for name in ("train", "test"))
+    return placed(train, KEY), test
+
+
 def survival_rows(passenger_rows: DataFrame) -> DataFrame:
     """Assembled passenger features, stored once so that split and fit read files."""
-    return written(passengers.features(passenger_rows), "passengers")
+    ready = passengers.with_category_index(passengers.prepared(passenger_rows, keep=(KEY,))).drop(*passengers.INDEXED)
+    return written(ready, "passengers")
 
 
 def scored_row(name: str, label: str, scored: DataFrame) -> DataFrame:
@@ -159,52 +220,97 @@ def scored_row(name: str, label: str, scored: DataFrame) -> DataFrame:
     )
 
 
+def survival_model(passenger_rows: DataFrame, name: str) -> tuple[PipelineModel, DataFrame, DataFrame, list[str]]:
+    """A fitted classifier, its training and test rows, and its inputs."""
+    rows = survival_rows(passenger_rows)
+    train, test = split_rows(rows)
+    inputs = [c for c in rows.columns if c not in (KEY, "Survived")]
+    return Pipeline(stages=[assembler(inputs), survival_classifiers()[name]]).fit(train), train, test, inputs
+
+
 def survival_accuracy(passenger_rows: DataFrame, name: str) -> DataFrame:
     """Accuracy and error of one classifier on the 20 % it was not trained on."""
-    rows = survival_rows(passenger_rows)
-    parts = seeded_parts(rows, {"train": 0.8, "test": 0.2}, SEED)
-    stages = [assembler(after_first(rows)), survival_classifiers()[name]]
-    model = Pipeline(stages=stages).fit(spread(parts["train"]))
-    return scored_row(name, "Survived", model.transform(parts["test"]))
+    model, _, test, _ = survival_model(passenger_rows, name)
+    return scored_row(name, "Survived", model.transform(test))
+
+
+def survival_check(passenger_rows: DataFrame, name: str) -> DataFrame:
+    """One classifier fitted: test rows, whether the evaluator's accuracy is that of its predictions, and what is
+    wrong with the model: slopes of the loss, leaves, votes of the trees, or signs of their sum."""
+    fitted, train, test, inputs = survival_model(passenger_rows, name)
+    model, learned, scored = fitted.stages[-1], fitted.transform(train), fitted.transform(test)
+    wrong = {
+        "logistic": lambda: checks.wrong_logistic(learned, "Survived", len(inputs)),
+        "tree": lambda: checks.wrong_leaf_shares(learned, "Survived", 2),
+        "forest": lambda: checks.wrong_votes(model, scored),
+        "boosted": lambda: checks.wrong_signs(model, scored),
+    }[name]()
+    told = accuracy("Survived").evaluate(scored.withColumn("Survived", F.col("Survived").cast("double")))
+    return one_row(
+        scored,
+        F.lit(name).alias("model"),
+        F.count(F.lit(1)).alias("test_rows"),
+        wrong_accuracy=not checks.close(told, checks.accuracy_of(scored, "Survived")),
+        wrong_parts=wrong,
+    )
 
 
 def port_rows(passenger_rows: DataFrame) -> DataFrame:
-    """Numeric passenger columns with the text target Embarked last."""
-    ready = passengers.prepared(passenger_rows)
-    return ready.select("Pclass", "Age", "SibSp", "Parch", "Fare", "Family_Size", "Alone", "Embarked")
+    """Numeric passenger columns with the text target Embarked last, after the passenger's number."""
+    ready = passengers.prepared(passenger_rows, keep=(KEY,))
+    return ready.select(KEY, "Pclass", "Age", "SibSp", "Parch", "Fare", "Family_Size", "Alone", "Embarked")
 
 
 def port_vectors(passenger_rows: DataFrame) -> DataFrame:
-    """All columns but the last as features, the last one indexed as `type`."""
+    """All columns between the first and the last as features, the last one indexed as `type`."""
     rows = written(port_rows(passenger_rows), "ports")
-    stages = [assembler(rows.columns[:-1]), StringIndexer(inputCol=rows.columns[-1], outputCol="type")]
-    return Pipeline(stages=stages).fit(rows).transform(rows).select("features", "type")
+    stages = [assembler(rows.columns[1:-1]), StringIndexer(inputCol=rows.columns[-1], outputCol="type")]
+    return Pipeline(stages=stages).fit(rows).transform(rows).select(KEY, "features", "type")
 
 
-def port_accuracy(passenger_rows: DataFrame) -> DataFrame:
-    """Tree and ten-tree forest on the three-valued target, each scored on its own predictions."""
-    vectors = written(port_vectors(passenger_rows), "port-vectors")
-    parts = seeded_parts(vectors, {"train": 0.8, "test": 0.2}, SEED)
-    train = spread(parts["train"])
-    models = {
+def port_models(passenger_rows: DataFrame) -> tuple[dict[str, Model], DataFrame, DataFrame]:
+    """Tree and ten-tree forest on the three-valued target, with their training and test rows."""
+    train, test = split_rows(written(port_vectors(passenger_rows), "port-vectors"))
+    estimators = {
         "tree": DecisionTreeClassifier(labelCol="type", seed=SEED),
         "forest": RandomForestClassifier(labelCol="type", numTrees=10, seed=SEED),
     }
-    reports = [
-        scored_row(name, "type", estimator.fit(train).transform(parts["test"]))
-        for name, estimator in models.items()
-    ]
+    return {name: estimator.fit(train) for name, estimator in estimators.items()}, train, test
+
+
+def port_accuracy(passenger_rows: DataFrame) -> DataFrame:
+    """Accuracy of both, each scored on its own predictions."""
+    models, _, test = port_models(passenger_rows)
+    reports = [scored_row(name, "type", model.transform(test)) for name, model in models.items()]
     return reports[0].unionByName(reports[1])
 
 
-def tune_port_forest(passenger_rows: DataFrame, settings: dict[str, list] | None = None) -> DataFrame:
-    """Best forest settings for the three-valued target, by validation accuracy."""
-    vectors = written(port_vectors(passenger_rows), "port-vectors")
-    train = spread(seeded_parts(vectors, {"train": 0.8, "test": 0.2}, SEED)["train"])
+def port_check(passenger_rows: DataFrame) -> DataFrame:
+    models, train, test = port_models(passenger_rows)
+    wrong = {
+        "tree": checks.wrong_leaf_shares(models["tree"].transform(train), "type", 3),
+        "forest": checks.wrong_votes(models["forest"], models["forest"].transform(test)),
+    }
+    reports = []
+    for name, model in models.items():
+        scored = model.transform(test)
+        off = not checks.close(accuracy("type").evaluate(scored), checks.accuracy_of(scored, "type"))
+        counts = (F.lit(name).alias("model"), F.count(F.lit(1)).alias("test_rows"))
+        reports.append(one_row(scored, *counts, wrong_accuracy=off, wrong_parts=wrong[name]))
+    return reports[0].unionByName(reports[1])
+
+
+def tune_port_forest(passenger_rows: DataFrame, settings: dict[str, list] | None = None):
+    """The fitted search for the best forest for the three-valued target, by validation accuracy, and its rows."""
+    train, _ = split_rows(written(port_vectors(passenger_rows), "port-vectors"))
     forest = RandomForestClassifier(labelCol="type", numTrees=10, seed=SEED)
-    model = tune(forest, grid_of(forest, settings or FOREST_GRID), accuracy("type"), train, keep_models=True)
-    position = best_position(model, larger_is_better=True)
-    best = model.bestModel
+    grid = grid_of(forest, settings or FOREST_GRID)
+    return tune(forest, grid, accuracy("type"), train, keep_models=True, keys=[KEY]), train
+
+
+def best_port_forest(passenger_rows: DataFrame, settings: dict[str, list] | None = None) -> DataFrame:
+    model, train = tune_port_forest(passenger_rows, settings)
+    position, best = best_position(model, larger_is_better=True), model.bestModel
     row = [
         (
             best.getNumTrees,
@@ -216,33 +322,78 @@ def tune_port_forest(passenger_rows: DataFrame, settings: dict[str, list] | None
         )
     ]
     schema = "num_trees int, max_depth int, impurity string, params string, accuracy double, models int"
-    return vectors.sparkSession.createDataFrame(row, schema)
+    return train.sparkSession.createDataFrame(row, schema)
+
+
+def search_faults(model: TrainValidationSplitModel, train: DataFrame, keys: list[str], metric, larger: bool) -> dict[str, bool]:
+    """What is wrong with a search: a setting better than the chosen one, or a metric of the chosen one that is not
+    that of its sub-model on the rows kept for validation, which are drawn here again."""
+    metrics = list(model.validationMetrics)
+    position = best_position(model, larger)
+    better = any(m > metrics[position] if larger else m < metrics[position] for m in metrics)
+    faults = {"wrong_choice": better}
+    if model.subModels:
+        drawn = placed(train, *keys).withColumn("_draw", F.rand(SEED)).where(F.col("_draw") >= TRAIN_RATIO)
+        scored = model.subModels[position].transform(drawn)
+        faults["wrong_metric"] = not checks.close(metric(scored), metrics[position], 1e-6)
+    return faults
+
+
+def port_search_check(passenger_rows: DataFrame, settings: dict[str, list] | None = None) -> DataFrame:
+    model, train = tune_port_forest(passenger_rows, settings)
+    faults = search_faults(model, train, [KEY], lambda scored: checks.accuracy_of(scored, "type"), True)
+    return one_row(train, F.count(F.lit(1)).alias("rows"), settings=len(model.validationMetrics), **faults)
 
 
 # --- clustering and vectors that come ready-made ----------------------------------------------
 
 
-def clusters(embeddings: DataFrame, k: int = 3, seed: int = 1) -> DataFrame:
+def cluster_model(embeddings: DataFrame, k: int = 3, seed: int = 1) -> tuple[KMeansModel, DataFrame]:
     vectors = embedding_vectors(embeddings)
-    return KMeans(k=k, seed=seed).fit(vectors).transform(vectors)
+    model = KMeans(k=k, seed=seed).fit(placed(embeddings, "vec_id").transform(embedding_vectors))
+    return model, model.transform(vectors)
 
 
 def cluster_assignment(embeddings: DataFrame) -> DataFrame:
-    return clusters(embeddings).select("vec_id", F.col("prediction").alias("cluster"))
+    return cluster_model(embeddings)[1].select("vec_id", F.col("prediction").alias("cluster"))
+
+
+def cluster_check(embeddings: DataFrame) -> DataFrame:
+    """Rows, clusters that have some, and rows that are not at their nearest centre."""
+    model, clustered = cluster_model(embeddings)
+    centres = [list(c) for c in model.clusterCenters()]
+    counts = (F.count(F.lit(1)).alias("rows"), F.count_distinct("prediction").alias("clusters"))
+    return one_row(clustered, *counts, misplaced=checks.misplaced(clustered, centres))
+
+
+def silhouette(clustered: DataFrame) -> float:
+    return ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(clustered)
+
+
+def silhouette_check(embeddings: DataFrame) -> DataFrame:
+    _, clustered = cluster_model(embeddings)
+    off = not checks.close(silhouette(clustered), checks.silhouette_of(clustered), 1e-6)
+    return one_row(clustered, F.count(F.lit(1)).alias("rows"), wrong_silhouette=off)
+
+
+def embedding_model(embeddings: DataFrame, kinds: tuple[int, ...]) -> tuple[Model, DataFrame]:
+    """Two classes of stored feature vectors, one weak logistic step on 70 %; the model and the other 30 %."""
+    rows = written(labelled_union(embeddings, kinds).withColumnRenamed("kind", "label"), "pair")
+    parts = hash_split(rows, "vec_id", 70)
+    train, test = (parts.where(F.col("part") == name).drop("part") for name in ("train", "test"))
+    # The parameters of the weak step.
+    estimator = LogisticRegression(maxIter=1, regParam=0.05, elasticNetParam=0.3)
+    return estimator.fit(placed(train, "vec_id").transform(embedding_vectors)), embedding_vectors(test)
 
 
-def cluster_silhouette(embeddings: DataFrame) -> DataFrame:
-    evaluator = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean")
-    value = evaluator.evaluate(clusters(embeddings))
-    return embeddings.sparkSession.createDataFrame([(round(value, 4),)], "silhouette double")
+def embedding_classifier(embeddings: DataFrame, kinds: tuple[int, ...] = (0, 1)) -> DataFrame:
+    model, test = embedding_model(embeddings, kinds)
+    return scored_row("logistic", "label", model.transform(test))
 
 
-def embedding_classifier(embeddings: DataFrame) -> DataFrame:
-    """Two classes of stored feature vectors, one weak logistic step, accuracy on 30 %."""
-    pair = labelled_union(embeddings).withColumnRenamed("kind", "label")
-    rows = written(pair, "pair")
-    parts = seeded_parts(rows, {"train": 0.7, "test": 0.3}, SEED)
-    model = LogisticRegression(maxIter=1, regParam=0.05, elasticNetParam=0.3)
-    fitted = model.fit(embedding_vectors(parts["train"]))
-    scored = fitted.transform(embedding_vectors(parts["test"]))
-    return scored_row("logistic", "label", scored)
+def embedding_check(embeddings: DataFrame, kinds: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """Test rows, and those whose probability or prediction is not what the weights say."""
+    model, test = embedding_model(embeddings, kinds)
+    scored = model.transform(test)
+    wrong = checks.wrong_logits(scored, list(model.coefficients), model.intercept)
+    return one_row(scored, F.count(F.lit(1)).alias("test_rows"), wrong_predictions=wrong)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyworks.ml.tuning import (
     FAMILY_GRID,
     JOINT_GRID,
+    PARALLEL_FITS,
     SEED,
     FamilyResult,
     best_position,
@@ -22,45 +23,67 @@ from tallyworks.ml.tuning import (
     tune_families,
 )
 from tallyworks.ml.vectors import assembler, labelled, middle_columns
-from tallyworks.operators.splits import seeded_parts
+from tallyworks.operators.splits import hash_split
 from tallyworks.plans import passengers
 from tallyworks.sources.files import write_csv
-from tallyworks.sources.workspace import new_folder, spread, written
+from tallyworks.sources.workspace import new_folder, placed, written
 
 RESULT_SCHEMA = "family string, params string, validation_rmse double, test_rmse double"
 
 
-def tune_jointly(train: DataFrame, settings: dict[str, dict] | None = None):
+def tune_jointly(
+    train: DataFrame,
+    settings: dict[str, dict] | None = None,
+    parallelism: int = PARALLEL_FITS,
+    keep_models: bool = False,
+):
     """All families in one search; returns the fitted search."""
     pipeline = Pipeline(stages=[assembler(middle_columns(train))])
     grid = joint_grid(pipeline, regressors(), settings or JOINT_GRID)
-    return tune(pipeline, grid, rmse(), train)
+    return tune(pipeline, grid, rmse(), train, keep_models, parallelism=parallelism)
+
+
+def save(model: PipelineModel, path: str, replace: bool) -> None:
+    """Store the model; an existing path is an error unless it is to be replaced."""
+    (model.write().overwrite() if replace else model.write()).save(path)
 
 
 def fit_ctr_model(
-    spark: SparkSession, train_path: str, test_path: str, model_path: str, settings: dict[str, dict] | None = None
+    spark: SparkSession,
+    train_path: str,
+    test_path: str,
+    model_path: str,
+    settings: dict[str, dict] | None = None,
+    parallelism: int = PARALLEL_FITS,
+    replace: bool = False,
 ) -> DataFrame:
     """The training job: read, tune all families, store the winner, report both errors."""
     train = labelled(spark.read.parquet(train_path))
     test = labelled(spark.read.parquet(test_path))
-    model = tune_jointly(train, settings)
+    model = tune_jointly(train, settings, parallelism)
     position = best_position(model)
     family, params = describe_setting(model.getEstimatorParamMaps()[position])
-    model.bestModel.write().overwrite().save(model_path)
+    save(model.bestModel, model_path, replace)
     test_error = rmse().evaluate(model.bestModel.transform(test))
     row = [(family, params, float(model.validationMetrics[position]), float(test_error))]
     return spark.createDataFrame(row, RESULT_SCHEMA)
 
 
 def fit_best_family(
-    spark: SparkSession, train_path: str, test_path: str, model_path: str, settings: dict[str, dict] | None = None
+    spark: SparkSession,
+    train_path: str,
+    test_path: str,
+    model_path: str,
+    settings: dict[str, dict] | None = None,
+    parallelism: int = PARALLEL_FITS,
+    replace: bool = False,
 ) -> list[FamilyResult]:
     """The training job that tunes each family on its own; the best one is stored."""
     train = labelled(spark.read.parquet(train_path))
     test = labelled(spark.read.parquet(test_path))
     features = assembler(middle_columns(train))
-    results = tune_families(train, test, features, settings or FAMILY_GRID)
-    results[0].model.write().overwrite().save(model_path)
+    results = tune_families(train, test, features, settings or FAMILY_GRID, parallelism=parallelism)
+    save(results[0].model, model_path, replace)
     return results
 
 
@@ -69,32 +92,34 @@ def family_report(spark: SparkSession, results: list[FamilyResult]) -> DataFrame
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
-def score_ads(spark: SparkSession, model_path: str, input_path: str, output_path: str) -> None:
-    """The scoring job: stored model, Parquet in, CSV of ad_id and prediction out."""
+def score_ads(spark: SparkSession, model_path: str, input_path: str, output_path: str, replace: bool = False) -> None:
+    """The scoring job: stored model, Parquet in, CSV of ad_id and prediction out, a row for each row."""
     model = PipelineModel.load(model_path)
     predicted = model.transform(spark.read.parquet(input_path))
-    write_csv(predicted.select("ad_id", "prediction"), output_path)
+    write_csv(predicted.select("ad_id", "prediction"), output_path, replace=replace)
 
 
 def quick_ctr_model(train: DataFrame, family: str = "dt") -> PipelineModel:
-    return Pipeline(stages=[assembler(middle_columns(train)), regressors()[family]]).fit(train)
+    return Pipeline(stages=[assembler(middle_columns(train)), regressors()[family]]).fit(placed(train))
 
 
-def scored_ads(features: DataFrame) -> DataFrame:
-    """Train on the labelled ads, store model and rows, score all ads from the files."""
+def scored_ads(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train on the labelled ads, store model and rows, score all ads from the files: what the files hold, and
+    what the model in memory says."""
     spark = features.sparkSession
     rows_path, model_path, out = (new_folder(spark, label) for label in ("ads", "model", "scores"))
     features.write.parquet(rows_path)
-    quick_ctr_model(labelled(spark.read.parquet(rows_path))).write().overwrite().save(model_path)
+    model = quick_ctr_model(labelled(spark.read.parquet(rows_path)))
+    save(model, model_path, False)
     score_ads(spark, model_path, rows_path, out)
-    return spark.read.schema("ad_id long, prediction double").csv(out, header=True)
+    stored = spark.read.schema("ad_id long, prediction double").csv(out, header=True)
+    return stored, model.transform(spark.read.parquet(rows_path)).select("ad_id", "prediction")
 
 
-def model_round_trip(passenger_rows: DataFrame) -> DataFrame:
-    """Rows for which a stored and reloaded forest pipeline predicts differently than the original."""
-    spark = passenger_rows.sparkSession
-    ready = passengers.prepared(passenger_rows).withColumn("row_id", F.monotonically_increasing_id())
-    rows = written(ready, "passengers")
+def forest_pipeline(passenger_rows: DataFrame) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """The four-stage passenger pipeline, fitted on 80 % of the rows; all rows, and those kept for validation."""
+    rows = written(passengers.prepared(passenger_rows, keep=("PassengerId",)), "passengers")
+    # The inputs of the stored pipeline.
     inputs = ["Pclass", "Age", "SibSp", "Parch", "Fare", "Family_Size", "Embarked_index", "Sex_index"]
     pipeline = Pipeline(
         stages=[
@@ -104,12 +129,30 @@ def model_round_trip(passenger_rows: DataFrame) -> DataFrame:
             RandomForestClassifier(labelCol="Survived", seed=SEED),
         ]
     )
-    model = pipeline.fit(spread(seeded_parts(rows, {"train": 0.8, "validate": 0.2}, SEED)["train"]))
-    path = new_folder(spark, "forest")
-    model.write().overwrite().save(path)
-    before = model.transform(rows).select("row_id", F.col("prediction").alias("before"))
-    after = PipelineModel.load(path).transform(rows).select("row_id", F.col("prediction").alias("after"))
-    return before.join(after, "row_id").agg(
+    parts = {name: hash_split(rows, "PassengerId", 80).where(F.col("part") == name) for name in ("train", "test")}
+    return pipeline.fit(placed(parts["train"])), rows, parts["test"]
+
+
+def reloaded(model: PipelineModel) -> PipelineModel:
+    path = new_folder(SparkSession.active(), "forest")
+    save(model, path, False)
+    return PipelineModel.load(path)
+
+
+def held_out_accuracy(passenger_rows: DataFrame) -> DataFrame:
+    """The stored and reloaded forest pipeline on the rows it was not trained on: their number, accuracy and error."""
+    model, _, validate = forest_pipeline(passenger_rows)
+    scored = reloaded(model).transform(validate)
+    hits = F.avg((F.col("prediction") == F.col("Survived")).cast("int"))
+    return scored.agg(F.count(F.lit(1)).alias("rows"), hits.alias("accuracy"), (1 - hits).alias("error"))
+
+
+def model_round_trip(passenger_rows: DataFrame) -> DataFrame:
+    """Rows for which a stored and reloaded forest pipeline predicts differently than the original."""
+    model, rows, _ = forest_pipeline(passenger_rows)
+    before = model.transform(rows).select("PassengerId", F.col("prediction").alias("before"))
+    after = reloaded(model).transform(rows).select("PassengerId", F.col("prediction").alias("after"))
+    return before.join(after, "PassengerId").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~F.col("before").eqNullSafe(F.col("after"))).alias("differences"),
     )

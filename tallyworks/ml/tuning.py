@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import product
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator, RegressionEvaluator
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -17,6 +17,8 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sources.workspace import placed
+
 SEED = 42
 TRAIN_RATIO = 0.8
 PARALLEL_FITS = 4
@@ -50,6 +52,7 @@ FOREST_GRID = {
 
 def regressors(label: str = "ctr") -> dict[str, Estimator]:
     """The four model families with their starting parameters."""
+    # The starting parameters.
     return {
         "lr": LinearRegression(labelCol=label, maxIter=40, regParam=0.4, elasticNetParam=0.8),
         "gbt": GBTRegressor(labelCol=label, seed=SEED),
@@ -78,17 +81,24 @@ def joint_grid(pipeline: Pipeline, families: dict[str, Estimator], settings: dic
     return [params for grid in grids for params in grid]
 
 
-def settings_count(settings: dict[str, list]) -> int:
-    return len(list(product(*settings.values())))
+def settings_count(estimator: Estimator, settings: dict[str, list]) -> int:
+    return len(grid_of(estimator, settings))
 
 
-GRIDS = {"joint": JOINT_GRID, "per family": FAMILY_GRID, "three-class forest": {"rf": FOREST_GRID}}
+FOREST_GRIDS = {"rf": FOREST_GRID}
+GRIDS = {"joint": JOINT_GRID, "per family": FAMILY_GRID, "three-class forest": FOREST_GRIDS}
 
 
 def grid_sizes(rows: DataFrame) -> DataFrame:
-    """Settings per grid and family, with the number of rows each of them is fitted on or scored with."""
+    """Settings per grid and family as the grid builder makes them, with the number of labelled rows that each
+    of them is fitted on or scored with."""
+    estimators, forest = regressors(), {"rf": RandomForestClassifier()}
     sizes = [
-        F.struct(F.lit(grid).alias("grid"), F.lit(family).alias("family"), F.lit(settings_count(chosen)).alias("settings"))
+        F.struct(
+            F.lit(grid).alias("grid"),
+            F.lit(family).alias("family"),
+            F.lit(settings_count((forest if families is FOREST_GRIDS else estimators)[family], chosen)).alias("settings"),
+        )
         for grid, families in GRIDS.items()
         for family, chosen in families.items()
     ]
@@ -101,19 +111,32 @@ def rmse(label: str = "ctr") -> RegressionEvaluator:
 
 
 def tune(
-    estimator: Estimator, grid: list[dict], evaluator: Evaluator, train: DataFrame, keep_models: bool = False
+    estimator: Estimator,
+    grid: list[dict],
+    evaluator: Evaluator,
+    train: DataFrame,
+    keep_models: bool = False,
+    keys: list[str] | None = None,
+    parallelism: int = PARALLEL_FITS,
 ) -> TrainValidationSplitModel:
-    """Fit every setting on 80 % of the rows, score on the rest, refit the winner on all rows."""
+    """Fit every setting on 80 % of the rows, score on the rest, refit the winner on all rows.
+
+    The rows are placed by content first, because the split and the trees depend on where rows are.
+    """
     search = TrainValidationSplit(
         estimator=estimator,
         estimatorParamMaps=grid,
         evaluator=evaluator,
         trainRatio=TRAIN_RATIO,
-        parallelism=PARALLEL_FITS,
+        parallelism=parallelism,
         collectSubModels=keep_models,
         seed=SEED,
     )
-    return search.fit(train)
+    rows = placed(train, *(keys or train.columns)).persist()
+    try:
+        return search.fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def describe_setting(params: dict) -> tuple[str, str]:
@@ -152,13 +175,18 @@ class FamilyResult:
 
 
 def tune_families(
-    train: DataFrame, test: DataFrame, features: Estimator, settings: dict[str, dict], label: str = "ctr"
+    train: DataFrame,
+    test: DataFrame,
+    features: Transformer,
+    settings: dict[str, dict],
+    label: str = "ctr",
+    parallelism: int = PARALLEL_FITS,
 ) -> list[FamilyResult]:
     """Tune each family on its own; families are ranked by validation error, the test set only reports."""
     families, evaluator, results = regressors(label), rmse(label), []
     for name, chosen in settings.items():
         estimator = families[name]
-        model = tune(Pipeline(stages=[features, estimator]), grid_of(estimator, chosen), evaluator, train)
+        model = tune(Pipeline(stages=[features, estimator]), grid_of(estimator, chosen), evaluator, train, parallelism=parallelism)
         position = best_position(model)
         params = describe_setting(model.getEstimatorParamMaps()[position])[1]
         test_error = evaluator.evaluate(model.bestModel.transform(test))

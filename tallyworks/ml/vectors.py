@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
+from functools import reduce
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def assembler(inputs: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=inputs, outputCol="features")
+def assembler(inputs: list[str]) -> PipelineModel:
+    """The inputs as one vector, a missing value read as 0: an ad without views has 0 days with views.
+
+    Both steps are stages of the stored model, so scoring reads missing values as fitting did.
+    """
+    filled = [f"_filled_{i}" for i in range(len(inputs))]
+    chosen = ", ".join(f"coalesce(cast(`{c}` as double), 0D) as {f}" for c, f in zip(inputs, filled, strict=True))
+    fill = SQLTransformer(statement=f"select *, {chosen} from __THIS__")
+    return PipelineModel([fill, VectorAssembler(inputCols=filled, outputCol="features")])
 
 
 def middle_columns(df: DataFrame) -> list[str]:
@@ -41,10 +51,10 @@ def embedding_vectors(embeddings: DataFrame) -> DataFrame:
     return embeddings.select("vec_id", "label", array_to_vector(values).alias("features"))
 
 
-def labelled_union(embeddings: DataFrame) -> DataFrame:
-    """Two sources of one class each, tagged with a literal and put under each other."""
+def labelled_union(embeddings: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
+    """Sources of one class each, tagged with a literal and put under each other."""
     sources = [
         embeddings.where(F.col("label") == kind).select("vec_id", "embedding", F.lit(kind).alias("kind"))
-        for kind in (0, 1)
+        for kind in kinds
     ]
-    return sources[0].unionByName(sources[1])
+    return reduce(DataFrame.unionByName, sources)

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.sources.workspace import written
 
-HOT_SHARE = 1000  # a key is hot when it holds more than 1/1000 of all rows
-HOT_SLOTS = 64  # tasks that share the rows of one hot key
+FINENESS = 8  # slots of an n-th of the rows come in this many parts
 
 
 def join_per_key(
@@ -22,17 +21,20 @@ def join_per_key(
     """`rows` joined (`left`, `inner` or `left_semi`) with `per_key` on `key`.
 
     `per_key[weight]` is the number of rows each key has in `rows`; it is not part of the result.
-    The hot keys are fewer than HOT_SHARE by counting alone, because their weights add up to at most
-    the total, so broadcasting them is bounded at any data size. Rows of a hot key are spread over
-    HOT_SLOTS slots by a hash of `row_id`, and the key's single row is repeated once per slot. Each
-    row still meets its key exactly once, so the result is the plain join.
+    With n = FINENESS times the shuffle partitions, a key is hot when it holds more than 1/n of all rows.
+    Hot keys are fewer than n by counting alone, because their weights add up to at most the total, so
+    broadcasting them is bounded at any data size. The rows of a hot key are spread over as many slots as
+    it holds n-ths of all rows, by a hash of `row_id`, and the key's single row is repeated once per slot:
+    no slot has more than about 1/n of the rows, so slots that meet in a task even out, and all slots
+    together are fewer than 2 n. Each row still meets its key exactly once, so the result is the plain join.
 
     `per_key` is written once, because it is read four times and usually aggregates all the rows.
     """
     per_key = written(per_key, "per-key")
+    n = FINENESS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = per_key.agg(F.sum(weight)).scalar()
-    hot = per_key.where(F.col(weight) * HOT_SHARE > total).select(key, F.lit(HOT_SLOTS).alias("_slots"))
-    hot = F.broadcast(hot)
+    shares = F.col(weight) * n / total
+    hot = F.broadcast(per_key.where(shares > 1).select(key, F.ceil(shares).cast("int").alias("_slots")))
     slots = F.coalesce("_slots", F.lit(1))
 
     spread = rows.withColumn("_row", row_id).join(hot, key, "left")

@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.sources.workspace import written
-
 
 def seeded_parts(stored: DataFrame, shares: dict[str, float], seed: int) -> dict[str, DataFrame]:
     """Random parts of a frame read from files.
@@ -20,12 +18,31 @@ def seeded_parts(stored: DataFrame, shares: dict[str, float], seed: int) -> dict
     return dict(zip(shares, parts, strict=True))
 
 
-def write_split(df: DataFrame, target: str, shares: dict[str, float], seed: int) -> dict[str, str]:
-    """Store the frame once, then write each part as Parquet to `target/<part>`."""
-    paths = {name: f"{target.rstrip('/')}/{name}" for name in shares}
-    for name, part in seeded_parts(written(df, "split-input"), shares, seed).items():
-        part.write.mode("overwrite").parquet(paths[name])
-    return paths
+def part_of(keys: list[str], shares: dict[str, float], seed: int) -> Column:
+    """The part that rows with these key values fall into, whatever the machine, the files or the rest."""
+    place = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    names, bound, part = list(shares), 0.0, None
+    for name in names[:-1]:
+        bound += shares[name]
+        inside = place < round(bound * 1_000_000)
+        part = F.when(inside, name) if part is None else part.when(inside, name)
+    return F.lit(names[0]) if part is None else part.otherwise(names[-1])
+
+
+def content_parts(df: DataFrame, shares: dict[str, float], seed: int, keys: list[str] | None = None) -> dict[str, DataFrame]:
+    """Parts drawn by a seeded hash of the keys (all columns without any); equal rows stay together."""
+    part = part_of(keys or df.columns, shares, seed)
+    return {name: df.where(part == name) for name in shares}
+
+
+def write_split(df: DataFrame, target: str, shares: dict[str, float], seed: int, key: str, replace: bool = False) -> dict[str, str]:
+    """Write the parts as Parquet to `target/part=<name>` in one pass over the frame, without a copy of it.
+
+    Rows with the same key are in the same part. An existing target is an error unless it is to be replaced.
+    """
+    parted = df.withColumn("part", part_of([key], shares, seed))
+    parted.write.mode("overwrite" if replace else "errorifexists").partitionBy("part").parquet(target)
+    return {name: f"{target.rstrip('/')}/part={name}" for name in shares}
 
 
 def hash_split(df: DataFrame, key: str, train_percent: int = 75) -> DataFrame:

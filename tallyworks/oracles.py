@@ -112,6 +112,27 @@ def employees_where(condition: str) -> str:
     return on("employee", f"select count(*) as rows from employee where {condition}")
 
 
+PASSENGER_COLUMNS = {
+    "PassengerId": "bigint",
+    "Survived": "int",
+    "Pclass": "int",
+    "Name": "string",
+    "Sex": "string",
+    "Age": "double",
+    "SibSp": "int",
+    "Parch": "int",
+    "Ticket": "string",
+    "Fare": "double",
+    "Cabin": "string",
+    "Embarked": "string",
+}
+
+LABELLED = "select count(ctr) as n from features"
+HELD_OUT = "select count(*) as n from passengers where (PassengerId % 100 * 7919) % 100 >= 80"
+BOOSTED_GRID = """
+    select 'GBTRegressor' as family, format('maxBins={}, maxDepth={}, maxIter={}', bins, depth, iterations) as params
+    from (values (32), (33)) as b(bins), (values (5), (6), (7)) as d(depth), (values (4), (5), (6), (7)) as i(iterations)"""
+
 SPIKE = "date '2024-01-05'"
 
 SOURCES = {
@@ -136,18 +157,16 @@ SOURCES = {
     "json_roundtrip": on("employee", "select * from employee"),
     "parquet_roundtrip": on("employee", "select * from employee"),
     "text_roundtrip": """
-        select n as rows, cast(0 as bigint) as lowest, n - 1 as highest, cast(n * (n - 1) // 2 as varchar) as total
-        from (select count(*) as n from orders)""",
+        select count(*) as rows, min(o_orderkey) as lowest, max(o_orderkey) as highest,
+               cast(sum(o_orderkey) as varchar) as total
+        from orders""",
     "table_scan": on("employee", "select * from employee"),
     "sql_view_filter": on("employee", "select name from employee where id <= 2"),
-    "range_source": """
-        select count(*) as rows, min(x) as lowest, max(x) as highest, cast(sum(x) as varchar) as total
-        from (select unnest(range(cast(n as bigint))) as x from (select count(*) as n from orders))""",
     "range_filter_sum": """
-        select cast(sum(x + 100) as varchar) as total
-        from (select unnest(range(cast(n as bigint))) as x from (select count(*) as n from orders))
-        where x * x > 1000""",
-    "union_count": "select 2 * count(*) as rows from orders",
+        select cast(sum(o_orderkey + 100) as varchar) as total from orders
+        where power(cast(o_orderkey as double), 2) > 1000""",
+    "union_count": """
+        select count(*) as rows from (select o_orderkey from orders union all select o_orderkey from orders)""",
     "repartition_report": """
         select cast(4 as bigint) as partitions, count(*) as rows, true as even from orders""",
     "tuples_source": """
@@ -162,14 +181,13 @@ SOURCES = {
     "first_rows": on("employee", "select id, name, surname from employee order by id limit 10"),
     "column_profile": on(
         "passengers",
-        """
-        select cast(position as int) as position, column_name, data_type, total as rows,
-               case column_name when 'Age' then ages when 'Embarked' then ports else total end as non_null
-        from (values (1, 'PassengerId', 'bigint'), (2, 'Survived', 'int'), (3, 'Pclass', 'int'),
-                     (4, 'Name', 'string'), (5, 'Sex', 'string'), (6, 'Age', 'double'), (7, 'SibSp', 'int'),
-                     (8, 'Parch', 'int'), (9, 'Ticket', 'string'), (10, 'Fare', 'double'),
-                     (11, 'Cabin', 'string'), (12, 'Embarked', 'string')) as t(position, column_name, data_type),
-             (select count(*) as total, count(Age) as ages, count(Embarked) as ports from passengers)""",
+        "\nunion all\n".join(
+            f"""
+            select {position}::int as position, '{name}' as column_name, '{kind}' as data_type, count(*) as rows,
+                   count({name}) as non_null, count(distinct {name}) as distinct_values
+            from passengers"""
+            for position, (name, kind) in enumerate(PASSENGER_COLUMNS.items(), start=1)
+        ),
     ),
 }
 
@@ -376,9 +394,7 @@ ADS = {
         """
         select count(*) filter (platform = 'android') as androids, count(*) filter (platform = 'ios') as ios,
                count(*) filter (platform = 'web') as web
-        from (select platform from ads_data
-              where ad_id in (select ad_id from per_ad where views = 0 and clicks <> 0)
-              order by time, platform, event_id limit 100)""",
+        from ads_data where ad_id in (select ad_id from per_ad where views = 0 and clicks <> 0)""",
     ),
     "orphan_click_platforms_all": on(
         "per_ad",
@@ -396,6 +412,15 @@ ADS = {
               from ads_data)
         where position = 1 and event = 'click'""",
     ),
+    "approx_click_first": on(
+        "ads_data",
+        """
+        select count(distinct ad_id) as ads, false as outside_bound
+        from (select ad_id, row_number() over (partition by ad_id, platform
+                                               order by time, event = 'click', event_id) as position, event
+              from ads_data)
+        where position = 1 and event = 'click'""",
+    ),
     "late_click_count": on(
         "ads_data",
         """
@@ -477,6 +502,21 @@ TAXI = {
         select 'trip_total', count(trip_total), round(avg(trip_total), 1), round(stddev_samp(trip_total), 1),
                min(trip_total), max(trip_total) from trips""",
     ),
+    "describe_passengers": on(
+        "passengers",
+        "\nunion all\n".join(
+            f"""
+            select '{name}' as column, count({name}) as count,
+                   {f"round(avg({name}), 6)" if number else "null::double"} as mean,
+                   {f"round(stddev_samp({name}), 6)" if number else "null::double"} as stddev,
+                   {f"min({name})::double" if number else "null::double"} as min_number,
+                   {f"max({name})::double" if number else "null::double"} as max_number,
+                   {"null::varchar" if number else f"min({name})"} as min_text,
+                   {"null::varchar" if number else f"max({name})"} as max_text
+            from passengers"""
+            for name, number in (("Sex", False), ("Age", True), ("Fare", True), ("Embarked", False), ("Pclass", True))
+        ),
+    ),
     "least_common_payment": on(
         "trips",
         "select payment_type, count(*) as trips from trips group by payment_type order by trips, payment_type limit 1",
@@ -661,6 +701,61 @@ MODELS = {
         from (select avg(case when cast(Pclass <= 2 as int) = Survived then 1.0 else 0.0 end) as share
               from passengers)""",
     ),
+    "linreg_fit": "select count(*) as rows, 0::bigint as violations from lineitem",
+    "linreg_summary": """
+        select count(*) as rows, count(*) as summarised, false as wrong_rmse, false as wrong_r2 from lineitem""",
+    "dt_reg": on("features", f"select n as rows, 0::bigint as wrong_leaves, 0::bigint as unknown_values from ({LABELLED})"),
+    "rf_reg": on("features", f"select n as rows, 0::bigint as wrong_sums from ({LABELLED})"),
+    "gbt_reg": on("features", f"select n as rows, 0::bigint as wrong_sums from ({LABELLED})"),
+    "compare_regressors": on(
+        "features",
+        f"""
+        select n as rows, model, false as wrong_rmse
+        from ({LABELLED}), (values ('lr'), ('gbt'), ('rf'), ('dt')) as t(model)""",
+    ),
+    **{
+        query: on(
+            "passengers",
+            f"""
+            select model, n as test_rows, false as wrong_accuracy, 0::bigint as wrong_parts
+            from ({HELD_OUT}), (values {", ".join(f"('{m}')" for m in models)}) as t(model)""",
+        )
+        for query, models in {
+            "logreg": ["logistic"],
+            "dt_cls": ["tree"],
+            "rf_cls": ["forest"],
+            "gbt_cls": ["boosted"],
+            "port_classifiers": ["tree", "forest"],
+        }.items()
+    },
+    "kmeans_assign": "select count(*) as rows, 3::bigint as clusters, 0::bigint as misplaced from embeddings",
+    "kmeans_silhouette": "select count(*) as rows, false as wrong_silhouette from embeddings",
+    "tvs_best": on(
+        "passengers",
+        """
+        select count(*) as rows, 56::bigint as settings, false as wrong_choice, false as wrong_metric
+        from passengers where (PassengerId % 100 * 7919) % 100 < 80""",
+    ),
+    "tune_all_families": on(
+        "features",
+        f"""
+        select n as rows, 88::bigint as settings, false as wrong_choice, false as wrong_metric from ({LABELLED})""",
+    ),
+    "tuning_report": f"select family, params, false as out_of_order from ({BOOSTED_GRID})",
+    "best_family": on(
+        "features",
+        f"select n as rows, family, false as wrong_rmse from ({LABELLED}), (values ('dt'), ('rf'), ('gbt')) as t(family)",
+    ),
+    "ctr_train_job": on("features", f"select n as rows, false as wrong_rmse from ({LABELLED})"),
+    "score_ads": on(
+        "features", "select count(*) as rows, 0::bigint as missing, 0::bigint as differences from features"
+    ),
+    "pipeline_held_out": on(
+        "passengers", f"select n as rows, n as scored, false as wrong_error, false as poor from ({HELD_OUT})"
+    ),
+    "embedding_classifier": """
+        select count(*) as test_rows, 0::bigint as wrong_predictions from embeddings
+        where label in (0, 1) and (vec_id % 100 * 7919) % 100 >= 70""",
     "model_roundtrip": "select count(*) as rows, cast(0 as bigint) as differences from orders",
 }
 

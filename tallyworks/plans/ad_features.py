@@ -11,6 +11,7 @@ from tallyworks.operators.splits import write_split
 from tallyworks.plans.ads import clicks, is_view, views
 from tallyworks.sources.workspace import new_folder
 
+# The feature columns in their order, and the shares of the two files.
 AD_COLUMNS = ["ad_id", "target_audience_count", "has_video", "is_cpm", "is_cpc", "ad_cost"]
 FEATURE_COLUMNS = [*AD_COLUMNS, "day_count", "ctr"]
 SHARES = {"train": 0.75, "test": 0.25}
@@ -86,9 +87,12 @@ def event_features_two_tables(ads: DataFrame) -> DataFrame:
     return _onto_events(ads, per_ad).select(*AD_COLUMNS, "days_count", "ctr")
 
 
-def build_training_files(features: DataFrame, target: str) -> dict[str, str]:
-    """The feature job: features once, then train (75 %) and test (25 %) as Parquet below `target`."""
-    return write_split(features, target, SHARES, SEED)
+def build_training_files(features: DataFrame, target: str, replace: bool = False) -> dict[str, str]:
+    """The feature job: train (75 %) and test (25 %) of the ads as Parquet below `target`, in one pass.
+
+    An ad has all its rows in one part, so at event grain the test error is not that of rows seen in training.
+    """
+    return write_split(features, target, SHARES, SEED, "ad_id", replace)
 
 
 def training_files(ads: DataFrame) -> dict[str, str]:

@@ -26,6 +26,7 @@ from tallyworks.operators.keyed_join import join_per_key
 from tallyworks.operators.quantile import exact_quantile, mean_of, rank_discrete, value_counts
 
 SPIKE_DAY = datetime.date(2024, 1, 5)
+APPROXIMATE_DEVIATION = 0.05  # relative standard deviation of approximate distinct counts
 
 
 def is_view() -> Column:
@@ -50,8 +51,9 @@ def clicks() -> Column:
 def daily_stats(ads: DataFrame) -> DataFrame:
     """Events, views, clicks, distinct ads and campaigns per date.
 
-    One exchange: the distinct ids of a date are combined in each task and spread by (date, id), so
-    neither a busy date nor a busy ad meets a single task.
+    Each row counts for the two distinct columns and for the rest, so three rows go into the first,
+    partial aggregate. Its result, one row per task, date and id, is spread by (date, id), and the counts
+    meet by date in a second exchange: neither a busy date nor a busy ad meets a single task.
     """
     return ads.groupBy("date").agg(
         F.count("event").alias("all_events"),
@@ -206,17 +208,17 @@ def ctr_by(ads: DataFrame, key: str) -> DataFrame:
 
 def ctr_by_ad_sql(ads: DataFrame) -> DataFrame:
     """SQL text: aliases of aggregates are reused in the same SELECT and in HAVING."""
-    ads.createOrReplaceTempView("ads_data")
     return ads.sparkSession.sql(
         """
         select ad_id,
                count_if(event = 'view')   as views,
                count_if(event = 'click')  as clicks,
                try_divide(clicks, views)  as ctr
-        from ads_data
+        from {ads}
         group by ad_id
         having views <> 0
-        """
+        """,
+        ads=ads,
     )
 
 
@@ -275,18 +277,35 @@ def max_platforms_per_ad(ads: DataFrame) -> DataFrame:
     return per_ad.agg(F.max("platforms").alias("max_platforms"))
 
 
+def _mask(platforms: list[str]) -> Column:
+    """Aggregate: a bit for each of the platforms with a view."""
+    bit = F.lit(0).cast("long")
+    for place, name in enumerate(platforms):
+        bit = F.when(F.col("platform") == name, F.lit(1 << place).cast("long")).otherwise(bit)
+    return F.bit_or(F.when(is_view(), bit).otherwise(F.lit(0).cast("long")))
+
+
 def platform_sets(ads: DataFrame) -> DataFrame:
     """Share of all ads per combination of platforms they were viewed on.
 
-    A set holds each platform once, in the tasks' partial results too, so its size is bounded by the
-    number of platforms and not by the events of the ad. Ads without views stay in as an empty set
-    until the total is known.
+    Each platform has a bit, 62 of them a number, and an ad the combined bits of its views, which a hash
+    aggregate holds as plain numbers. Bits become names again in the few result rows. Ads without views
+    stay in with no bit until the total is known.
     """
-    seen_on = F.collect_set(F.when(is_view(), F.col("platform")))
-    per_ad = ads.groupBy("ad_id").agg(F.array_sort(seen_on).alias("platforms"))
-    sets = per_ad.groupBy("platforms").agg(F.count(F.lit(1)).alias("ads"))
+    shown = ads.where(is_view() & F.col("platform").isNotNull())
+    names = [row[0] for row in shown.select("platform").distinct().orderBy("platform").collect()]
+    groups = [names[i : i + 62] for i in range(0, len(names), 62)]
+    masks = {f"_mask{i}": _mask(group) for i, group in enumerate(groups)}
+    per_ad = ads.groupBy("ad_id").agg(F.lit(0).alias("_none"), *(mask.alias(c) for c, mask in masks.items()))
+    sets = per_ad.groupBy("_none", *masks).agg(F.count(F.lit(1)).alias("ads"))
     sets = sets.withColumn("sum_ads", F.sum("ads").over(Window.partitionBy()))
-    shares = sets.where(F.size("platforms") > 0).select(
+    named = [
+        F.when(F.getbit(c, F.lit(bit)) == 1, name)
+        for c, group in zip(masks, groups, strict=True)
+        for bit, name in enumerate(group)
+    ]
+    found = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+    shares = sets.withColumn("platforms", found).where(F.size("platforms") > 0).select(
         F.array_join("platforms", ",").alias("platforms"),
         "ads",
         "sum_ads",
@@ -312,8 +331,11 @@ def clicked_never_viewed(ads: DataFrame) -> DataFrame:
     return never_viewed(ads).agg(F.count("ad_id").alias("ads"))
 
 
-def orphan_platforms(ads: DataFrame, first: int = 100) -> DataFrame:
-    """Platforms of the first events (by time, platform) of ads that were clicked but never viewed."""
+def orphan_platforms(ads: DataFrame, first: int | None = None) -> DataFrame:
+    """Platforms of the events of ads that were clicked but never viewed: of all, or of the `first` ones by time
+    and platform, if the caller asks for no more."""
+    if first is None:
+        return orphan_platforms_all(ads)
     orphans = never_viewed(ads).select("ad_id", "events")
     # an ad without views has no view rows, so those need not meet the join
     candidates = ads.where(~is_view()).select("event_id", "ad_id", "time", "platform")
@@ -353,8 +375,16 @@ def click_first_ads(ads: DataFrame) -> DataFrame:
     return click_first(ads).agg(F.count_distinct("ad_id").alias("ads"))
 
 
+def click_first_ads_check(ads: DataFrame, deviations: int = 4) -> DataFrame:
+    """The exact number beside whether the approximate one lies within so many of its standard deviations."""
+    exact, near = click_first_ads(ads), click_first_ads_approx(ads)
+    both = exact.select("ads", near.scalar().alias("_near"))
+    bound = deviations * APPROXIMATE_DEVIATION * F.col("ads")
+    return both.select("ads", (F.abs(F.col("_near") - F.col("ads")) > bound).alias("outside_bound"))
+
+
 def click_first_ads_approx(ads: DataFrame) -> DataFrame:
-    return click_first(ads).agg(F.approx_count_distinct("ad_id").alias("ads"))
+    return click_first(ads).agg(F.approx_count_distinct("ad_id", APPROXIMATE_DEVIATION).alias("ads"))
 
 
 def late_changes(ads: DataFrame) -> DataFrame:

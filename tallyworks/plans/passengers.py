@@ -80,10 +80,14 @@ def clean(df: DataFrame) -> DataFrame:
     return cleaned.transform(fill_mean_age).transform(with_sex_flags).drop("Sex")
 
 
-def prepared(df: DataFrame) -> DataFrame:
-    """Filled and derived columns, categories still as text."""
+# The columns that say nothing about survival.
+UNUSED = ("PassengerId", "Name", "Ticket", "Cabin")
+
+
+def prepared(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Filled and derived columns, categories still as text; without UNUSED but for those to `keep`."""
     ready = df.transform(fill_mean_age, rounded=True).transform(fill_embarked)
-    return ready.transform(with_alone).drop("PassengerId", "Name", "Ticket", "Cabin")
+    return ready.transform(with_alone).drop(*(c for c in UNUSED if c not in keep))
 
 
 def with_category_index(df: DataFrame) -> DataFrame:

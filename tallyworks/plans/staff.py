@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.operators.keyed_join import join_per_key
+
 
 def columns(employee: DataFrame) -> DataFrame:
     return employee.select("id", "name", "surname")
@@ -57,18 +61,20 @@ def first_characters(employee: DataFrame) -> DataFrame:
 def offices_with_company(office: DataFrame, company: DataFrame) -> DataFrame:
     """Company name and country per office.
 
-    No broadcast hint: the planner broadcasts `company` as long as its size is below the configured
-    limit. Offices are counted per (company, country) by the distinct form below, which is the one to
-    use when a single company may own a large part of the offices.
+    A company may own a large part of the offices: its offices are dealt to slots in proportion.
     """
-    joined = office.alias("o").join(company.alias("c"), F.col("o.company_id") == F.col("c.id"))
-    return joined.select("c.name", "o.country")
+    offices = office.where(F.col("company_id").isNotNull())
+    owned = offices.groupBy("company_id").agg(F.count(F.lit(1)).alias("_offices"))
+    per_company = company.select(F.col("id").alias("company_id"), "name").join(owned, "company_id")
+    rows = offices.select("company_id", "country", "id")
+    return join_per_key(rows, per_company, "company_id", "_offices", F.col("id"), "inner").select("name", "country")
 
 
 def office_countries(office: DataFrame, company: DataFrame) -> DataFrame:
     """Distinct company name and country; duplicates are dropped before the join."""
-    pairs = office.select("company_id", "country").distinct()
-    return offices_with_company(pairs, company).distinct().orderBy("name", "country")
+    pairs = office.select("company_id", "country").distinct().alias("o")
+    joined = pairs.join(company.alias("c"), F.col("o.company_id") == F.col("c.id"))
+    return joined.select("c.name", "o.country").distinct().orderBy("name", "country")
 
 
 def above_average(employee: DataFrame) -> DataFrame:
@@ -78,12 +84,16 @@ def above_average(employee: DataFrame) -> DataFrame:
 
 def with_small_ids(employee: DataFrame, last_id: int = 2) -> DataFrame:
     """The same question as SQL text over a temporary view."""
-    employee.createOrReplaceTempView("people")
     return employee.sparkSession.sql(
-        "select name from people where id <= :last_id", args={"last_id": last_id}
+        "select name from {people} where id <= :last_id", args={"last_id": last_id}, people=employee
     )
 
 
 def named_table(employee: DataFrame) -> DataFrame:
-    employee.createOrReplaceTempView("employee")
-    return employee.sparkSession.table("employee")
+    """The frame as a table found by its name; the name is new and gone afterwards."""
+    spark, name = employee.sparkSession, f"employee_{uuid.uuid4().hex}"
+    employee.createTempView(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.catalog.dropTempView(name)

@@ -38,6 +38,29 @@ def describe(trips: DataFrame, columns: tuple[str, ...] = ("trip_miles", "trip_t
     return trips.agg(F.array(*summaries).alias("rows")).select(F.inline("rows"))
 
 
+def describe_mixed(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Summary of text and numeric columns together, in one pass: mean and deviation are NULL for text, the least
+    and largest value stand in columns of their own kind."""
+    kinds, entries = dict(df.dtypes), []
+    for name in columns:
+        text = kinds[name] == "string"
+        number = F.lit(None).cast("double") if text else F.col(name).cast("double")
+        words = F.col(name) if text else F.lit(None).cast("string")
+        entries.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                F.count(name).alias("count"),
+                F.round(F.avg(number), 6).alias("mean"),
+                F.round(F.stddev_samp(number), 6).alias("stddev"),
+                F.min(number).alias("min_number"),
+                F.max(number).alias("max_number"),
+                F.min(words).alias("min_text"),
+                F.max(words).alias("max_text"),
+            )
+        )
+    return df.agg(F.array(*entries).alias("rows")).select(F.inline("rows"))
+
+
 def least_common_payment(trips: DataFrame) -> DataFrame:
     return _counted(trips, "payment_type").orderBy("trips", "payment_type").limit(1)
 

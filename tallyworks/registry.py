@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.ml import models, scoring, tuning, vectors
+from tallyworks.ml import checks, models, scoring, tuning, vectors
 from tallyworks.operators import splits
 from tallyworks.operators.words import word_count
 from tallyworks.plans import ad_features, ads, arithmetic, passengers, staff, taxi
@@ -16,21 +17,6 @@ from tallyworks.sources.workspace import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small grids for the registered tuning queries; the jobs default to the full ones.
-SHORT_JOINT_GRID = {
-    "lr": {"regParam": [0.4], "maxIter": [40], "elasticNetParam": [0.8]},
-    "gbt": {"maxDepth": [5], "maxBins": [32], "maxIter": [4]},
-    "rf": {"maxDepth": [5], "numTrees": [19], "featureSubsetStrategy": ["onethird"]},
-    "dt": {"maxDepth": [4, 6], "minInfoGain": [0.0], "maxBins": [32]},
-}
-SHORT_FAMILY_GRID = {
-    "dt": {"maxDepth": [2, 5], "maxBins": [20], "minInfoGain": [0.1]},
-    "rf": {"maxDepth": [2], "maxBins": [20], "minInfoGain": [0.1]},
-    "gbt": {"maxDepth": [2], "maxBins": [20], "maxIter": [5]},
-}
-SHORT_FOREST_GRID = {"impurity": ["entropy", "gini"], "maxDepth": [2, 4], "numTrees": [3]}
-
-
 def over(plan: Callable[..., DataFrame], *sources, **options) -> Query:
     """The plan applied to views, or to stored tables given by name."""
 
@@ -44,8 +30,8 @@ def over(plan: Callable[..., DataFrame], *sources, **options) -> Query:
     return run
 
 
-def numbers(spark: SparkSession, data_dir: str) -> DataFrame:
-    return integers.range_like(tables.stored(spark, data_dir, "orders"))
+def order_keys(spark: SparkSession, data_dir: str) -> DataFrame:
+    return integers.keys(tables.stored(spark, data_dir, "orders"), "o_orderkey")
 
 
 def matching(condition: str) -> Query:
@@ -56,9 +42,13 @@ def ctr_rows(spark: SparkSession, data_dir: str) -> DataFrame:
     return ad_features.ad_features(tables.ads_data(spark, data_dir))
 
 
+def ctr_files(spark: SparkSession, data_dir: str) -> dict[str, str]:
+    return ad_features.training_files(tables.ads_data(spark, data_dir))
+
+
 def ctr_parts(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
     """Labelled train and test rows from the files of the feature job."""
-    paths = ad_features.training_files(tables.ads_data(spark, data_dir))
+    paths = ctr_files(spark, data_dir)
     train, test = (vectors.labelled(spark.read.parquet(paths[name])) for name in ("train", "test"))
     return train, test
 
@@ -66,22 +56,22 @@ def ctr_parts(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]
 def ctr_regression(family: str) -> Query:
     def run(spark: SparkSession, data_dir: str) -> DataFrame:
         train, test = ctr_parts(spark, data_dir)
-        return models.ctr_predictions(train, test, family, vectors.middle_columns(train))
+        return models.ctr_check(train, test, family, vectors.middle_columns(train))
 
     return run
 
 
 def compare_regressors(spark: SparkSession, data_dir: str) -> DataFrame:
     train, test = ctr_parts(spark, data_dir)
-    return models.compare_regressors(train, test, vectors.middle_columns(train))
+    return models.compare_check(train, test, vectors.middle_columns(train))
 
 
 def train_test_split(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The feature job, then a check of its two outputs against the features."""
-    features = ctr_rows(spark, data_dir)
-    paths = ad_features.training_files(tables.ads_data(spark, data_dir))
+    """The feature job, then a check of its two outputs against the ads of the events."""
+    events = tables.ads_data(spark, data_dir)
+    paths = ad_features.training_files(events)
     parts = {name: spark.read.parquet(path) for name, path in paths.items()}
-    return splits.split_report(features, parts, ad_features.SHARES, "ad_id")
+    return splits.split_report(events.select("ad_id").distinct(), parts, ad_features.SHARES, "ad_id")
 
 
 def seeded_split(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -101,30 +91,95 @@ def hash_split(spark: SparkSession, data_dir: str) -> DataFrame:
     return splits.hash_split(keyed, "ad_id")
 
 
-def tune_all_families(spark: SparkSession, data_dir: str) -> DataFrame:
-    train, _ = ctr_parts(spark, data_dir)
-    return tuning.tuning_report(spark, scoring.tune_jointly(train, SHORT_JOINT_GRID))
+def ctr_search_check(settings: dict[str, dict] | None = None) -> Query:
+    """All families in one search over the full grid: labelled training and test rows, number of settings, and
+    what is wrong with the choice."""
+
+    def run(spark: SparkSession, data_dir: str) -> DataFrame:
+        train, test = ctr_parts(spark, data_dir)
+        search = scoring.tune_jointly(train, settings, keep_models=True)
+        faults = models.search_faults(search, train, train.columns, lambda s: checks.rmse_of(s, "ctr"), False)
+        rows = train.unionByName(test)
+        return models.one_row(rows, F.count(F.lit(1)).alias("rows"), settings=len(search.validationMetrics), **faults)
+
+    return run
 
 
 def boosted_report(spark: SparkSession, data_dir: str) -> DataFrame:
-    """All settings of one family with their validation metric, the best first."""
+    """All settings of the boosted trees, and whether each stands behind all with a smaller validation error."""
     train, _ = ctr_parts(spark, data_dir)
-    settings = {"gbt": {"maxDepth": [2, 5], "maxIter": [4]}}
-    report = tuning.tuning_report(spark, scoring.tune_jointly(train, settings))
-    return report.orderBy("validation_metric", "params")
+    search = scoring.tune_jointly(train, {"gbt": tuning.JOINT_GRID["gbt"]})
+    report = tuning.tuning_report(spark, search).orderBy("validation_metric", "params").collect()
+    rows, least = [], 0.0
+    for row in report:
+        rows.append((row.family, row.params, row.validation_metric < least))
+        least = row.validation_metric
+    return spark.createDataFrame(rows, "family string, params string, out_of_order boolean")
 
 
-def best_family(spark: SparkSession, data_dir: str) -> DataFrame:
-    paths = ad_features.training_files(tables.ads_data(spark, data_dir))
-    model_path = new_folder(spark, "best-family")
-    results = scoring.fit_best_family(spark, paths["train"], paths["test"], model_path, SHORT_FAMILY_GRID)
-    return scoring.family_report(spark, results)
+def best_family(settings: dict[str, dict] | None = None) -> Query:
+    """Each family tuned on its own over the full grid: its labelled test rows, and whether the reported test error
+    is not that of its model."""
 
+    def run(spark: SparkSession, data_dir: str) -> DataFrame:
+        paths = ctr_files(spark, data_dir)
+        results = scoring.fit_best_family(spark, paths["train"], paths["test"], new_folder(spark, "best-family"), settings)
+        train, test = (vectors.labelled(spark.read.parquet(paths[name])) for name in ("train", "test"))
+        entries = []
+        for r in results:
+            off = not checks.close(r.test_rmse, checks.rmse_of(r.model.transform(test), "ctr"))
+            entries.append(F.struct(F.lit(r.family).alias("family"), F.lit(off).alias("wrong_rmse")))
+        counted = train.unionByName(test).agg(F.count(F.lit(1)).alias("rows"))
+        return counted.select("rows", F.inline(F.array(*entries)))
 
-def ctr_train_job(spark: SparkSession, data_dir: str) -> DataFrame:
-    paths = ad_features.training_files(tables.ads_data(spark, data_dir))
-    model_path = new_folder(spark, "ctr-model")
-    return scoring.fit_ctr_model(spark, paths["train"], paths["test"], model_path, SHORT_JOINT_GRID)
+    return run
+
+
+def ctr_train_job(settings: dict[str, dict] | None = None) -> Query:
+    """The training job over the full grid: labelled rows, and whether the reported test error is not that of the
+    stored model."""
+
+    def run(spark: SparkSession, data_dir: str) -> DataFrame:
+        paths, model_path = ctr_files(spark, data_dir), new_folder(spark, "ctr-model")
+        report = scoring.fit_ctr_model(spark, paths["train"], paths["test"], model_path, settings).first()
+        train, test = (vectors.labelled(spark.read.parquet(paths[name])) for name in ("train", "test"))
+        found = checks.rmse_of(PipelineModel.load(model_path).transform(test), "ctr")
+        rows = train.unionByName(test)
+        return models.one_row(rows, F.count(F.lit(1)).alias("rows"), wrong_rmse=not checks.close(report.test_rmse, found))
+
+    return run
+
+
+def score_check(features: DataFrame) -> DataFrame:
+    """The scoring job: rows, predictions that are missing, and those that the model in memory does not make."""
+    stored, expected = scoring.scored_ads(features)
+    both = expected.select("ad_id", F.col("prediction").alias("_expected")).join(stored, "ad_id", "left")
+    return both.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("prediction").isNull()).alias("missing"),
+        F.count_if(checks.apart(F.col("prediction"), F.col("_expected"))).alias("differences"),
+    )
+
+
+def held_out_check(passenger_rows: DataFrame) -> DataFrame:
+    """The stored pipeline on its held-out rows: their number, whether accuracy and error add up, and whether it
+    predicts at random or worse than always saying the more frequent value by over a tenth."""
+    row = scoring.held_out_accuracy(passenger_rows).first()
+    shares = hash_parts_share(passenger_rows)
+    return models.one_row(
+        splits.hash_split(passenger_rows, "PassengerId", 80).where("part = 'test'"),
+        F.count(F.lit(1)).alias("rows"),
+        scored=row["rows"],
+        wrong_error=not checks.close(row["accuracy"] + row["error"], 1.0),
+        poor=row["accuracy"] < shares - 0.1,
+    )
+
+
+def hash_parts_share(passenger_rows: DataFrame) -> float:
+    """Share of the more frequent outcome among the held-out passengers."""
+    test = splits.hash_split(passenger_rows, "PassengerId", 80).where("part = 'test'")
+    survived = test.agg(F.avg("Survived")).first()[0]
+    return max(survived, 1 - survived)
 
 
 SOURCES: dict[str, Query] = {
@@ -135,17 +190,16 @@ SOURCES: dict[str, Query] = {
     "csv_one_file": over(lambda df: files.one_file_csv(ads.platform_view_share(df)), tables.ads_data),
     "json_roundtrip": over(files.json_round_trip, tables.employee),
     "parquet_roundtrip": over(files.parquet_round_trip, tables.employee),
-    "text_roundtrip": over(lambda df: integers.range_summary(files.text_round_trip(df, "id")), numbers),
+    "text_roundtrip": over(lambda df: integers.key_summary(files.text_round_trip(df, "id")), order_keys),
     "table_scan": over(staff.named_table, tables.employee),
     "sql_view_filter": over(staff.with_small_ids, tables.employee),
-    "range_source": over(integers.range_summary, numbers),
-    "range_filter_sum": over(integers.range_filter_sum, numbers),
-    "union_count": over(integers.union_count, numbers),
+    "range_filter_sum": over(integers.filter_map_sum, order_keys),
+    "union_count": over(integers.union_count, order_keys),
     "repartition_report": over(integers.repartition_summary, "orders"),
     "tuples_source": over(integers.status_names, "orders"),
     "pandas_batches": over(integers.through_pandas, tables.employee),
     "labelled_union": over(
-        lambda df: vectors.labelled_union(df).select("vec_id", "kind", F.size("embedding").alias("length")),
+        lambda df: vectors.labelled_union(df, (0, 1)).select("vec_id", "kind", F.size("embedding").alias("length")),
         "embeddings",
     ),
     "partition_count": over(files.partition_count, tables.ads_data, column="date"),
@@ -202,7 +256,7 @@ ADS: dict[str, Query] = {
     "orphan_click_platforms": over(ads.orphan_platforms, tables.ads_data),
     "orphan_click_platforms_all": over(ads.orphan_platforms_all, tables.ads_data),
     "click_first_ads": over(ads.click_first_ads, tables.ads_data),
-    "approx_click_first": over(ads.click_first_ads_approx, tables.ads_data),
+    "approx_click_first": over(ads.click_first_ads_check, tables.ads_data),
     "late_click_count": over(ads.late_changes, tables.ads_data),
     "clients_without_ads": over(ads.clients_without_ads, tables.ads_clients_data, tables.ads_data),
     "never_active_share": over(ads.never_active_share, tables.ads_clients_data, tables.ads_data),
@@ -220,6 +274,9 @@ TAXI: dict[str, Query] = {
     "miles_total_corr": over(taxi.miles_total_corr, tables.trips),
     "miles_total_cov": over(taxi.miles_total_cov, tables.trips),
     "describe_trips": over(taxi.describe, tables.trips),
+    "describe_passengers": over(
+        taxi.describe_mixed, tables.passengers, columns=("Sex", "Age", "Fare", "Embarked", "Pclass")
+    ),
     "least_common_payment": over(taxi.least_common_payment, tables.trips),
     "busiest_taxi": over(taxi.busiest_taxi, tables.trips),
     "cash_avg": over(taxi.cash_average, tables.trips),
@@ -266,29 +323,30 @@ MODELS: dict[str, Query] = {
     "assemble_features": over(vectors.assembled, ctr_rows),
     "grid_sizes": over(lambda features: tuning.grid_sizes(vectors.labelled(features)), ctr_rows),
     "linreg_simple": over(models.price_line, "lineitem"),
-    "linreg_fit": over(models.price_coefficients, "lineitem"),
+    "linreg_fit": over(models.price_check, "lineitem"),
     "linreg_summary": over(models.price_summary, "lineitem"),
     "dt_reg": ctr_regression("dt"),
     "rf_reg": ctr_regression("rf"),
     "gbt_reg": ctr_regression("gbt"),
     "compare_regressors": compare_regressors,
-    "logreg": over(models.survival_accuracy, tables.passengers, name="logistic"),
-    "dt_cls": over(models.survival_accuracy, tables.passengers, name="tree"),
-    "rf_cls": over(models.survival_accuracy, tables.passengers, name="forest"),
-    "gbt_cls": over(models.survival_accuracy, tables.passengers, name="boosted"),
-    "port_classifiers": over(models.port_accuracy, tables.passengers),
-    "kmeans_assign": over(models.cluster_assignment, "embeddings"),
-    "kmeans_silhouette": over(models.cluster_silhouette, "embeddings"),
+    "logreg": over(models.survival_check, tables.passengers, name="logistic"),
+    "dt_cls": over(models.survival_check, tables.passengers, name="tree"),
+    "rf_cls": over(models.survival_check, tables.passengers, name="forest"),
+    "gbt_cls": over(models.survival_check, tables.passengers, name="boosted"),
+    "port_classifiers": over(models.port_check, tables.passengers),
+    "kmeans_assign": over(models.cluster_check, "embeddings"),
+    "kmeans_silhouette": over(models.silhouette_check, "embeddings"),
     "rmse_metric": over(models.rmse_of_prices, "lineitem"),
     "accuracy_metric": over(models.accuracy_of_class_rule, tables.passengers),
-    "tvs_best": over(models.tune_port_forest, tables.passengers, settings=SHORT_FOREST_GRID),
-    "tune_all_families": tune_all_families,
+    "tvs_best": over(models.port_search_check, tables.passengers),
+    "tune_all_families": ctr_search_check(),
     "tuning_report": boosted_report,
-    "best_family": best_family,
-    "ctr_train_job": ctr_train_job,
+    "best_family": best_family(),
+    "ctr_train_job": ctr_train_job(),
     "model_roundtrip": over(scoring.model_round_trip, tables.passengers),
-    "score_ads": over(scoring.scored_ads, ctr_rows),
-    "embedding_classifier": over(models.embedding_classifier, "embeddings"),
+    "pipeline_held_out": over(held_out_check, tables.passengers),
+    "score_ads": over(score_check, ctr_rows),
+    "embedding_classifier": over(models.embedding_check, "embeddings"),
 }
 
 QUERIES: dict[str, Query] = SOURCES | STAFF | ADS | TAXI | PASSENGERS | FLOWS | MODELS

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tallyworks.sources.workspace import new_folder
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True, one_file: bool = False) -> None:
-    """One file per partition; `one_file` is for results known to be small, it runs in one task."""
-    (df.coalesce(1) if one_file else df).write.mode("overwrite").option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = True, one_file: bool = False, replace: bool = False) -> None:
+    """One file per partition; `one_file` is for results known to be small, it runs in one task. An existing
+    path is an error unless it is to be replaced."""
+    writer = (df.coalesce(1) if one_file else df).write.mode("overwrite" if replace else "errorifexists")
+    writer.option("header", header).csv(path)
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
@@ -38,7 +40,10 @@ def csv_typed_scan(df: DataFrame) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Position, name, type and non-NULL rows per column, from one pass without a distinct count."""
+    """Position, name, type, rows, non-NULL rows and distinct values per column.
+
+    The distinct values of all columns are combined in the tasks, then spread by (column, value).
+    """
     entries = [
         F.struct(
             F.lit(position).alias("position"),
@@ -46,6 +51,7 @@ def column_profile(df: DataFrame) -> DataFrame:
             F.lit(kind).alias("data_type"),
             F.count(F.lit(1)).alias("rows"),
             F.count(F.col(name)).alias("non_null"),
+            F.count_distinct(F.col(name)).alias("distinct_values"),
         )
         for position, (name, kind) in enumerate(df.dtypes, start=1)
     ]
@@ -74,20 +80,20 @@ def one_file_csv(small: DataFrame) -> DataFrame:
 
 def parquet_round_trip(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "parquet")
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def json_round_trip(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "json")
-    df.write.mode("overwrite").json(path)
+    df.write.json(path)
     return df.sparkSession.read.schema(df.schema).json(path)
 
 
 def text_round_trip(df: DataFrame, column: str) -> DataFrame:
     """One line per row, one file per partition."""
     path = new_folder(df.sparkSession, "text")
-    df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
+    df.select(F.col(column).cast("string").alias("value")).write.text(path)
     lines = df.sparkSession.read.text(path)
     return lines.select(F.col("value").cast(df.schema[column].dataType).alias(column))
 

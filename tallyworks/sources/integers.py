@@ -1,4 +1,4 @@
-"""Integer ranges, in-memory tuples and pandas batches as sources."""
+"""Stored integers, in-memory tuples and pandas batches as sources."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def range_like(df: DataFrame) -> DataFrame:
-    """The integers 0 .. n-1 for the n rows of a table, generated on the executors."""
-    return df.sparkSession.range(df.count())
+def keys(df: DataFrame, column: str) -> DataFrame:
+    """The integers of a stored column, as `id`."""
+    return df.select(F.col(column).cast("long").alias("id"))
 
 
 def exact_sum(column):
@@ -19,7 +19,7 @@ def exact_sum(column):
     return F.sum(column.cast("decimal(20,0)")).cast("string")
 
 
-def range_summary(numbers: DataFrame) -> DataFrame:
+def key_summary(numbers: DataFrame) -> DataFrame:
     return numbers.agg(
         F.count("id").alias("rows"),
         F.min("id").alias("lowest"),
@@ -28,7 +28,7 @@ def range_summary(numbers: DataFrame) -> DataFrame:
     )
 
 
-def range_filter_sum(numbers: DataFrame) -> DataFrame:
+def filter_map_sum(numbers: DataFrame) -> DataFrame:
     """Sum of x + 100 over the x whose square exceeds 1000; squares are doubles, so they cannot overflow."""
     large = numbers.where(F.pow("id", F.lit(2)) > 1000)
     return large.agg(exact_sum(F.col("id") + 100).alias("total"))

@@ -1,31 +1,68 @@
 """Folders for written tables: hand-over between jobs and lineage cuts.
 
 On a cluster the folder is the shared one named by `spark.checkpoint.dir`. Only a local session may
-fall back to a temporary folder of the machine.
+fall back to a temporary folder of the machine. Tables of an application lie below one folder of its
+own; `clear` deletes that folder once its results have been read.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of a partition that a model is fitted on. Fits depend on how rows are dealt, so the number of partitions
+#: follows from the number of rows alone, and not from the cores, the files or the session.
+FIT_ROWS = 20_000
+
 
 def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    local = context.master.startswith("local") and not context.master.startswith("local-cluster")
     if folder:
+        if not local:
+            check_shared(spark, folder, context.applicationId)
         return folder
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyworks-"))
     return context.getCheckpointDir()
 
 
+@lru_cache(maxsize=64)
+def check_shared(spark: SparkSession, folder: str, application: str) -> None:
+    """Raises if the folder is a plain disk folder of which every machine has its own.
+
+    Stores that are shared by nature need no trial. For disk folders, tasks write a row each, and the
+    driver has to find them all.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() != "file":
+        return
+    trial, rows = f"{folder.rstrip('/')}/tallyworks/{application}/trial-{uuid.uuid4().hex}", 16
+    try:
+        spark.range(0, rows, 1, rows).write.parquet(trial)
+        found = spark.read.schema("id long").parquet(trial).count()
+    except Exception as problem:
+        raise RuntimeError(f"{folder} cannot be used by all executors") from problem
+    if found != rows:
+        raise RuntimeError(f"{folder} is not shared: {found} of {rows} trial rows came back")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path nobody has used yet, below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tallyworks/{label}-{uuid.uuid4().hex}"
+    """A path nobody has used yet, below the application's part of the shared folder."""
+    own = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/tallyworks/{own}/{label}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; frames that still read them fail from then on."""
+    own = f"{shared_folder(spark).rstrip('/')}/tallyworks/{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -42,8 +79,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def spread(stored: DataFrame) -> DataFrame:
     """A frame read from files, over at least as many partitions as there are cores.
 
-    For work that costs far more than a shuffle of its input, such as fits with many passes. A table of
-    few files is redistributed once; one that fills the cluster anyway is left as it is.
+    For work whose result does not depend on partitions and costs far more than a shuffle of its input.
     """
     cores = stored.sparkSession.sparkContext.defaultParallelism
     return stored if stored.rdd.getNumPartitions() >= cores else stored.repartition(cores)
+
+
+def placed(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows in a place that depends on their content only: the partition by a hash of the keys (all
+    columns without any), the order within it by them. Fits then give the same model on any cluster."""
+    chosen, partitions = keys or df.columns, -(-df.count() // FIT_ROWS) or 1
+    return df.repartition(partitions, *chosen).sortWithinPartitions(*chosen)

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import glob
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
 
 from tallyworks.jobs import run
 from tallyworks.sources import tables
@@ -14,26 +18,50 @@ def test_features_fit_score(spark, sf_dir, tmp_path):
     events, target = str(tmp_path / "ads"), str(tmp_path / "features")
     tables.ads_data(spark, sf_dir).write.parquet(events)
     run.main(["features", events, target], spark)
-    train, test = (spark.read.parquet(f"{target}/{part}") for part in ("train", "test"))
+    paths = [f"{target}/part={part}" for part in ("train", "test")]
+    train, test = map(spark.read.parquet, paths)
     assert train.count() + test.count() == 142
     assert train.join(test, "ad_id").count() == 0
 
     model, scores = str(tmp_path / "model"), str(tmp_path / "scores")
     for search in ("joint", "per-family"):
-        run.fit(spark, f"{target}/train", f"{target}/test", model, search, SMALL)
-    run.main(["score", model, f"{target}/test", scores], spark)
+        options = ["--search", search, "--grid", json.dumps(SMALL), "--parallelism", "2", "--replace"]
+        run.main(["fit", *paths, model, *options], spark)
+    run.main(["score", model, paths[1], scores], spark)
     scored = spark.read.csv(scores, header=True, inferSchema=True)
     assert scored.columns == ["ad_id", "prediction"]
     assert scored.count() == test.count() and scored.where("prediction is null").count() == 0
 
 
-def test_event_grains(spark, sf_dir, tmp_path):
-    events = str(tmp_path / "ads")
+@pytest.mark.parametrize(("grain", "count"), [("ad", 142), ("event", 398), ("event-two-tables", 398)])
+def test_every_grain_is_fitted_and_scored_whole(spark, sf_dir, tmp_path, grain, count):
+    """Ads that were never viewed have missing values; they teach nothing, but each row is scored."""
+    events, target = str(tmp_path / "ads"), str(tmp_path / "features")
     tables.ads_data(spark, sf_dir).drop("event_id").write.parquet(events)
-    for grain in ("event", "event-two-tables"):
-        target = str(tmp_path / grain)
-        run.main(["features", events, target, "--grain", grain], spark)
-        assert spark.read.parquet(f"{target}/train", f"{target}/test").count() == 398
+    run.main(["features", events, target, "--grain", grain], spark)
+    train, test = (spark.read.parquet(f"{target}/part={part}") for part in ("train", "test"))
+    assert train.count() + test.count() == count
+    assert train.join(test, "ad_id").count() == 0
+
+    model = str(tmp_path / "model")
+    run.main(["fit", f"{target}/part=train", f"{target}/part=test", model, "--grid", json.dumps(SMALL)], spark)
+    for part, rows in (("train", train), ("test", test)):
+        scores = str(tmp_path / f"scores-{part}")
+        run.main(["score", model, f"{target}/part={part}", scores], spark)
+        scored = spark.read.csv(scores, header=True, inferSchema=True)
+        assert scored.count() == rows.count() and scored.where("prediction is null").count() == 0
+
+
+def test_an_existing_target_survives(spark, sf_dir, tmp_path):
+    events, target = str(tmp_path / "ads"), tmp_path / "features"
+    tables.ads_data(spark, sf_dir).write.parquet(events)
+    target.mkdir()
+    (target / "mine.txt").write_text("precious")
+    with pytest.raises(AnalysisException):
+        run.main(["features", events, str(target)], spark)
+    assert (target / "mine.txt").read_text() == "precious"
+    run.main(["features", events, str(target), "--replace"], spark)
+    assert (target / "part=train").exists() and not (target / "mine.txt").exists()
 
 
 def test_clean_and_words(spark, sf_dir, tmp_path):

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.operators.keyed_join import HOT_SHARE, HOT_SLOTS, join_per_key
+from tallyworks.operators.keyed_join import join_per_key
 
 
 @pytest.fixture(scope="module")
@@ -47,5 +47,21 @@ def test_hot_rows_are_spread(spark, rows, per_key):
     assert max(row[0] for row in sizes) < 9_500
 
 
-def test_bounds():
-    assert HOT_SHARE <= 1000 and HOT_SLOTS >= 2
+@pytest.mark.parametrize("n", [4, 16])
+def test_no_task_has_much_more_than_its_share(spark, rows, per_key, n):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": str(n),
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = join_per_key(rows.where("key is not null"), per_key, "key", "weight", F.col("id"))
+        sizes = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # the hot key alone would give one task a third of all rows; slots may meet in a task, but only few
+    assert max(sizes) <= 2.5 * sum(sizes) / n

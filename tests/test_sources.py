@@ -2,19 +2,21 @@ from __future__ import annotations
 
 import glob
 import os
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallyworks.operators.splits import hash_split, seeded_parts, split_report
+import __spark_entry__ as contract
+from tallyworks.operators.splits import content_parts, hash_split, seeded_parts, split_report
 from tallyworks.operators.words import word_count
 from tallyworks.sources import files, integers, workspace
 
 
 def test_range_pipeline_and_union(spark):
-    numbers = spark.range(1000)
-    assert integers.range_filter_sum(numbers).first()[0] == "595804"
+    numbers = integers.keys(spark.range(1000).withColumnRenamed("id", "key"), "key")
+    assert integers.filter_map_sum(numbers).first()[0] == "595804"
     assert integers.union_count(numbers).first()[0] == 2000
 
 
@@ -73,7 +75,7 @@ def test_partitioned_table_prunes_folders(spark):
 def test_column_profile_counts_gaps(spark):
     frame = spark.createDataFrame([(1, None), (2, "a"), (3, None)], "id int, tag string")
     assert [tuple(r) for r in files.column_profile(frame).collect()] == [
-        (1, "id", "int", 3, 3), (2, "tag", "string", 3, 1),
+        (1, "id", "int", 3, 3, 3), (2, "tag", "string", 3, 1, 1),
     ]
 
 
@@ -86,6 +88,15 @@ def test_seeded_parts_are_repeatable_and_whole(spark):
     assert tuple(row) == (5000, 0, 0, True)
 
 
+def test_content_parts_do_not_depend_on_files(spark):
+    shares = {"train": 0.75, "test": 0.25}
+    one, other = spark.range(2000, numPartitions=1), spark.range(2000, numPartitions=7)
+    first, second = (content_parts(df, shares, 42) for df in (one, other))
+    assert first["train"].exceptAll(second["train"]).count() == 0
+    assert tuple(split_report(one, first, shares, "id").first()) == (2000, 0, 0, True)
+    assert content_parts(one, shares, 43)["train"].exceptAll(first["train"]).count() > 0
+
+
 def test_split_report_sees_loss_and_overlap(spark):
     whole = spark.range(100)
     parts = {"train": whole.where("id < 80"), "test": whole.where("id >= 70 and id < 95")}
@@ -102,11 +113,41 @@ def test_hash_split_takes_large_keys(spark):
 
 
 def fake_session(master, folder=None, checkpoint=None):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint, applicationId="app")
     return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default=None: folder or default))
 
 
-def test_shared_folder_comes_from_the_session():
+def test_user_views_survive(spark, sf_dir):
+    names = ("employee", "people", "ads_data")
+    for name in names:
+        spark.range(1).createOrReplaceTempView(name)
+    queries = contract.queries()
+    for query in ("table_scan", "sql_view_filter", "ctr_by_ad"):
+        assert queries[query](spark, sf_dir).count() > 0
+    assert all(spark.table(name).columns == ["id"] for name in names)
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} == set(names)
+    for name in names:
+        spark.catalog.dropTempView(name)
+
+
+def test_a_folder_of_every_machine_is_refused(spark, tmp_path, monkeypatch):
+    workspace.check_shared(spark, str(tmp_path), "app-1")
+    monkeypatch.setattr(type(spark.range(1)), "count", lambda self: 3)  # as if most files lay elsewhere
+    with pytest.raises(RuntimeError, match="not shared"):
+        workspace.check_shared(spark, str(tmp_path), "app-2")
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    table = workspace.written(spark.range(5), "cleared")
+    folder = Path(table.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists()
+    workspace.clear(spark)
+    assert not folder.exists()
+    assert workspace.written(spark.range(5), "later").count() == 5
+
+
+def test_shared_folder_comes_from_the_session(monkeypatch):
+    monkeypatch.setattr(workspace, "check_shared", lambda *_: None)
     assert workspace.shared_folder(fake_session("yarn", "hdfs:///shared")) == "hdfs:///shared"
     assert workspace.shared_folder(fake_session("yarn", None, "hdfs:///other")) == "hdfs:///other"
 
