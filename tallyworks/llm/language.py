@@ -17,6 +17,7 @@ from tallyworks.llm.encoding import runs
 BITS = 15
 DIMENSIONS = 1 << BITS  # hashed n-grams of one to three characters
 SCALE = 30.0  # sum of a text's TF-IDF weights
+RUN_BYTES = 1 << 20  # texts are taken in runs of about this size: an n-gram needs some 50 bytes for each character
 NO_LETTERS = re.compile(r"[\W\d_]+")
 SAMPLE_DOCS = 1500  # documents of each language to learn from, at most
 SAMPLE_TOTAL = 8000
@@ -87,7 +88,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, flags = np.zeros(DIMENSIONS + 1, np.int64), np.zeros(DIMENSIONS, bool)
         for batch in batches:
-            for first, n in runs(batch["text"]):
+            for first, n in runs(batch["text"], RUN_BYTES):
                 for flat in of_each(*grams(batch["text"].slice(first, n).to_pylist())):
                     flags[:] = False
                     flags[flat] = True
@@ -174,7 +175,7 @@ def train(labelled: DataFrame) -> LanguageModel:
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n in runs(batch["text"]):
+            for first, n in runs(batch["text"], RUN_BYTES):
                 part = batch.slice(first, n)
                 sparse = [vector(flat, idf) for flat in of_each(*grams(part["text"].to_pylist()))]
                 yield pa.RecordBatch.from_arrays(
@@ -220,7 +221,7 @@ def predicted(docs: DataFrame, model: LanguageModel, names: tuple[str, str] = ("
             texts = batch["text"].to_pylist()
             rows = [i for i, t in enumerate(texts) if t and learned.languages and has_letter(t)]
             some = pa.array([texts[i] for i in rows], pa.large_string())
-            for first, n in runs(some):
+            for first, n in runs(some, RUN_BYTES):
                 found, starts = grams(some.slice(first, n).to_pylist())
                 sums = sum(np.add.reduceat(table[each], starts, axis=0, dtype=np.float64) for each in found)
                 p = learned.probabilities(sums[:, :-1] / sums[:, -1:] + learned.bias)
