@@ -30,6 +30,7 @@ from tallyworks.sources.workspace import written
 WORDS = 5
 FREQUENT = 1 << 21  # shingles whose frequency is part of the order, at most; the most frequent ones
 FLUSH = 4_000_000  # shingles a task holds before it sends them on
+SPARSE = 16
 BLOCK_BYTES = 32 << 20  # sets of a group that one task compares, about
 
 
@@ -372,10 +373,32 @@ def small_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
     return sets.groupBy(F.pmod(F.xxhash64("root"), F.lit(tasks)).alias("task")).applyInArrow(link, "a long, b long")
 
 
+def typical(sets: DataFrame) -> DataFrame:
+    """root and node of the set of each group whose shingles are in most of the group's sets, on average.
+
+    One shingle in SPARSE, by hash, is counted. The choice decides how much is left to ask, not what is found.
+    """
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [np.frombuffer(h, "<u8") for h in batch["hashes"].to_pylist()]
+            chosen = [h[h % np.uint64(SPARSE) == 0].view(np.int64) for h in hashes]
+            at = pa.array(np.repeat(np.arange(len(chosen)), [len(c) for c in chosen]))
+            flat = pa.array(np.concatenate(chosen) if chosen else np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([batch["root"].take(at), batch["node"].take(at), flat], ["root", "node", "h"])
+
+    counted = written(sets.select("root", "node", "hashes").mapInArrow(some, "root long, node long, h long"), "some-shingles")
+    common = counted.groupBy("root", "h").agg(F.count(F.lit(1)).alias("n"))
+    score = counted.join(common, ["root", "h"]).groupBy("root", "node").agg(F.avg("n").alias("score"))
+    scored = sets.select("root", "node").join(score, ["root", "node"], "left")
+    best = F.max_by("node", F.struct(F.coalesce("score", F.lit(0.0)), F.xxhash64("node")))
+    return scored.groupBy("root").agg(best.alias("node"))
+
+
 def large_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
     """Links of groups that no task can hold; `sets`, stored, has root, blocks (how many), node and hashes.
 
-    The sets of a group are dealt to blocks by hash. The group's first set by hash is asked in all its blocks;
+    The sets of a group are dealt to blocks by hash. The group's most typical set is asked in all its blocks;
     then each set that it does not reach is asked in all blocks.
     """
 
@@ -399,7 +422,7 @@ def large_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
         sent = queries.select("root", everywhere, "node", F.lit(True).alias("asks"), "hashes")
         return own.unionByName(sent).groupBy("root", "block").applyInArrow(ask, "a long, b long")
 
-    first = sets.groupBy("root").agg(F.min_by("node", F.xxhash64("node")).alias("node"))
+    first = typical(sets)
     central = written(asked(sets.join(first, ["root", "node"], "left_semi")), "central-links")
     reached = central.select(F.col("b").alias("node")).unionByName(first.select("node")).distinct()
     return central.unionByName(asked(sets.join(reached, "node", "left_anti")))
