@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -28,6 +29,7 @@ SCALES = ((64, 16), (24, 8))  # windows that are searched: words, words between
 RANK, EXTRA = 48, 8  # dimensions of the latent space, and more that the random projection takes
 STOP_SHARE = 0.01  # words in more than this share of all passages have no weight,
 OWN_WORDS = 8  # unless they are among so many rarest words of an item passage
+LEAST_WEIGHTED = 4  # words with a weight that a window must have to be compared, if all item passages have as many
 NEAR = 0.65  # cosine of a candidate, at least
 LEAK = 0.8  # share of an item's words in common order that makes a leak
 PARAPHRASE = 0.5  # the same where the passage also has the item's answer
@@ -106,18 +108,18 @@ def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(number)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, memo = shared.value, {"": -1}
+        find = shared.value.get
+
+        def marked(word: str) -> int:
+            return find(p, 0) if (p := plain(word)) else -1
+
         for batch in batches:
             for first, n in runs(batch["text"]):
                 split = pc.ascii_split_whitespace(batch["text"].slice(first, n).cast(pa.large_string()))
                 coded = split.flatten().dictionary_encode()
                 listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-                if len(memo) > 1_000_000:
-                    memo = {"": -1}
-                for w in listed:
-                    if w not in memo:
-                        memo[w] = table.get(p, 0) if (p := plain(w)) else -1
-                at = np.fromiter(map(memo.__getitem__, listed), np.int32, len(listed))[coded.indices.to_numpy()]
+                numbers = [find(w.lower(), 0) if w.isalnum() else marked(w) for w in listed]
+                at = np.array(numbers, np.int32)[coded.indices.to_numpy()]
                 ends = np.concatenate([[0], np.cumsum(at >= 0)])[split.offsets.to_numpy() - split.offsets[0].as_py()]
                 offsets = pa.array((4 * ends).astype(np.int32))
                 words = at[at >= 0]
@@ -223,7 +225,7 @@ def latent_space(stored: DataFrame, vocabulary: int, passages: list[Passage]) ->
             start, end = chunks(bounds, PASSAGE)
             known = np.flatnonzero(words)
             passage = np.searchsorted(end, known, "right")
-            once = np.unique(passage * size + words[known])
+            once = pd.unique(passage * size + words[known])
             total[:size] += np.bincount(once % size, minlength=size)
             total[size] += len(start)
         yield pieces(total)
@@ -275,11 +277,12 @@ class Searched:
     passages: list[Passage]
     table: np.ndarray  # latent vector of each word number
     vectors: np.ndarray  # of each passage
-    rare: np.ndarray  # passage x word: a weighted word of the passage
-    answer: np.ndarray  # passage x word: a weighted word of its answer
+    parts: np.ndarray  # passage x word: 1 for a weighted word of the passage, 3 for one of its answer
+    answers: np.ndarray  # weighted words of each answer
     size: np.ndarray  # words of each passage
     leak: np.ndarray  # weighted words that a leak must share at least
     paraphrase: np.ndarray  # the same for a paraphrase
+    least: int  # weighted words of a window that is worth a look
 
     @staticmethod
     def of(passages: list[Passage], space: LatentSpace) -> Searched:
@@ -294,21 +297,35 @@ class Searched:
         stops = np.array([sum(space.idf[w] == 0 for w in p.words) for p in passages])
         leak = np.where(size < LEAST_WORDS, size, np.ceil(LEAK * size)) - stops
         paraphrase = np.where(answer.any(1), np.ceil(PARAPHRASE * size) - stops, size + 1)
+        parts = rare.astype(np.uint8) | answer.astype(np.uint8) << 1
+        least = min(LEAST_WEIGHTED, int(rare.sum(1).min(initial=LEAST_WEIGHTED)))
         return Searched(
-            passages, space.table(), space.of(passages), rare, answer, size, np.maximum(1, leak), np.maximum(1, paraphrase)
+            passages,
+            space.table(),
+            space.of(passages),
+            parts,
+            answer.sum(1),
+            size,
+            np.maximum(1, leak),
+            np.maximum(1, paraphrase),
+            least,
         )
 
     def near(self, words: np.ndarray, bounds: np.ndarray, size: int, step: int) -> list[np.ndarray]:
         """document, passage, beginning and end of the part to check, and cosine of the windows of one scale that
         are near a passage and have enough of its weighted words around them."""
         doc, start, end = windows(bounds, size, step)
-        weighted = np.where(self.table[words].any(1), words, 0)
+        weighted = np.where(self.table.any(1)[words], words, 0)
+        before = np.concatenate([[0], np.cumsum(weighted > 0)])
+        worth = before[end] - before[start] >= self.least
+        doc, start, end = doc[worth], start[worth], end[worth]
         found = [[np.zeros(0, np.int64)] * 5]
         for first in range(0, len(doc), 50_000):
             part = slice(first, first + 50_000)
             low, high = start[part][0], end[part].max()
             inside = sums(self.table, weighted[low:high], start[part] - low, end[part] - low)
-            cosine = inside / np.maximum(np.linalg.norm(inside, axis=1), 1e-6)[:, None] @ self.vectors.T
+            inside /= np.maximum(np.linalg.norm(inside, axis=1), 1e-6)[:, None]
+            cosine = inside @ self.vectors.T
             row, item = np.nonzero(cosine >= NEAR)
             d, value = doc[part][row], cosine[row, item]
             margin = self.size[item] * 3 // 4
@@ -319,9 +336,10 @@ class Searched:
                 g = slice(some, some + 20_000)
                 at = a[g][:, None] + np.arange((b[g] - a[g]).max())
                 w = np.where(at < b[g][:, None], weighted[np.minimum(at, len(words) - 1)], 0)
-                shared, answered = (t[item[g][:, None], w].sum(1) for t in (self.rare, self.answer))
+                said = self.parts[item[g][:, None], w]
+                shared, answered = np.count_nonzero(said, axis=1), np.count_nonzero(said == 3, axis=1)
                 enough[g] = (shared >= self.leak[item[g]]) | (
-                    (shared >= self.paraphrase[item[g]]) & (answered >= self.answer[item[g]].sum(1))
+                    (shared >= self.paraphrase[item[g]]) & (answered >= self.answers[item[g]])
                 )
             found.append([x[enough] for x in (d, item, a, b, value)])
         return [np.concatenate(x) for x in zip(*found, strict=True)]
