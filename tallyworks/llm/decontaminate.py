@@ -26,11 +26,12 @@ from tallyworks.sources.workspace import written
 ITEMS = 500  # benchmark items of one search; more are searched in blocks of so many
 PASSAGE = 64  # words of a document passage, and of an item passage at most
 SCALES = ((64, 16), (24, 8))  # windows that are searched: words, words between their beginnings
-RANK, EXTRA = 48, 8  # dimensions of the latent space, and more that the random projection takes
+RANK, EXTRA = 24, 8  # leading dimensions of the latent space, and more that the random projection takes
+RESIDUAL = 72  # random dimensions for what the leading ones leave
 STOP_SHARE = 0.01  # words in more than this share of all passages have no weight,
 OWN_WORDS = 8  # unless they are among so many rarest words of an item passage
 LEAST_WEIGHTED = 4  # words with a weight that a window must have to be compared, if all item passages have as many
-NEAR = 0.65  # cosine of a candidate, at least
+NEAR = 0.4  # cosine of a candidate, at least
 LEAK = 0.8  # share of an item's words in common order that makes a leak
 PARAPHRASE = 0.5  # the same where the passage also has the item's answer
 ANSWER_WORDS = 5  # an answer is the last sentence of an item, and so many words at least
@@ -114,7 +115,7 @@ def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
             return find(p, 0) if (p := plain(word)) else -1
 
         for batch in batches:
-            for first, n in runs(batch["text"]):
+            for first, n in runs(batch["text"], 4 << 20):
                 split = pc.ascii_split_whitespace(batch["text"].slice(first, n).cast(pa.large_string()))
                 coded = split.flatten().dictionary_encode()
                 listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -264,7 +265,12 @@ def latent_space(stored: DataFrame, vocabulary: int, passages: list[Passage]) ->
         yield pieces(total)
 
     values, turn = np.linalg.eigh(added(stored.mapInArrow(small, schema), (rank, rank)))
-    return LatentSpace(idf, basis @ turn[:, np.argsort(-values)[:RANK]])
+    leading = basis @ turn[:, np.argsort(-values)[:RANK]]
+    # Words that hardly any passage has are in no leading direction, and cosines of passages made of them would
+    # be noise. What the leading directions leave of each word is kept in random ones, which preserve inner
+    # products up to about 1 / sqrt(RESIDUAL).
+    rest = np.random.default_rng(1).standard_normal((size, RESIDUAL)) / np.sqrt(RESIDUAL)
+    return LatentSpace(idf, np.hstack([leading, rest - leading @ (leading.T @ rest)]))
 
 
 FOUND = "doc_id long, item_id long, start long, end long, share double, cosine double"
