@@ -29,7 +29,8 @@ from tallyworks.sources.workspace import written
 
 WORDS = 5
 FREQUENT = 1 << 21  # shingles whose frequency is part of the order, at most; the most frequent ones
-FLUSH = 4_000_000  # shingles a task holds before it sends them on
+FLUSH = 1_000_000  # shingles a task holds before it sends them on
+RUN_BYTES = 4 << 20  # texts are taken in runs of about this size
 SPARSE = 16
 BLOCK_BYTES = 32 << 20  # sets of a group that one task compares, about
 
@@ -100,7 +101,7 @@ def set_table(docs: DataFrame) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n in runs(batch["text"]):
+            for first, n in runs(batch["text"], RUN_BYTES):
                 sets = shingle_sets(batch["text"].slice(first, n))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -118,7 +119,7 @@ def distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.n
     """node and hashes of each set that the task has not met yet."""
     met: set[int] = set()
     for batch in batches:
-        for first, n in runs(batch["text"]):
+        for first, n in runs(batch["text"], RUN_BYTES):
             for hashes in shingle_sets(batch["text"].slice(first, n)):
                 if len(hashes) and (node := node_of(hashes)) not in met:
                     met.add(node)
@@ -342,7 +343,7 @@ def packed_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, n in runs(batch["text"]):
+            for first, n in runs(batch["text"], RUN_BYTES):
                 part = batch.slice(first, n)
                 sets = shingle_sets(part["text"])
                 right = [node_of(s) == node for s, node in zip(sets, part["node"].to_pylist(), strict=True)]
@@ -480,7 +481,7 @@ def one_of_each_group(docs: DataFrame, percent: int = 75, frequent: int = FREQUE
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, nodes = pc.fill_null(batch["text"], ""), []
-            for start, n in runs(texts):
+            for start, n in runs(texts, RUN_BYTES):
                 nodes += [node_of(s) if len(s) else None for s in shingle_sets(texts.slice(start, n))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, own])
 
