@@ -88,9 +88,9 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when(F.size(said) == 0, 0.0).otherwise(equal / F.size(said))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], first_row: DataFrame) -> DataFrame:
     """`docs` (doc_id, text and others) with next_<c> for each of `columns`: that of the next row by doc_id and
-    text; the last row is followed by the first.
+    text; the last row is followed by the first, which `first_row` holds.
 
     Rows are dealt to ranges of ids. The first id of each range also goes to the range before, where it only
     serves as the next row, so a text is shuffled once. The bounds are ids of the table, one a partition.
@@ -109,7 +109,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     dealt = docs.withColumn("_block", block).withColumn("_range", F.explode(ranges))
     order = Window.partitionBy("_range").orderBy("doc_id", "text")
     following = [F.lead(c).over(order).alias(f"next_{c}") for c in columns]
-    start = written(docs.orderBy("doc_id", "text").limit(1).select(*columns), "first")
+    start = written(first_row.select(*columns), "first")
     rows = dealt.select("*", *following).where(F.col("_range") == F.col("_block")).drop("_range", "_block")
     for c in columns:
         rows = rows.withColumn(f"next_{c}", F.coalesce(f"next_{c}", start.select(c).scalar()))
@@ -125,7 +125,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     """
     bits = lexicon(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
-    rows = with_next(with_fingerprint(texts, "text", bits, "fingerprint"), ["text", "fingerprint"])
+    first = with_fingerprint(texts.orderBy("doc_id", "text").limit(1), "text", bits, "fingerprint")
+    rows = with_next(with_fingerprint(texts, "text", bits, "fingerprint"), ["text", "fingerprint"], first)
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
