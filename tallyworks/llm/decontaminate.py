@@ -163,10 +163,15 @@ def chunks(bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first, np.minimum(first + size, np.repeat(bounds[1:], count))
 
 
+def running_sums(table: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Row i is the sum of the table's rows over the first i words that are not 0."""
+    rows = table[words[words > 0]]
+    return np.concatenate([np.zeros((1, table.shape[1]), np.float32), np.cumsum(rows, axis=0)])
+
+
 def sums(table: np.ndarray, words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The sum of the table's rows over the words of each window."""
-    known = np.flatnonzero(words)
-    running = np.concatenate([np.zeros((1, table.shape[1]), np.float32), np.cumsum(table[words[known]], axis=0)])
+    known, running = np.flatnonzero(words), running_sums(table, words)
     return running[np.searchsorted(known, end)] - running[np.searchsorted(known, start)]
 
 
@@ -317,19 +322,24 @@ class Searched:
             least,
         )
 
-    def near(self, words: np.ndarray, bounds: np.ndarray, size: int, step: int) -> list[np.ndarray]:
-        """document, passage, beginning and end of the part to check, and cosine of the windows of one scale that
+    def near(self, words: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        """document, passage, beginning and end of the part to check, and cosine of the windows of all scales that
         are near a passage and have enough of its weighted words around them."""
-        doc, start, end = windows(bounds, size, step)
         weighted = np.where(self.table.any(1)[words], words, 0)
-        before = np.concatenate([[0], np.cumsum(weighted > 0)])
+        before = np.concatenate([[0], np.cumsum(weighted > 0)])  # weighted words before each position
+        running = running_sums(self.table, weighted)
+        found = [[np.zeros(0, np.int64)] * 5]
+        for size, step in SCALES:
+            found += self._near(windows(bounds, size, step), bounds, weighted, before, running)
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
+
+    def _near(self, places, bounds, weighted, before, running):
+        doc, start, end = places
         worth = before[end] - before[start] >= self.least
         doc, start, end = doc[worth], start[worth], end[worth]
-        found = [[np.zeros(0, np.int64)] * 5]
         for first in range(0, len(doc), 50_000):
             part = slice(first, first + 50_000)
-            low, high = start[part][0], end[part].max()
-            inside = sums(self.table, weighted[low:high], start[part] - low, end[part] - low)
+            inside = running[before[end[part]]] - running[before[start[part]]]
             inside /= np.maximum(np.linalg.norm(inside, axis=1), 1e-6)[:, None]
             cosine = inside @ self.vectors.T
             row, item = np.nonzero(cosine >= NEAR)
@@ -341,14 +351,13 @@ class Searched:
             for some in range(0, len(row), 20_000):
                 g = slice(some, some + 20_000)
                 at = a[g][:, None] + np.arange((b[g] - a[g]).max())
-                w = np.where(at < b[g][:, None], weighted[np.minimum(at, len(words) - 1)], 0)
+                w = np.where(at < b[g][:, None], weighted[np.minimum(at, len(weighted) - 1)], 0)
                 said = self.parts[item[g][:, None], w]
                 shared, answered = np.count_nonzero(said, axis=1), np.count_nonzero(said == 3, axis=1)
                 enough[g] = (shared >= self.leak[item[g]]) | (
                     (shared >= self.paraphrase[item[g]]) & (answered >= self.answers[item[g]])
                 )
-            found.append([x[enough] for x in (d, item, a, b, value)])
-        return [np.concatenate(x) for x in zip(*found, strict=True)]
+            yield [x[enough] for x in (d, item, a, b, value)]
 
 
 def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> DataFrame:
@@ -360,8 +369,7 @@ def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> Da
         wanted = shared.value
         masks = [p.masks() for p in wanted.passages]
         for doc_ids, words, bounds in sequences(batches):
-            scales = [wanted.near(words, bounds, *scale) for scale in SCALES]
-            doc, item, start, end, cosine = (np.concatenate(x) for x in zip(*scales, strict=True))
+            doc, item, start, end, cosine = wanted.near(words, bounds)
             rows, done = [], None
             for i in np.lexsort((-cosine, item, doc)):
                 key = doc[i], item[i]
