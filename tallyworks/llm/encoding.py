@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MEMO_WORDS = 800_000  # beyond so many, a worker forgets all words but those of its last texts
-TEXT_BYTES = 16 << 20  # texts are encoded in runs of about this size
+MEMO_WORDS = 600_000  # beyond so many, a worker forgets all words but those of its last texts
+TEXT_BYTES = 6 << 20  # texts are encoded in runs of about this size
 
 # The pre-tokenizer pattern and the normaliser of files that can be encoded word by word.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -66,8 +66,9 @@ class WordEncoder:
             found += tail
         return found
 
-    def encode(self, texts: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row (none if not `ids`), and the number of ids of each text."""
+    def encode(self, texts: pa.Array, ids: bool = True, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts in a row (none if not `ids`), and the number of ids of each text; with the id `end`
+        after each text, if given."""
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
         coded = split.flatten().dictionary_encode()
         words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
@@ -79,15 +80,19 @@ class WordEncoder:
         gc.enable()
         if len(memo) > MEMO_WORDS:
             self.memo = dict(zip(words, parts, strict=True))
-        of_word = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        at = coded.indices.to_numpy()
+        at, bounds = coded.indices.to_numpy(), split.offsets.to_numpy() - split.offsets[0].as_py()
+        if end is not None:  # one more word, at the end of each text
+            at = np.insert(at, bounds[1:], len(parts))
+            bounds = bounds + np.arange(len(bounds))
+            parts.append(packed([end]))
+        of_word = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
         sizes = of_word[at]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        counts = np.diff(ends[split.offsets.to_numpy() - split.offsets[0].as_py()])
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        counts = np.diff(ends[bounds])
         if not ids:
             return np.zeros(0, np.uint32), counts
         kind = np.int32 if ends[-1] < 2**31 else np.int64
-        first = (np.cumsum(of_word) - of_word).astype(kind)
+        first = (np.cumsum(of_word, dtype=np.int64) - of_word).astype(kind)
         index = np.repeat(first[at] - ends[:-1].astype(kind), sizes)
         index += np.arange(len(index), dtype=kind)
         return np.frombuffer(b"".join(parts), np.uint32)[index], counts
@@ -99,8 +104,10 @@ class TextEncoder:
     def __init__(self, encode):
         self.lists = encode
 
-    def encode(self, texts: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, ids: bool = True, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         lists = self.lists(texts.to_pylist())
+        if end is not None:
+            lists = [[*one, end] for one in lists]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         return np.concatenate([np.asarray(x, np.uint32) for x in lists] or [np.zeros(0, np.uint32)]), counts
 

@@ -150,9 +150,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
         part, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(tokenizer)
         for batch in batches:
             for first, n in runs(batch["text"]):
-                flat, sizes = code.encode(batch["text"].slice(first, n))
-                flat = np.insert(flat, np.cumsum(sizes), end_id).astype("<u4")
-                sizes = sizes + 1
+                flat, sizes = code.encode(batch["text"].slice(first, n), end=end_id)
                 of_doc = -(-sizes // capacity)
                 doc = np.repeat(np.arange(n), of_doc)
                 piece = np.arange(len(doc)) - np.repeat(np.cumsum(of_doc) - of_doc, of_doc)

@@ -187,9 +187,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_
 
         for batch in batches:
             for first, length in runs(batch["text"]):
-                flat, sizes = code.encode(batch["text"].slice(first, length))
-                flat = np.insert(flat, np.cumsum(sizes), end_id).astype(np.uint32)
-                sizes = sizes + 1
+                flat, sizes = code.encode(batch["text"].slice(first, length), end=end_id)
                 ends, done = np.cumsum(sizes), 0
                 while done < length:
                     before = int(ends[done - 1]) if done else 0
