@@ -116,7 +116,8 @@ def test_orphans(make_ads):
     rows += [(200, 2, START, "view", "android"), (201, 2, START, "click", "android")]
     frame = make_ads(rows)
     assert ads.clicked_never_viewed(frame).first()[0] == 1
-    assert tuple(ads.orphan_platforms(frame).first()) == (0, 50, 50)
+    assert tuple(ads.orphan_platforms(frame).first()) == (0, 75, 75)
+    assert tuple(ads.orphan_platforms(frame, first=100).first()) == (0, 50, 50)
     assert tuple(ads.orphan_platforms_all(frame).first()) == (0, 75, 75)
 
 
