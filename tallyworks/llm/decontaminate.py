@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import bounded, free_name, whole_text
 from tallyworks.llm.encoding import runs
+from tallyworks.llm.workers import lean
 from tallyworks.sources.workspace import written
 
 ITEMS = 500  # benchmark items of one search; more are searched in blocks of so many
@@ -133,7 +134,7 @@ def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
                 )
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
-    return texts.mapInArrow(encode, "doc_id long, words binary")
+    return texts.mapInArrow(lean(encode), "doc_id long, words binary")
 
 
 def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
@@ -182,7 +183,7 @@ def added(parts: DataFrame, shape: tuple[int, ...]) -> np.ndarray:
         total = sum(np.frombuffer(x, np.float64) for x in table["data"].to_pylist())
         return pa.table({"piece": table["piece"][:1], "data": [total.tobytes()]})
 
-    rows = parts.groupBy("piece").applyInArrow(add, "piece int, data binary").collect()
+    rows = parts.groupBy("piece").applyInArrow(lean(add), "piece int, data binary").collect()
     flat = np.concatenate([np.frombuffer(r["data"], np.float64) for r in sorted(rows)] or [np.zeros(0)])
     return flat.reshape(shape) if len(flat) else np.zeros(shape)
 
@@ -236,7 +237,7 @@ def latent_space(stored: DataFrame, vocabulary: int, passages: list[Passage]) ->
             total[size] += len(start)
         yield pieces(total)
 
-    counts = added(stored.mapInArrow(frequencies, schema), (size + 1,))
+    counts = added(stored.mapInArrow(lean(frequencies), schema), (size + 1,))
     idf = inverse_frequencies(counts[:size], counts[size], passages)
     rank = min(RANK + EXTRA, vocabulary)
 
@@ -259,7 +260,7 @@ def latent_space(stored: DataFrame, vocabulary: int, passages: list[Passage]) ->
                 total[present] += np.add.reduceat(projected[passage[order]], at, axis=0)
         yield pieces(total * idf[:, None])
 
-    basis, _ = np.linalg.qr(added(stored.mapInArrow(spread, schema), (size, rank)))
+    basis, _ = np.linalg.qr(added(stored.mapInArrow(lean(spread), schema), (size, rank)))
     second = (basis * idf[:, None]).astype(np.float32)
 
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +270,7 @@ def latent_space(stored: DataFrame, vocabulary: int, passages: list[Passage]) ->
             total += projected.T @ projected
         yield pieces(total)
 
-    values, turn = np.linalg.eigh(added(stored.mapInArrow(small, schema), (rank, rank)))
+    values, turn = np.linalg.eigh(added(stored.mapInArrow(lean(small), schema), (rank, rank)))
     leading = basis @ turn[:, np.argsort(-values)[:RANK]]
     # Words that hardly any passage has are in no leading direction, and cosines of passages made of them would
     # be noise. What the leading directions leave of each word is kept in random ones, which preserve inner
@@ -388,7 +389,7 @@ def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> Da
                 ["doc_id", "item_id", "start", "end", "share", "cosine"],
             )
 
-    return stored.mapInArrow(find, FOUND)
+    return stored.mapInArrow(lean(find), FOUND)
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -135,6 +135,11 @@ def encoder(path: str) -> WordEncoder | TextEncoder:
     return TextEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)])
 
 
+def forget() -> None:
+    """Drop the encoders of this worker and the words they know."""
+    encoder.cache_clear()
+
+
 def by_word(file: dict) -> bool:
     split = ((file.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
     return (

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import bounded, free_name, join_hot, whole_text, with_fields
 from tallyworks.llm.encoding import runs
 from tallyworks.llm.graph import components
+from tallyworks.llm.workers import lean
 from tallyworks.sources.workspace import written
 
 WORDS = 5
@@ -112,7 +113,7 @@ def set_table(docs: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "node"],
                 )
 
-    return texts_of(docs).mapInArrow(describe, "doc_id long, n_shingles long, node long")
+    return texts_of(docs).mapInArrow(lean(describe), "doc_id long, n_shingles long, node long")
 
 
 def distinct_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
@@ -178,8 +179,8 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
         keys = slots[shared].astype(np.uint64) | np.uint64(table["bucket"][0].as_py() << 32)
         return pa.table({"keys": [keys.tobytes()], "level": [np.log2(n[shared]).astype(np.uint8).tobytes()]})
 
-    sent = texts_of(docs).mapInArrow(send, "bucket long, slots binary")
-    found = sent.groupBy("bucket").applyInArrow(count, "keys binary, level binary").collect()
+    sent = texts_of(docs).mapInArrow(lean(send), "bucket long, slots binary")
+    found = sent.groupBy("bucket").applyInArrow(lean(count), "keys binary, level binary").collect()
     keys = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in found] or [np.zeros(0, np.uint64)])
     level = np.concatenate([np.frombuffer(r["level"], np.uint8) for r in found] or [np.zeros(0, np.uint8)])
     order = np.argsort(keys)
@@ -235,8 +236,8 @@ def candidate_links(docs: DataFrame, threshold: Threshold, limit: int = FREQUENT
         pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = texts_of(docs).mapInArrow(send, "bucket long, h binary, node binary, n binary")
-    return sent.groupBy("bucket").applyInArrow(chain, "a long, b long")
+    sent = texts_of(docs).mapInArrow(lean(send), "bucket long, h binary, node binary, n binary")
+    return sent.groupBy("bucket").applyInArrow(lean(chain), "a long, b long")
 
 
 class Trie:
@@ -353,7 +354,7 @@ def packed_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     rows = rows.select("text", *kept)
     types = dict(members.dtypes)
-    return rows.mapInArrow(pack, ", ".join(f"{c} {types[c]}" for c in kept) + ", hashes binary")
+    return rows.mapInArrow(lean(pack), ", ".join(f"{c} {types[c]}" for c in kept) + ", hashes binary")
 
 
 def small_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -371,7 +372,7 @@ def small_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
     tasks = 1 << bucket_bits(sets)
-    return sets.groupBy(F.pmod(F.xxhash64("root"), F.lit(tasks)).alias("task")).applyInArrow(link, "a long, b long")
+    return sets.groupBy(F.pmod(F.xxhash64("root"), F.lit(tasks)).alias("task")).applyInArrow(lean(link), "a long, b long")
 
 
 def typical(sets: DataFrame) -> DataFrame:
@@ -388,7 +389,7 @@ def typical(sets: DataFrame) -> DataFrame:
             flat = pa.array(np.concatenate(chosen) if chosen else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch["root"].take(at), batch["node"].take(at), flat], ["root", "node", "h"])
 
-    counted = written(sets.select("root", "node", "hashes").mapInArrow(some, "root long, node long, h long"), "some-shingles")
+    counted = written(sets.select("root", "node", "hashes").mapInArrow(lean(some), "root long, node long, h long"), "some-shingles")
     common = counted.groupBy("root", "h").agg(F.count(F.lit(1)).alias("n"))
     score = counted.join(common, ["root", "h"]).groupBy("root", "node").agg(F.avg("n").alias("score"))
     scored = sets.select("root", "node").join(score, ["root", "node"], "left")
@@ -421,7 +422,7 @@ def large_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
         own = sets.select("root", block.alias("block"), "node", F.lit(False).alias("asks"), "hashes")
         everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
         sent = queries.select("root", everywhere, "node", F.lit(True).alias("asks"), "hashes")
-        return own.unionByName(sent).groupBy("root", "block").applyInArrow(ask, "a long, b long")
+        return own.unionByName(sent).groupBy("root", "block").applyInArrow(lean(ask), "a long, b long")
 
     first = typical(sets)
     central = written(asked(sets.join(first, ["root", "node"], "left_semi")), "central-links")
@@ -485,7 +486,7 @@ def one_of_each_group(docs: DataFrame, percent: int = 75, frequent: int = FREQUE
                 nodes += [node_of(s) if len(s) else None for s in shingle_sets(texts.slice(start, n))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, own])
 
-    marked = docs.mapInArrow(mark, with_fields(docs, **{own: "long"}))
+    marked = docs.mapInArrow(lean(mark), with_fields(docs, **{own: "long"}))
     same = marked["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(node))
     rows = marked.join(bounded(listed), same, "left").where(F.col(node).isNull() | F.col(stay))
     again = rows.where(F.col(node).isNotNull()).dropDuplicates([doc, node])

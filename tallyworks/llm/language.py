@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import with_fields
 from tallyworks.llm.encoding import runs
+from tallyworks.llm.workers import lean
 
 BITS = 15
 DIMENSIONS = 1 << BITS  # hashed n-grams of one to three characters
@@ -97,7 +98,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["dimension", "texts"])
 
-    counted = texts.select("text").mapInArrow(count, "dimension long, texts long")
+    counted = texts.select("text").mapInArrow(lean(count), "dimension long, texts long")
     out = np.zeros(DIMENSIONS + 1, np.int64)
     for row in counted.groupBy("dimension").agg(F.sum("texts").alias("n")).collect():
         out[row["dimension"]] = row["n"]
@@ -189,8 +190,7 @@ def train(labelled: DataFrame) -> LanguageModel:
                     ["doc_id", "lang", "checks", "at", "x"],
                 )
 
-    sparse = sample.select("doc_id", "lang", checks.alias("checks"), "text").mapInArrow(
-        vectors, "doc_id long, lang string, checks boolean, at binary, x binary"
+    sparse = sample.select("doc_id", "lang", checks.alias("checks"), "text").mapInArrow(lean(vectors), "doc_id long, lang string, checks boolean, at binary, x binary"
     )
     found = sorted(sparse.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["lang"], r["at"], r["x"]))
     data = [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(float)) for r in found]
@@ -232,4 +232,4 @@ def predicted(docs: DataFrame, model: LanguageModel, names: tuple[str, str] = ("
             )
 
     rest = docs.select(*kept)
-    return rest.mapInArrow(predict, with_fields(rest, **dict(zip(names, ("string", "double"), strict=True))))
+    return rest.mapInArrow(lean(predict), with_fields(rest, **dict(zip(names, ("string", "double"), strict=True))))

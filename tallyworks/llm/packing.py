@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import whole_text
 from tallyworks.llm.encoding import encoder, runs
+from tallyworks.llm.workers import lean
 
 Pattern = tuple[tuple[int, ...], int]  # lengths of the pieces of one sequence, number of such sequences
 
@@ -179,7 +180,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids binary, part int, rank long"
-    return texts.mapInArrow(cut, schema)
+    return texts.mapInArrow(lean(cut, encodes=True), schema)
 
 
 def pack(stored: DataFrame, capacity: int) -> DataFrame:
@@ -221,4 +222,4 @@ def pack(stored: DataFrame, capacity: int) -> DataFrame:
     names = [c for c in numbered.columns if c != "_k"] + ["sequence_id", "offset"]
     types = dict(numbered.dtypes)
     schema = ", ".join(f"`{c}` {types.get(c, 'bigint')}" for c in names)
-    return numbered.mapInArrow(place, schema)
+    return numbered.mapInArrow(lean(place), schema)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import whole_text, with_fields
+from tallyworks.llm.workers import lean
 
 SAMPLE_DOCS = 4000  # labelled documents of each class to learn from, at most; half train, half calibrate
 PIECES = 8000  # pieces of each class that make its dictionary, at most
@@ -102,7 +103,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Quality
             x = features(batch["text"].to_pylist(), tools)
             yield pa.RecordBatch.from_arrays([batch["label"], *map(pa.array, x.T.copy())], ["label", "x0", "x1"])
 
-    measured = taught.where(calibrates).select("label", "text").mapInArrow(measure, "label int, x0 double, x1 double")
+    measured = taught.where(calibrates).select("label", "text").mapInArrow(lean(measure), "label int, x0 double, x1 double")
     rows = np.array(sorted(tuple(r) for r in measured.collect()), float).reshape(-1, 3)
     counts = {r[0]: r[1] for r in labels.groupBy(F.col(label).cast("int")).count().collect()}
     return calibrated(model, rows[:, 1:], rows[:, 0], counts)
@@ -153,4 +154,4 @@ def scored(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFra
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), values], [*kept, name])
 
     rest = docs.select(*kept)
-    return rest.mapInArrow(score, with_fields(rest, **{name: "double"}))
+    return rest.mapInArrow(lean(score), with_fields(rest, **{name: "double"}))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import join_hot, whole_text
 from tallyworks.llm.encoding import by_word, encoder, runs
+from tallyworks.llm.workers import lean
 from tallyworks.sources.workspace import written
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -62,7 +63,7 @@ def extend_cache(docs: DataFrame, tokenizer: str, cache: str) -> None:
     distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
     known = read_cache(docs.sparkSession, cache, tokenizer).select("content")
     misses = distinct.join(known, "content", "left_anti")
-    misses.mapInArrow(count, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    misses.mapInArrow(lean(count, encodes=True), CACHE_SCHEMA).write.mode("append").parquet(cache)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import whole_text
 from tallyworks.llm.encoding import encoder, runs
+from tallyworks.llm.workers import lean
 
 SHARD_TOKENS = 1 << 22
 BLOCK = 8192  # bytes of a bit-plane that are compressed together
@@ -206,7 +207,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_
 
     ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
     ranged = ranged.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(encode, SHARD_SCHEMA).write.option("compression", "uncompressed").parquet(path)
+    ranged.mapInArrow(lean(encode, encodes=True), SHARD_SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
 def shard_starts(spark: SparkSession, path: str) -> DataFrame:
@@ -244,4 +245,4 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 )
 
     stored = spark.read.schema(SHARD_SCHEMA).parquet(path).select("part", "seq", "doc_ids", "counts", "matrix")
-    return stored.mapInArrow(decode, "part int, seq int, doc_id long, within long, ids binary")
+    return stored.mapInArrow(lean(decode), "part int, seq int, doc_id long, within long, ids binary")
