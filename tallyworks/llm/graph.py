@@ -24,7 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = written(large, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         down = large.join(least, "a")
-        small = down.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        hung = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = down.select(F.explode(hung).alias("e"))
         small = written(small.select("e.*").where("a != b").distinct(), "small-star")
         both_ways = small.withColumn("_in", F.lit(1)).unionByName(links.select("a", "b").withColumn("_in", F.lit(-1)))
         changed = both_ways.groupBy("a", "b").agg(F.sum("_in").alias("_d")).where("_d != 0").limit(1).count()

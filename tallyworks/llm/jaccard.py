@@ -469,7 +469,8 @@ def one_of_each_group(docs: DataFrame, percent: int = 75, frequent: int = FREQUE
     sets = written(set_table(docs), "sets")
     named = written(similarity_roots(docs, sets, Threshold(percent), frequent, block_bytes), "roots")
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "node")  # a missing id comes last
-    kept = named.groupBy("root").agg(F.min(first).alias("_first")).select(F.col("_first.node").alias("node"), F.col("_first.doc_id").alias("_kept"), F.lit(True).alias("_chosen"))
+    kept = named.groupBy("root").agg(F.min(first).alias("_first"))
+    kept = kept.select("_first.node", F.col("_first.doc_id").alias("_kept"), F.lit(True).alias("_chosen"))
     # Most rows are the only ones of their group. The others are listed: those that go, and those that come again.
     keys = sets.where(F.col("node").isNotNull()).groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("_rows"))
     keys = keys.join(kept, "node", "left")

@@ -190,8 +190,8 @@ def train(labelled: DataFrame) -> LanguageModel:
                     ["doc_id", "lang", "checks", "at", "x"],
                 )
 
-    sparse = sample.select("doc_id", "lang", checks.alias("checks"), "text").mapInArrow(lean(vectors), "doc_id long, lang string, checks boolean, at binary, x binary"
-    )
+    chosen = sample.select("doc_id", "lang", checks.alias("checks"), "text")
+    sparse = chosen.mapInArrow(lean(vectors), "doc_id long, lang string, checks boolean, at binary, x binary")
     found = sorted(sparse.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["lang"], r["at"], r["x"]))
     data = [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(float)) for r in found]
     labels = np.array([languages.index(r["lang"]) for r in found], np.int64)
