@@ -27,11 +27,6 @@ def middle_columns(df: DataFrame) -> list[str]:
     return df.columns[1:-1]
 
 
-def after_first(df: DataFrame) -> list[str]:
-    """First column is the label."""
-    return df.columns[1:]
-
-
 def labelled(features: DataFrame, label: str = "ctr") -> DataFrame:
     """Rows with a label: spark.ml refuses NULL labels."""
     return features.where(F.col(label).isNotNull())
