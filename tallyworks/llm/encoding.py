@@ -45,8 +45,8 @@ def byte_letters() -> dict[int, str]:
 class WordEncoder:
     """Ids word by word; exact for files with WORD_PATTERN and WORD_NORMALIZERS."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+    def __init__(self, tokenizer, memo_words: int):
+        self.tokenizer, self.model, self.memo_words = tokenizer, tokenizer.model, memo_words
         self.letters, self.memo = byte_letters(), {"": b""}
 
     def new(self, word: str) -> bytes:
@@ -78,7 +78,7 @@ class WordEncoder:
             if part is None:
                 parts[i] = memo[words[i]] = self.new(words[i])
         gc.enable()
-        if len(memo) > MEMO_WORDS:
+        if len(memo) > self.memo_words:
             self.memo = dict(zip(words, parts, strict=True))
         at, bounds = coded.indices.to_numpy(), split.offsets.to_numpy() - split.offsets[0].as_py()
         if end is not None:  # one more word, at the end of each text
@@ -117,8 +117,8 @@ def packed(ids: list[int]) -> bytes:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> WordEncoder | TextEncoder:
-    """The encoder of a tokenizer file; kept by the Python worker for its next tasks."""
+def encoder(path: str, memo_words: int = MEMO_WORDS) -> WordEncoder | TextEncoder:
+    """The encoder of a tokenizer file; kept by the Python worker for its next tasks, with the words it knows."""
     if path.endswith(".model"):
         import sentencepiece
 
@@ -131,7 +131,7 @@ def encoder(path: str) -> WordEncoder | TextEncoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     if by_word(json.loads(Path(path).read_text())):
-        return WordEncoder(tokenizer)
+        return WordEncoder(tokenizer, memo_words)
     return TextEncoder(lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)])
 
 

@@ -16,6 +16,8 @@ from tallyworks.llm.common import whole_text
 from tallyworks.llm.encoding import encoder, runs
 from tallyworks.llm.workers import lean
 
+MEMO_WORDS, RUN_BYTES = 150_000, 2 << 20  # less memory than encoding takes by default: it runs after other stages
+
 Pattern = tuple[tuple[int, ...], int]  # lengths of the pieces of one sequence, number of such sequences
 
 
@@ -148,9 +150,9 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataF
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(tokenizer)
+        part, seen, code = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), encoder(tokenizer, MEMO_WORDS)
         for batch in batches:
-            for first, n in runs(batch["text"]):
+            for first, n in runs(batch["text"], RUN_BYTES):
                 flat, sizes = code.encode(batch["text"].slice(first, n), end=end_id)
                 of_doc = -(-sizes // capacity)
                 doc = np.repeat(np.arange(n), of_doc)
