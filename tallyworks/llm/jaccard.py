@@ -249,30 +249,35 @@ class Trie:
     def __init__(self, sets: list[np.ndarray], vocabulary: int, threshold: Threshold):
         self.sets, self.threshold, self.mask = sets, threshold, np.zeros(vocabulary, bool)
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
-        self.root = self._node(order, 0, len(order), 0, 0)
-
-    def _node(self, order: list[int], low: int, high: int, start: int, depth: int):
-        """The node for sets low..high, which agree up to `depth`; its segment begins at `start`."""
-        stack_sets = self.sets
-        here = [i for i in order[low:high] if len(stack_sets[i]) == depth]
-        rest = low + len(here)  # a set that ends here sorts before those that go on
-        children = []
-        while rest < high:
-            token = stack_sets[order[rest]][depth]
-            end = rest + 1
-            while end < high and stack_sets[order[end]][depth] == token:
-                end += 1
-            children.append((rest, end))
-            rest = end
-        sizes = [len(stack_sets[i]) for i in order[low:high]]
-        segment = stack_sets[order[low]][start:depth] if high > low else np.zeros(0, np.uint32)
-        below = []
-        for a, b in children:
-            first, last = stack_sets[order[a]], stack_sets[order[b - 1]]
-            n = min(len(first), len(last))
-            differs = np.flatnonzero(first[depth:n] != last[depth:n])
-            below.append(self._node(order, a, b, depth, depth + int(differs[0]) if len(differs) else n))
-        return segment, depth, min(sizes, default=0), max(sizes, default=0), below, here
+        self.root = self._built(order)
+
+    def _built(self, order: list[int]):
+        """The root. Sets that contain each other nest as deep as their number, so nodes to be built wait on a list."""
+        ordered = [self.sets[i] for i in order]
+        sizes = np.array([len(s) for s in ordered], np.int64)
+        top: list = []
+        todo = [(0, len(order), 0, 0, top)]
+        while todo:
+            # The sets low..high agree up to `depth`; the node's segment begins at `start`.
+            low, high, start, depth, siblings = todo.pop()
+            rest = low
+            while rest < high and sizes[rest] == depth:  # a set that ends here sorts before those that go on
+                rest += 1
+            segment = ordered[low][start:depth] if high > low else np.zeros(0, np.uint32)
+            small, large = (int(sizes[low:high].min()), int(sizes[low:high].max())) if high > low else (0, 0)
+            below: list = []
+            siblings.append((segment, depth, small, large, below, order[low:rest]))
+            while rest < high:
+                token = ordered[rest][depth]
+                end = rest + 1
+                while end < high and ordered[end][depth] == token:
+                    end += 1
+                first, last = ordered[rest], ordered[end - 1]
+                n = min(len(first), len(last))
+                differs = np.flatnonzero(first[depth:n] != last[depth:n])
+                todo.append((rest, end, depth, depth + int(differs[0]) if len(differs) else n, below))
+                rest = end
+        return top[0]
 
     def similar_to(self, query: np.ndarray) -> list[int]:
         """All sets similar to the query."""

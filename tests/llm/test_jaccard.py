@@ -118,6 +118,13 @@ def test_trie_finds_all_similar_sets(sets, percent):
         assert sorted(trie.similar_to(numbers)) == expected
 
 
+def test_trie_of_a_text_that_grew_a_thousand_times():
+    sets = [np.arange(n, dtype=np.uint32) for n in range(2980, 4100)]
+    trie = jaccard.Trie(sets, 4100, jaccard.Threshold(75))
+    expected = [i for i, s in enumerate(sets) if 100 * min(len(s), 3500) >= 75 * max(len(s), 3500)]
+    assert sorted(trie.similar_to(np.arange(3500, dtype=np.uint32))) == expected
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 9), min_size=1), min_size=2, max_size=12, unique_by=frozenset))
 def test_group_links_connect_what_all_pairs_connect(sets):
