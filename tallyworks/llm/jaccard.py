@@ -341,25 +341,49 @@ def one_of_each(found: list[int], reached: set[int]) -> list[int]:
     return known + [j for j in found if j not in reached]
 
 
+def member_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The text of each member (doc_id, node and other columns), and those columns.
+
+    An id, or none, may stand for many texts, so rows are joined by their own node too. Copies within a task go
+    on once.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple] = set()
+        for batch in batches:
+            for first, n in runs(batch["text"], RUN_BYTES):
+                part = batch.slice(first, n)
+                nodes = [node_of(s) if len(s) else None for s in shingle_sets(part["text"])]
+                new = []
+                for i, key in enumerate(zip(part["doc_id"].to_pylist(), nodes, strict=True)):
+                    if key[1] is not None and key not in met:
+                        met.add(key)
+                        new.append(i)
+                own = pa.array(nodes, pa.int64())
+                made = pa.RecordBatch.from_arrays([part["doc_id"], own, part["text"]], ["_doc", "_own", "text"])
+                yield made.take(pa.array(new, pa.int64()))
+
+    marked = texts_of(docs).mapInArrow(lean(mark), "_doc long, _own long, text string")
+    same = F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_own") == F.col("node"))
+    return marked.join(bounded(members), same).select("text", *members.columns)
+
+
 def packed_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The shingle hashes of the members (doc_id, node and other columns): those columns and hashes."""
+    """The shingle hashes of the members (doc_id, node and other columns): those columns and hashes, a row a node."""
     kept = members.columns
-    wanted = members.withColumnRenamed("doc_id", "_doc")
-    rows = texts_of(docs).join(bounded(wanted), F.col("doc_id").eqNullSafe(F.col("_doc"))).drop("_doc")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in runs(batch["text"], RUN_BYTES):
                 part = batch.slice(first, n)
-                sets = shingle_sets(part["text"])
-                right = [node_of(s) == node for s, node in zip(sets, part["node"].to_pylist(), strict=True)]
-                hashes = pa.array([s.tobytes() for s in sets], pa.binary())
-                made = pa.RecordBatch.from_arrays([*(part[c] for c in kept), hashes], [*kept, "hashes"])
-                yield made.filter(pa.array(right))  # an id may also stand for another text
+                hashes = pa.array([s.tobytes() for s in shingle_sets(part["text"])], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), hashes], [*kept, "hashes"])
 
-    rows = rows.select("text", *kept)
     types = dict(members.dtypes)
-    return rows.mapInArrow(lean(pack), ", ".join(f"{c} {types[c]}" for c in kept) + ", hashes binary")
+    packed = member_texts(docs, members).mapInArrow(
+        lean(pack), ", ".join(f"{c} {types[c]}" for c in kept) + ", hashes binary"
+    )
+    return packed.dropDuplicates(["node"])
 
 
 def small_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
@@ -447,7 +471,7 @@ def similarity_roots(docs: DataFrame, sets: DataFrame, threshold: Threshold, fre
     small = packed_sets(docs, members.where("blocks <= 1").drop("blocks")).select("root", "node", "hashes")
     links = small_group_links(small, threshold)
     if not members.where("blocks > 1").isEmpty():
-        large = written(packed_sets(docs, members.where("blocks > 1")).dropDuplicates(["node"]), "large-groups")
+        large = written(packed_sets(docs, members.where("blocks > 1")), "large-groups")
         links = links.unionByName(large_group_links(large, threshold))
     linked = components(links)
     return nodes.join(linked, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))

@@ -86,6 +86,18 @@ def test_same_components_as_brute_force(spark, seed, frequent, block_bytes):
     assert sorted(map(tuple, found), key=key) == sorted(brute(rows), key=key)
 
 
+def test_members_meet_only_their_own_text(spark):
+    texts = [" ".join(f"w{i * 7 + k}" for k in range(12)) for i in range(30)]
+    rows = [(None, t) for t in texts] + [(5, t + " more") for t in texts] + [(9, texts[0] + " again")] * 4 + [(9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    members = jaccard.set_table(docs).where("node is not null").select("doc_id", "node").distinct().localCheckpoint()
+    assert members.count() == 61
+    assert jaccard.member_texts(docs.coalesce(1), members).count() == 61
+    found = jaccard.packed_sets(docs.repartition(4), members).collect()
+    assert sorted(r["node"] for r in found) == sorted(r["node"] for r in members.collect())
+    assert all(jaccard.node_of(np.frombuffer(r["hashes"], "<u8")) == r["node"] for r in found)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similar_groups(docs).count() == 0
