@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import bounded, free_name, join_hot, whole_text, with_fields
@@ -426,11 +426,46 @@ def typical(sets: DataFrame) -> DataFrame:
     return scored.groupBy("root").agg(best.alias("node"))
 
 
-def large_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """Links of groups that no task can hold; `sets`, stored, has root, blocks (how many), node and hashes.
+def blocked(sets: DataFrame, name: str, block_bytes: int) -> DataFrame:
+    """`sets` with the column `name`: each group in order of size, cut into blocks of about `block_bytes`.
 
-    The sets of a group are dealt to blocks by hash. The group's most typical set is asked in all its blocks;
-    then each set that it does not reach is asked in all blocks.
+    Sets of one size are dealt by hash, so only sums over the sizes of a group are ordered.
+    """
+    n = F.octet_length("hashes")
+    sizes = sets.groupBy("root", n.alias("_size")).agg(F.sum(n).alias("_bytes"))
+    below = Window.partitionBy("root").orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_bytes").over(below), F.lit(0)))
+    sizes = written(sizes.withColumnRenamed("root", "_root"), "sizes")
+    share = F.pmod(F.xxhash64("node", F.lit(name)), F.lit(1 << 30)) / (1 << 30)
+    block = F.floor((F.col("_before") + F.col("_bytes") * share) / block_bytes)
+    rows = sets.join(bounded(sizes), (F.col("root") == F.col("_root")) & (n == F.col("_size")))
+    return rows.select(*sets.columns, block.cast("long").alias(name))
+
+
+def block_pairs(sets: DataFrame, queries: DataFrame, threshold: Threshold, block_bytes: int) -> DataFrame:
+    """root, block, slice, asks, node and hashes: for each block of members and each slice of the queries of a
+    group whose sizes allow similar sets, both. `sets` has block; no (root, block, slice) has more than two blocks."""
+    queries = written(blocked(queries, "slice", block_bytes), "queries")
+    n = F.octet_length("hashes")
+    span = lambda low, high: [F.min(n).alias(low), F.max(n).alias(high)]
+    slices = queries.groupBy("root", "slice").agg(*span("_low", "_high"))
+    blocks = sets.groupBy("root", "block").agg(*span("_small", "_large"))
+    may = (100 * F.col("_high") >= threshold.percent * F.col("_small")) & (
+        100 * F.col("_large") >= threshold.percent * F.col("_low")
+    )
+    pairs = written(blocks.join(slices, "root").where(may).select("root", "block", "slice"), "block-pairs")
+    columns = ["root", "block", "slice", "asks", "node", "hashes"]
+    own = sets.withColumn("asks", F.lit(False)).join(bounded(pairs), ["root", "block"]).select(*columns)
+    sent = queries.withColumn("asks", F.lit(True)).join(bounded(pairs), ["root", "slice"]).select(*columns)
+    return own.unionByName(sent)
+
+
+def large_group_links(sets: DataFrame, threshold: Threshold, block_bytes: int) -> DataFrame:
+    """Links of groups that no task can hold; `sets`, stored, has root, node and hashes.
+
+    The sets of a group are cut into blocks by size. The group's most typical set is asked in all blocks that
+    can hold similar ones; then the sets that it does not reach, in slices of the same size as blocks. A task
+    has one block and one slice.
     """
 
     def ask(table: pa.Table) -> pa.Table:
@@ -446,12 +481,11 @@ def large_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
                 links += [(q, nodes[i]) for i in trie.similar_to(number) if nodes[i] != q]
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
+    sets = written(blocked(sets, "block", block_bytes), "blocks")
+
     def asked(queries: DataFrame) -> DataFrame:
-        block = F.pmod(F.xxhash64("node"), F.col("blocks"))
-        own = sets.select("root", block.alias("block"), "node", F.lit(False).alias("asks"), "hashes")
-        everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
-        sent = queries.select("root", everywhere, "node", F.lit(True).alias("asks"), "hashes")
-        return own.unionByName(sent).groupBy("root", "block").applyInArrow(lean(ask), "a long, b long")
+        pairs = block_pairs(sets, queries.select("root", "node", "hashes"), threshold, block_bytes)
+        return pairs.groupBy("root", "block", "slice").applyInArrow(lean(ask), "a long, b long")
 
     first = typical(sets)
     central = written(asked(sets.join(first, ["root", "node"], "left_semi")), "central-links")
@@ -471,8 +505,8 @@ def similarity_roots(docs: DataFrame, sets: DataFrame, threshold: Threshold, fre
     small = packed_sets(docs, members.where("blocks <= 1").drop("blocks")).select("root", "node", "hashes")
     links = small_group_links(small, threshold)
     if not members.where("blocks > 1").isEmpty():
-        large = written(packed_sets(docs, members.where("blocks > 1")), "large-groups")
-        links = links.unionByName(large_group_links(large, threshold))
+        large = written(packed_sets(docs, members.where("blocks > 1").drop("blocks")), "large-groups")
+        links = links.unionByName(large_group_links(large, threshold, block_bytes))
     linked = components(links)
     return nodes.join(linked, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
 

@@ -98,6 +98,25 @@ def test_members_meet_only_their_own_text(spark):
     assert all(jaccard.node_of(np.frombuffer(r["hashes"], "<u8")) == r["node"] for r in found)
 
 
+def test_tasks_of_a_large_group_are_bounded(spark):
+    rng = random.Random(7)
+    rows = [(i % 2, i, rng.randbytes(8 * rng.randrange(20, 200))) for i in range(800)]
+    stored = spark.createDataFrame(rows, "root long, node long, hashes binary").localCheckpoint()
+    sets, limit = jaccard.blocked(stored, "block", 20_000).localCheckpoint(), 20_000
+    pairs = jaccard.block_pairs(sets, stored, jaccard.Threshold(75), limit).collect()
+    load, met = Counter(), defaultdict(lambda: ([], []))
+    for r in pairs:
+        load[r["root"], r["block"], r["slice"]] += len(r["hashes"])
+        met[r["root"], r["block"], r["slice"]][r["asks"]].append(r["node"])
+    assert max(load.values()) <= 2 * 1.5 * limit
+    asked = {(q, m) for members, queries in met.values() for q in queries for m in members}
+    size = {node: (root, len(h)) for root, node, h in rows}
+    for q, (a, n) in size.items():
+        for m, (b, k) in size.items():
+            assert (q, m) in asked or a != b or 4 * min(n, k) < 3 * max(n, k)
+    assert len(asked) < 2 * 400 * 400  # and not everything everywhere
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similar_groups(docs).count() == 0
