@@ -11,48 +11,50 @@ from pyspark.sql import functions as F
 
 from tallyworks.sources.workspace import written
 
-BLOCK_TURNS = 1024  # a conversation is worked on, and rendered, in parts of so many turn numbers
+BLOCK_TURNS = 1024  # a conversation is worked on, and rendered, in parts of so many turns
 
 
 def positions(turns: DataFrame) -> DataFrame:
-    """Distinct turns (conv_id, turn, role, text) with block and position (from 1) in their conversation.
+    """Distinct turns (conv_id, turn, role, text) with position (from 1) and part in their conversation, and n_turns.
 
-    Turns are ordered by number, role and text. Numbers within a block are counted there; blocks of a
-    conversation only exchange their sizes, so a long conversation is spread over tasks.
+    Turns are ordered by number, role and text: all rows are dealt to ranges of that order and sorted there.
+    Ranges of a conversation only exchange their sizes, so a long one is spread over tasks, however often one
+    of its turn numbers, or none, occurs. Parts have BLOCK_TURNS rows.
     """
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")),
     ).distinct()
-    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62))))
-    inner = Window.partitionBy("conv_id", "block")
-    rows = rows.withColumn("_at", F.row_number().over(inner.orderBy("turn", "role", "text")))
-    rows = written(rows, "turns")
-    sizes = rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy("conv_id").orderBy("block")
+    order = ["conv_id", "turn", "role", "text"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(rows.withColumn("_at", F.monotonically_increasing_id()), "turns")  # range, then place in it
+    rows = rows.withColumn("_range", F.shiftright("_at", 33))
+    sizes = rows.groupBy("conv_id", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    running = Window.partitionBy("conv_id").orderBy("_range")
     whole = Window.partitionBy("conv_id")
     sizes = sizes.select(
         F.col("conv_id").alias("_conv"),
-        F.col("block").alias("_block"),
-        (F.sum("_n").over(running) - F.col("_n")).alias("_before"),
+        F.col("_range").alias("_own"),
+        (F.sum("_n").over(running) - F.col("_n") - F.col("_first")).alias("_before"),
         F.sum("_n").over(whole).alias("n_turns"),
-        (F.row_number().over(running) - 1).cast("int").alias("part"),
     )
-    placed = rows.join(sizes, rows["conv_id"].eqNullSafe(sizes["_conv"]) & (rows["block"] == sizes["_block"]))
-    return placed.withColumn("position", F.col("_before") + F.col("_at")).drop("_conv", "_block", "_before", "_at")
+    placed = rows.join(sizes, rows["conv_id"].eqNullSafe(sizes["_conv"]) & (rows["_range"] == sizes["_own"]))
+    placed = placed.withColumn("position", F.col("_before") + F.col("_at") + 1)
+    part = F.floor((F.col("position") - 1) / BLOCK_TURNS).cast("int")
+    return placed.withColumn("part", part).drop("_conv", "_own", "_range", "_before", "_at")
 
 
 def prefix_hashes(placed: DataFrame) -> DataFrame:
     """The turns with h1 and h2, together 128 bits for the turns up to each one.
 
-    They are the exclusive or of the hashes of (position, role, text), first within a block, then over the
-    blocks before; whether turns are numbered from 0 or 1 makes no difference.
+    They are the exclusive or of the hashes of (position, role, text), first within a part, then over the
+    parts before; whether turns are numbered from 0 or 1 makes no difference.
     """
     def own(seed: int) -> Column:
         return F.xxhash64(F.lit(seed), "position", F.length("role"), "role", "text")
 
-    inner = Window.partitionBy("conv_id", "block").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("conv_id", "part").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
     rows = placed.withColumns({"_h1": own(1), "_h2": own(2)})
     blocks = rows.groupBy("conv_id", "part").agg(F.bit_xor("_h1").alias("_x1"), F.bit_xor("_h2").alias("_x2"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,8 +90,8 @@ def render(role: Column, text: Column) -> Column:
 def chats(turns: DataFrame) -> DataFrame:
     """conv_id, part, n_turns and text of the maximal conversations of `turns` (conv_id, turn, role, text).
 
-    A text has the conversation's turns in the chat format. Conversations with more than BLOCK_TURNS turn
-    numbers come in parts, from 0; n_turns is that of the whole. Repeated rows are one turn; rows with the same
+    A text has the conversation's turns in the chat format. Conversations with more than BLOCK_TURNS
+    turns come in parts, from 0; n_turns is that of the whole. Repeated rows are one turn; rows with the same
     number are ordered by role and text; missing roles and texts are empty, missing numbers come first. Rows
     without conv_id are one conversation, kept only if no other begins with or equals it.
     """

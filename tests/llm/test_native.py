@@ -64,6 +64,21 @@ def test_chats_of_nothing(spark):
     assert chat.chats(empty).count() == 0
 
 
+def test_parts_are_bounded_whatever_the_turn_numbers(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 10)
+    rows = [(None, i % 3, "u", f"null {i}") for i in range(60)] + [(1, None, "u", f"none {i}") for i in range(75)]
+    rows += [(2, 7, "u", f"same {i}") for i in range(55)] + [(3, 1000 * i, "u", f"far {i}") for i in range(5)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = chat.chats(turns).collect()
+    joined = {}
+    for row in sorted(found, key=lambda r: (str(r["conv_id"]), r["part"])):
+        assert 1 <= row["text"].count("<|im_start|>") <= 10
+        n, text = joined.get(row["conv_id"], (row["n_turns"], ""))
+        joined[row["conv_id"]] = (n, text + row["text"])
+    assert joined == brute_chats(rows)
+    assert len(found) == 6 + 8 + 6 + 1
+
+
 def texts_table(spark, texts, ids=None):
     rows = [(i if ids is None else ids[k], t, 1, "f") for k, (i, t) in enumerate(enumerate(texts))]
     return spark.createDataFrame(rows, "doc_id long, text string, n_chars int, fingerprint string")
