@@ -71,13 +71,14 @@ def digests(text: Column, bits: Column) -> tuple[Column, Column]:
 def with_fingerprint(df: DataFrame, text: str, bits: Column, name: str) -> DataFrame:
     """`df` with the column `name`: the digests of its column `text`, joined by '-'.
 
-    The last part is empty, or a hash of the whole text if that has no term of the lexicon: such texts are like
-    their copies only.
+    The last part is empty, or a hash of the whole text if no randomised lexicon has a term of it: such texts are
+    like their copies only.
     """
     band, parts = digests(F.col(text), bits)
-    exact = F.when(F.size("_band") > 0, "").otherwise(F.lpad(F.hex(F.xxhash64(text)), 16, "0"))
-    whole = F.array_join(F.concat(parts, F.array(exact)), "-")
-    return df.withColumn("_band", band).withColumn(name, whole).drop("_band")
+    said = df.withColumn("_band", band).withColumn("_said", F.array_join(parts, "-"))
+    nothing = F.col("_said") == "-" * (len(RATES) - 1)
+    exact = F.when(nothing, F.lpad(F.hex(F.xxhash64(text)), 16, "0")).otherwise("")
+    return said.withColumn(name, F.concat("_said", F.lit("-"), exact)).drop("_band", "_said")
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -148,6 +148,16 @@ def test_lexicon_has_the_terms_of_the_band(spark):
     }
 
 
+def test_texts_whose_band_terms_are_in_no_lexicon(spark):
+    texts = spark.createDataFrame([(f"w{i}",) for i in range(200)], "text string")
+    everything = fingerprints.F.array_repeat(fingerprints.F.lit(-1).cast("long"), 1 << (fingerprints.BITS - 6))
+    band, parts = fingerprints.digests(texts["text"], everything)
+    left_out = texts.withColumn("_band", band).where(fingerprints.F.array_join(parts, "") == "").select("text")
+    found = fingerprints.with_fingerprint(left_out, "text", everything, "f").collect()
+    assert len(found) > 20
+    assert len({r["f"] for r in found}) == len(found)
+
+
 def test_small_edits_leave_likeness(spark):
     texts = [" ".join(random.Random(i).choices(WORDS, k=40)) for i in range(200)]
     bits = fingerprints.lexicon(texts_table(spark, texts), 0.01, 0.9)
