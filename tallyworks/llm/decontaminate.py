@@ -39,6 +39,7 @@ ANSWER_WORDS = 5  # an answer is the last sentence of an item, and so many words
 LEAST_WORDS = 8  # items with fewer words say too little and match only as a whole
 
 SENTENCE = re.compile(r"[.!?\n]+")
+GAPS = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"  # what str.split takes beyond ASCII's
 
 
 def plain(word: str) -> str:
@@ -105,6 +106,17 @@ def leaks(passage: Passage, masks: dict[int, int], words: list[int]) -> float:
     return share if share >= PARAPHRASE and answer and holds(words, answer) else 0.0
 
 
+def word_lists(texts: pa.Array) -> tuple[pa.Array, pa.Array, list[str]]:
+    """The words of each text between all Unicode white space, as for items; those in a row, coded; the distinct ones."""
+    while True:
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if all(w.isalnum() or len(w.split()) < 2 for w in listed):
+            return split, coded, listed
+        texts = pc.replace_substring_regex(texts, GAPS, " ")
+
+
 def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
     """doc_id and words: each document as 32-bit numbers of its words, 0 for words that no item has."""
     shared = docs.sparkSession.sparkContext.broadcast(number)
@@ -117,9 +129,7 @@ def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
 
         for batch in batches:
             for first, n in runs(batch["text"], 4 << 20):
-                split = pc.ascii_split_whitespace(batch["text"].slice(first, n).cast(pa.large_string()))
-                coded = split.flatten().dictionary_encode()
-                listed = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+                split, coded, listed = word_lists(batch["text"].slice(first, n).cast(pa.large_string()))
                 numbers = [find(w.lower(), 0) if w.isalnum() else marked(w) for w in listed]
                 at = np.array(numbers, np.int32)[coded.indices.to_numpy()]
                 ends = np.concatenate([[0], np.cumsum(at >= 0)])[split.offsets.to_numpy() - split.offsets[0].as_py()]

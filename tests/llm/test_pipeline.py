@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,6 +63,17 @@ def test_planted_leaks_are_found_and_nothing_else(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, _ in docs + odd if d not in leaking)
 
 
+def test_copies_with_other_white_space_are_found(spark):
+    gaps = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts, _, listed = decontaminate.word_lists(pa.array([f"a{g}b" for g in gaps] + ["one two"], pa.large_string()))
+    assert texts.to_pylist() == [["a", "b"]] * len(gaps) + [["one", "two"]] and set(listed) == {"a", "b", "one", "two"}
+    items, docs, _ = corpus(1)
+    copies = [(1000 + i, f"before {items[i][1]} after".replace(" ", gap)) for i, gap in enumerate("\xa0\u3000\u2009")]
+    table = spark.createDataFrame(docs + copies, "doc_id long, text string")
+    found = decontaminate.leaked(table, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} >= {(1000 + i, i) for i in range(3)}
+
+
 def test_no_documents_or_no_benchmark(spark):
     docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "some text of the benchmark")], "item_id long, text string")
