@@ -13,7 +13,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -97,13 +97,13 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
 
 
-def set_table(docs: DataFrame) -> DataFrame:
+def set_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and node (NULL without words) of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, n in runs(batch["text"], RUN_BYTES):
-                sets = shingle_sets(batch["text"].slice(first, n))
+                sets = shingle_sets(batch["text"].slice(first, n), words)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"].slice(first, n),
@@ -341,7 +341,7 @@ def one_of_each(found: list[int], reached: set[int]) -> list[int]:
     return known + [j for j in found if j not in reached]
 
 
-def member_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+def member_texts(docs: DataFrame, members: DataFrame, words: int = WORDS) -> DataFrame:
     """The text of each member (doc_id, node and other columns), and those columns.
 
     An id, or none, may stand for many texts, so rows are joined by their own node too. Copies within a task go
@@ -353,7 +353,7 @@ def member_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
         for batch in batches:
             for first, n in runs(batch["text"], RUN_BYTES):
                 part = batch.slice(first, n)
-                nodes = [node_of(s) if len(s) else None for s in shingle_sets(part["text"])]
+                nodes = [node_of(s) if len(s) else None for s in shingle_sets(part["text"], words)]
                 new = []
                 for i, key in enumerate(zip(part["doc_id"].to_pylist(), nodes, strict=True)):
                     if key[1] is not None and key not in met:
@@ -368,7 +368,7 @@ def member_texts(docs: DataFrame, members: DataFrame) -> DataFrame:
     return marked.join(bounded(members), same).select("text", *members.columns)
 
 
-def packed_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
+def packed_sets(docs: DataFrame, members: DataFrame, words: int = WORDS) -> DataFrame:
     """The shingle hashes of the members (doc_id, node and other columns): those columns and hashes, a row a node."""
     kept = members.columns
 
@@ -376,17 +376,20 @@ def packed_sets(docs: DataFrame, members: DataFrame) -> DataFrame:
         for batch in batches:
             for first, n in runs(batch["text"], RUN_BYTES):
                 part = batch.slice(first, n)
-                hashes = pa.array([s.tobytes() for s in shingle_sets(part["text"])], pa.binary())
+                hashes = pa.array([s.tobytes() for s in shingle_sets(part["text"], words)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), hashes], [*kept, "hashes"])
 
     types = dict(members.dtypes)
-    packed = member_texts(docs, members).mapInArrow(
+    packed = member_texts(docs, members, words).mapInArrow(
         lean(pack), ", ".join(f"{c} {types[c]}" for c in kept) + ", hashes binary"
     )
     return packed.dropDuplicates(["node"])
 
 
-def small_group_links(sets: DataFrame, threshold: Threshold) -> DataFrame:
+GroupLinks = Callable[[list[int], list[np.ndarray], Threshold], list[tuple[int, int]]]
+
+
+def small_group_links(sets: DataFrame, threshold: Threshold, group_links: GroupLinks = group_links) -> DataFrame:
     """Links of groups that a task can hold; `sets` has root, node and hashes. Tasks take many groups each."""
 
     def link(table: pa.Table) -> pa.Table:
@@ -495,22 +498,47 @@ def large_group_links(sets: DataFrame, threshold: Threshold, block_bytes: int) -
 
 def similarity_roots(docs: DataFrame, sets: DataFrame, threshold: Threshold, frequent: int, block_bytes: int) -> DataFrame:
     """node, doc_id (the smallest with that set) and root (one for each component) of every set of `docs`."""
+    return verified_roots(docs, sets, candidate_links(docs, threshold, frequent), threshold, block_bytes)
+
+
+def verified_roots(
+    docs: DataFrame,
+    sets: DataFrame,
+    candidates: DataFrame,
+    threshold: Threshold,
+    block_bytes: int,
+    words: int = WORDS,
+    group_links: GroupLinks = group_links,
+) -> DataFrame:
+    """node, doc_id (the smallest with that set) and root (one for each component) of every set of `docs`.
+
+    The connected groups of `candidates` (a, b) have to hold every similar pair; each group is compared on its
+    full sets of shingles, by `group_links` if a task can hold it.
+    """
     nodes = sets.where(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles")
     )
-    groups = components(candidate_links(docs, threshold, frequent))
+    groups = components(candidates)
     size = groups.join(nodes, "node")
     of_group = size.groupBy("root").agg(F.ceil(F.sum("n_shingles") * 8 / block_bytes).cast("long").alias("blocks"))
     members = written(size.join(of_group, "root").select("doc_id", "node", "root", "blocks"), "members")
-    small = packed_sets(docs, members.where("blocks <= 1").drop("blocks")).select("root", "node", "hashes")
-    links = small_group_links(small, threshold)
+    small = packed_sets(docs, members.where("blocks <= 1").drop("blocks"), words).select("root", "node", "hashes")
+    links = small_group_links(small, threshold, group_links)
     if not members.where("blocks > 1").isEmpty():
-        large = written(packed_sets(docs, members.where("blocks > 1").drop("blocks")), "large-groups")
+        large = written(packed_sets(docs, members.where("blocks > 1").drop("blocks"), words), "large-groups")
         links = links.unionByName(large_group_links(large, threshold, block_bytes))
     linked = components(links)
     return nodes.join(linked, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
 
 
+def labelled(sets: DataFrame, named: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of `sets`, whose sets have the roots in `named`."""
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    labels = written(named.select("node", "root").join(least, "root").select("node", "component_id"), "labels")
+    rows = join_hot(sets, labels, "node")
+    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
 def similar_groups(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `docs` (doc_id, text).
 
@@ -519,11 +547,7 @@ def similar_groups(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT,
     and no links. Repeated rows count as any equal texts; a missing id is a row, and no component_id.
     """
     sets = written(set_table(docs), "sets")
-    named = similarity_roots(docs, sets, Threshold(percent), frequent, block_bytes)
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    labels = written(named.select("node", "root").join(least, "root").select("node", "component_id"), "labels")
-    rows = join_hot(sets, labels, "node")
-    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return labelled(sets, similarity_roots(docs, sets, Threshold(percent), frequent, block_bytes))
 
 
 def one_of_each_group(docs: DataFrame, percent: int = 75, frequent: int = FREQUENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import chat, decontaminate, fingerprints, jaccard, language, packing, quality, sharding, token_counts, wavelet
+from tallyworks.llm import chat, decontaminate, fingerprints, jaccard, language, packing, quality, sharding, superminhash, token_counts, wavelet
 from tallyworks.llm.common import fold
 from tallyworks.sources.tables import stored
 from tallyworks.sources.workspace import new_folder, written
@@ -94,6 +94,11 @@ def op10_best_fit_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_superminhash(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets have a similarity of 0.80 or more."""
+    return superminhash.near_duplicates(stored(spark, data_dir, "documents"), 80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_shards,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_imatch,
         op9_extendible_shards,
         op10_best_fit_packing,
+        op11_superminhash,
     )
 }
 
