@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import chat, decontaminate, fingerprints, jaccard, language, packing, quality, sharding, superminhash, token_counts, wavelet
+from tallyworks.llm import (
+    chat,
+    decontaminate,
+    filter_audit,
+    fingerprints,
+    jaccard,
+    language,
+    packing,
+    quality,
+    sharding,
+    superminhash,
+    token_counts,
+    wavelet,
+)
 from tallyworks.llm.common import fold
 from tallyworks.sources.tables import stored
 from tallyworks.sources.workspace import new_folder, written
@@ -99,6 +112,11 @@ def op11_superminhash(spark: SparkSession, data_dir: str) -> DataFrame:
     return superminhash.near_duplicates(stored(spark, data_dir, "documents"), 80)
 
 
+def op12_filter_audit(spark: SparkSession, data_dir: str) -> DataFrame:
+    """What five filters remove, repeat and alone catch, by source, in every order and step."""
+    return filter_audit.audit(stored(spark, data_dir, "documents"), stored(spark, data_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_shards,
@@ -112,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_extendible_shards,
         op10_best_fit_packing,
         op11_superminhash,
+        op12_filter_audit,
     )
 }
 
@@ -154,4 +173,50 @@ ORACLES: dict[str, str] = {
             0::integer as page, depth, shard_bytes
         from placed
     """,
+    "op12_filter_audit": r"""
+        with docs as (
+            select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+                list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+            from documents
+        ), firsts as (
+            select text, min(doc_id) as least from docs group by text
+        ), good as (
+            select distinct doc_id from labels where quality = 1
+        ), toxic as (
+            select distinct doc_id from labels where toxic = 1
+        ), facts as (
+            select row_number() over () as row_id, part,
+                list_filter(['A', 'B', 'C', 'D', 'E'], lambda c: case c
+                    when 'A' then len(words) < 200
+                    when 'B' then 100 * len(list_distinct(words)) < 50 * len(words)
+                    when 'C' then 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text)
+                    when 'D' then regexp_matches(text, '[#$%&*|]')
+                    else coalesce(doc_id > least, false) end) as failed,
+                (good.doc_id is not null)::bigint as good, (toxic.doc_id is not null)::bigint as toxic
+            from docs join firsts using (text) left join good using (doc_id) left join toxic using (doc_id)
+        ), letters as (
+            select unnest(['A', 'B', 'C', 'D', 'E']) as c
+        ), orders as (
+            select a.c || b.c || c.c || d.c || e.c as filter_order
+            from letters a, letters b, letters c, letters d, letters e
+            where len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+        ), placed as (
+            select part, filter_order, failed, good, toxic, len(failed) as n_failed,
+                coalesce(list_min(list_transform(failed, lambda c: instr(filter_order, c))), 6) as first_failed
+            from facts, orders
+        ), steps as (
+            select part, filter_order, step::integer as step, substr(filter_order, step, 1) as letter,
+                count(*) filter (first_failed > step) as kept,
+                count(*) filter (first_failed = step) as removed,
+                count(*) filter (list_contains(failed, substr(filter_order, step, 1)) and first_failed < step) as redundant,
+                count(*) filter (list_contains(failed, substr(filter_order, step, 1)) and n_failed = 1) as unique_fails,
+                coalesce(sum(good) filter (first_failed = step), 0)::bigint as good_lost,
+                coalesce(sum(toxic) filter (first_failed = step), 0)::bigint as toxic_lost
+            from placed, range(1, 6) t(step)
+            group by part, filter_order, step
+        )
+        select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            sum(removed) over (partition by part, letter)::bigint as shapley
+        from steps
+    """,
 }
