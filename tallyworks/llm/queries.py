@@ -13,6 +13,7 @@ from tallyworks.llm import (
     decontaminate,
     filter_audit,
     fingerprints,
+    hard_negatives,
     jaccard,
     language,
     packing,
@@ -117,6 +118,14 @@ def op12_filter_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     return filter_audit.audit(stored(spark, data_dir, "documents"), stored(spark, data_dir, "labels"))
 
 
+def op13_hard_negatives(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth embedding; every seventh has its label moved on by one first."""
+    rows = stored(spark, data_dir, "embeddings")
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(rows.select("vec_id", moved.alias("label"), "embedding"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_wavelet_shards,
@@ -131,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_best_fit_packing,
         op11_superminhash,
         op12_filter_audit,
+        op13_hard_negatives,
     )
 }
 
@@ -219,4 +229,29 @@ ORACLES: dict[str, str] = {
             sum(removed) over (partition by part, letter)::bigint as shapley
         from steps
     """,
+    "op13_hard_negatives": """
+        with valid as (
+            select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+        ), scores as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+            from valid a join valid b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+        ), positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score
+            from scores
+            where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        ), negatives as (
+            select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+                row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::integer as rank
+            from positives join scores using (anchor_id)
+            where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        )
+        select anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+        from negatives
+        where rank <= 3
+    """,
 }

@@ -39,6 +39,18 @@ def lean(function: Callable, encodes: bool = False) -> Callable:
     return run
 
 
+def lean_pair(function: Callable) -> Callable:
+    """The same for a function over the two tables of a group."""
+
+    def run(left, right):
+        encoding.forget()
+        result = function(left, right)
+        release()
+        return result
+
+    return run
+
+
 def drained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     try:
         yield from batches
