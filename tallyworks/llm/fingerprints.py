@@ -126,7 +126,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     """
     bits = lexicon(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
-    first = with_fingerprint(texts.orderBy("doc_id", "text").limit(1), "text", bits, "fingerprint")
+    least = written(texts.agg(F.min(F.struct("doc_id", "text")).alias("_row")).select("_row.*"), "first-row")
+    first = with_fingerprint(least, "text", bits, "fingerprint")
     rows = with_next(with_fingerprint(texts, "text", bits, "fingerprint"), ["text", "fingerprint"], first)
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
