@@ -97,7 +97,8 @@ def prefix_steps(masks: DataFrame, letters: list[str]) -> DataFrame:
     """Every prefix of every order of the letters with every mask: prefix, step, letter, mask, and what that step does
     with a row of that mask, as 0 or 1: kept, removed, redundant (failing, removed before), unique_fails.
 
-    The recursion's size depends on the number of letters alone: at most 2^n masks for each prefix.
+    The recursion's size depends on the number of letters alone: at most 2^n masks for each prefix. So it stays in
+    one partition, and the letters and masks that each level joins are sent to it whole.
     """
     if len(letters) > MOST_FILTERS:
         raise ValueError(f"{len(letters)} filters; at most {MOST_FILTERS} can be audited in all orders")
@@ -108,7 +109,7 @@ def prefix_steps(masks: DataFrame, letters: list[str]) -> DataFrame:
         with recursive walk (prefix, step, letter, applied, mask, kept, removed, redundant, unique_fails) as (
             select '', 0, '', 0, cast(mask as int), 1, 0, 0, 0 from {masks}
             union all
-            select concat(walk.prefix, bits.letter), walk.step + 1, bits.letter, walk.applied | bits.bit, cells.mask,
+            select /*+ broadcast(bits, cells) */ concat(walk.prefix, bits.letter), walk.step + 1, bits.letter, walk.applied | bits.bit, cells.mask,
                 if(cells.mask & (walk.applied | bits.bit) = 0, 1, 0),
                 if(cells.mask & walk.applied = 0 and cells.mask & bits.bit != 0, 1, 0),
                 if(cells.mask & walk.applied != 0 and cells.mask & bits.bit != 0, 1, 0),
@@ -137,7 +138,8 @@ def audit(docs: DataFrame, labels: DataFrame, filters=text_filters) -> DataFrame
     """
     counted, letters = mask_cells(docs, labels, filters)
     cells = written(counted, "cells")
-    steps = written(prefix_steps(cells.select("mask").distinct(), letters), "prefix-steps")
+    masks = written(cells.select("mask").distinct().coalesce(1), "masks")  # at most 2^n
+    steps = written(prefix_steps(masks, letters), "prefix-steps")
     told = ["kept", "removed", "redundant", "unique_fails"]
     sums = [F.sum(F.col("n") * F.col(c)).alias(c) for c in told]
     sums += [F.sum(F.col(c) * F.col("removed")).alias(f"{c}_lost") for c in ("good", "toxic")]
