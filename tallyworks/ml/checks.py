@@ -6,6 +6,7 @@ Each check takes the model's own output, counts what is wrong with it, and finds
 from __future__ import annotations
 
 from functools import reduce
+from math import log
 from operator import add
 
 from pyspark.ml import Model
@@ -160,6 +161,63 @@ def misplaced(clustered: DataFrame, centres: list[list[float]]) -> int:
     return rows.where(F.coalesce(own > F.array_min("d") * (1 + CLOSE), F.lit(True))).count()
 
 
+def moved_centres(clustered: DataFrame, centres: list[list[float]], converged: bool) -> int:
+    """Centres that are not the means of their members.
+
+    A search that has come to rest moves centres by a thousandth of the rows' distance from them at most if it is run
+    on; one that was stopped before by a quarter.
+    """
+    rows = clustered.select(F.col("prediction").cast("int").alias("k"), vector_to_array("features").alias("v"))
+    own = F.get(F.array(*(F.array(*map(F.lit, map(float, c))) for c in centres)), F.col("k"))
+    gaps = F.zip_with("v", own, lambda a, b: a - b)
+    square = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
+    spread = rows.select("k", gaps.alias("g"), square.alias("q")).groupBy("k").agg(
+        F.sqrt(F.avg("q")).alias("radius"), *(F.avg(F.col("g")[i]).alias(f"g{i}") for i in range(len(centres[0])))
+    )
+    most, wrong = 1e-3 if converged else 0.25, 0
+    for row in spread.collect():  # one row a cluster
+        shift = sum(row[f"g{i}"] ** 2 for i in range(len(centres[0]))) ** 0.5
+        wrong += shift > most * max(row["radius"], CLOSE)
+    return wrong
+
+
+def costs_more_than_drawn(clustered: DataFrame, centres: list[list[float]], key: str) -> bool:
+    """The rows are not nearer to the centres, in squares, than to as many different rows that a hash of the key draws."""
+    drawn = clustered.groupBy(vector_to_array("features").alias("v")).agg(F.min(F.xxhash64(key)).alias("h"))
+    start = [list(r["v"]) for r in drawn.orderBy("h").limit(len(centres)).collect()]
+    values = vector_to_array("features")
+    nearest = lambda points: F.array_min(F.array(*(distance(values, p) for p in points)))
+    own, first = clustered.agg(F.sum(nearest(centres)), F.sum(nearest(start))).first()
+    return own > first * (1 + CLOSE)
+
+
+def wrong_first_step(train: DataFrame, label: str, weights: list[float], intercept: float, penalty: float, mix: float) -> int:
+    """Weights, or the intercept, that are not where the first step of a search for the least penalised log loss leads.
+
+    It starts at weights 0 and the logarithm of the odds of the label. With features scaled by their deviation, it goes
+    against the slope of the loss there, shortened by the pull of the penalty on absolute weights. Its factor is half
+    the inverse of the slope's length, or comes from that by trials: a tenth, or 2.1 times, of the one before.
+    """
+    rows = train.select("features", F.col(label).cast("double").alias("_y"))
+    share = rows.agg(F.avg("_y")).first()[0]
+    if not share or share == 1:
+        return sum(map(bool, weights))
+    slope, spread = slopes(rows, F.lit(share) - F.col("_y"), len(weights))
+    pull = penalty * mix
+    way = [g + pull if g < -pull else g - pull if g > pull else 0.0 for g in slope[:-1]]
+    scaled = [w * s for w, s in zip(weights, spread, strict=True)]
+    if not any(way):
+        return sum(map(bool, scaled))
+    factor = -sum(w * g for w, g in zip(scaled, way, strict=True)) / sum(g * g for g in way)
+    start = 0.5 / sum(g * g for g in slope[:-1]) ** 0.5
+    wrong = int(not any(close(factor / (start * 0.1**a * 2.1**b), 1.0, 1e-6) for a in range(8) for b in range(8)))
+    largest = max(map(abs, way))
+    wrong += sum(abs(w + factor * g) > 1e-6 * abs(factor) * largest for w, g in zip(scaled, way, strict=True))
+    means = rows.select(vector_to_array("features").alias("v")).agg(*(F.avg(F.col("v")[i]) for i in range(len(weights)))).first()
+    centred = intercept + sum(w * m for w, m in zip(weights, means, strict=True))
+    return wrong + int(not close(centred, log(share / (1 - share)), 1e-6))
+
+
 def silhouette_of(clustered: DataFrame) -> float:
     """Mean silhouette by squared distance, from the number, sum and square sum of each cluster."""
     rows = clustered.select(F.col("prediction").cast("int").alias("k"), vector_to_array("features").alias("v"))

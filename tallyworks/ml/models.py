@@ -21,11 +21,10 @@ from pyspark.ml.tuning import TrainValidationSplitModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.ml import checks
+from tallyworks.ml import checks, ranking, replay
 from tallyworks.ml.tuning import (
     FOREST_GRID,
     SEED,
-    TRAIN_RATIO,
     best_position,
     describe_setting,
     grid_of,
@@ -121,34 +120,48 @@ def ctr_predictions(train: DataFrame, test: DataFrame, family: str, inputs: list
 
 
 def ctr_check(train: DataFrame, test: DataFrame, family: str, inputs: list[str]) -> DataFrame:
-    """One family fitted: labelled rows, and predictions that are not what its trees say."""
-    model = ctr_model(train, family, inputs)
+    """One family fitted: labelled rows, predictions that are not what its trees say, and nodes of the trees that
+    are not what their training rows make of them."""
+    return ctr_faults(ctr_model(train, family, inputs), train, test, family)
+
+
+def ctr_faults(model: PipelineModel, train: DataFrame, test: DataFrame, family: str) -> DataFrame:
     learned, scored = model.transform(train), model.transform(test)
     rows = learned.unionByName(scored)
     count = F.count("prediction").alias("rows")
     if family == "dt":
         wrong = checks.wrong_leaf_means(learned, "ctr")
         return one_row(rows, count, wrong_leaves=wrong, unknown_values=checks.unknown_values(scored, learned))
-    return one_row(rows, count, wrong_sums=checks.wrong_sums(model.stages[-1], rows, mean=family == "rf"))
+    trees, vectors = model.stages[-1], learned.drop("prediction")
+    nodes = replay.forest_faults(trees, vectors, "ctr") if family == "rf" else replay.wrong_stages(trees, vectors, "ctr")
+    return one_row(rows, count, wrong_sums=checks.wrong_sums(trees, rows, mean=family == "rf"), wrong_nodes=nodes)
 
 
-def compare_regressors(train: DataFrame, test: DataFrame, inputs: list[str]) -> list[tuple[str, float, float]]:
-    """Test error of each family by the evaluator and by plain sums; the vectors are assembled once for all."""
+def compare_regressors(train: DataFrame, test: DataFrame, inputs: list[str]) -> list[tuple[str, float, float, int]]:
+    """Test error of each family by the evaluator and by plain sums, and what is wrong with its fit; the vectors are
+    assembled once for all."""
     features = assembler(inputs)
     train_vectors = placed(features.transform(placed(train)).select("ad_id", "features", "ctr"), "ad_id").persist()
     test_vectors = features.transform(test).select("features", "ctr").persist()
     rows = []
     for name, estimator in regressors().items():
-        scored = estimator.fit(train_vectors).transform(test_vectors)
-        rows.append((name, float(rmse().evaluate(scored)), float(checks.rmse_of(scored, "ctr"))))
+        model = estimator.fit(train_vectors)
+        scored, faults = model.transform(test_vectors), ranking.fit_faults(model, train_vectors.select("features", "ctr"), "ctr")
+        rows.append((name, float(rmse().evaluate(scored)), float(checks.rmse_of(scored, "ctr")), faults))
     train_vectors.unpersist()
     test_vectors.unpersist()
     return rows
 
 
 def compare_check(train: DataFrame, test: DataFrame, inputs: list[str]) -> DataFrame:
-    compared = compare_regressors(train, test, inputs)
-    entries = [F.struct(F.lit(m).alias("model"), F.lit(not checks.close(a, b)).alias("wrong_rmse")) for m, a, b in compared]
+    entries = [
+        F.struct(
+            F.lit(name).alias("model"),
+            F.lit(not checks.close(told, summed)).alias("wrong_rmse"),
+            F.lit(faults).cast("bigint").alias("wrong_fit"),
+        )
+        for name, told, summed, faults in compare_regressors(train, test, inputs)
+    ]
     rows = train.unionByName(test).agg(F.count(F.lit(1)).alias("rows"))
     return rows.select("rows", F.inline(F.array(*entries)))
 
@@ -236,14 +249,18 @@ def survival_accuracy(passenger_rows: DataFrame, name: str) -> DataFrame:
 
 def survival_check(passenger_rows: DataFrame, name: str) -> DataFrame:
     """One classifier fitted: test rows, whether the evaluator's accuracy is that of its predictions, and what is
-    wrong with the model: slopes of the loss, leaves, votes of the trees, or signs of their sum."""
-    fitted, train, test, inputs = survival_model(passenger_rows, name)
+    wrong with the model: slopes of the loss, leaves, votes of the trees or signs of their sum, and their nodes."""
+    return survival_faults(*survival_model(passenger_rows, name), name)
+
+
+def survival_faults(fitted: PipelineModel, train: DataFrame, test: DataFrame, inputs: list[str], name: str) -> DataFrame:
     model, learned, scored = fitted.stages[-1], fitted.transform(train), fitted.transform(test)
+    vectors = learned.select("features", "Survived")
     wrong = {
         "logistic": lambda: checks.wrong_logistic(learned, "Survived", len(inputs)),
         "tree": lambda: checks.wrong_leaf_shares(learned, "Survived", 2),
-        "forest": lambda: checks.wrong_votes(model, scored),
-        "boosted": lambda: checks.wrong_signs(model, scored),
+        "forest": lambda: checks.wrong_votes(model, scored) + replay.forest_faults(model, vectors, "Survived", 2),
+        "boosted": lambda: checks.wrong_signs(model, scored) + replay.wrong_stages(model, vectors, "Survived", True),
     }[name]()
     told = accuracy("Survived").evaluate(scored.withColumn("Survived", F.col("Survived").cast("double")))
     return one_row(
@@ -289,7 +306,8 @@ def port_check(passenger_rows: DataFrame) -> DataFrame:
     models, train, test = port_models(passenger_rows)
     wrong = {
         "tree": checks.wrong_leaf_shares(models["tree"].transform(train), "type", 3),
-        "forest": checks.wrong_votes(models["forest"], models["forest"].transform(test)),
+        "forest": checks.wrong_votes(models["forest"], models["forest"].transform(test))
+        + replay.forest_faults(models["forest"], train, "type", 3),
     }
     reports = []
     for name, model in models.items():
@@ -333,8 +351,7 @@ def search_faults(model: TrainValidationSplitModel, train: DataFrame, keys: list
     better = any(m > metrics[position] if larger else m < metrics[position] for m in metrics)
     faults = {"wrong_choice": better}
     if model.subModels:
-        drawn = placed(train, *keys).withColumn("_draw", F.rand(SEED)).where(F.col("_draw") >= TRAIN_RATIO)
-        scored = model.subModels[position].transform(drawn)
+        scored = model.subModels[position].transform(ranking.validation_rows(train, *keys))
         faults["wrong_metric"] = not checks.close(metric(scored), metrics[position], 1e-6)
     return faults
 
@@ -359,11 +376,22 @@ def cluster_assignment(embeddings: DataFrame) -> DataFrame:
 
 
 def cluster_check(embeddings: DataFrame) -> DataFrame:
-    """Rows, clusters that have some, and rows that are not at their nearest centre."""
+    """Rows, clusters that have some, rows that are not at their nearest centre, centres that are not the means of
+    their rows, and whether the cost is not below that of the start from as many rows drawn by hash."""
     model, clustered = cluster_model(embeddings)
     centres = [list(c) for c in model.clusterCenters()]
+    return cluster_faults(clustered, centres, model.summary.numIter < model.getMaxIter())
+
+
+def cluster_faults(clustered: DataFrame, centres: list[list[float]], converged: bool) -> DataFrame:
     counts = (F.count(F.lit(1)).alias("rows"), F.count_distinct("prediction").alias("clusters"))
-    return one_row(clustered, *counts, misplaced=checks.misplaced(clustered, centres))
+    return one_row(
+        clustered,
+        *counts,
+        misplaced=checks.misplaced(clustered, centres),
+        moved_centres=checks.moved_centres(clustered, centres, converged),
+        costly=checks.costs_more_than_drawn(clustered, centres, "vec_id"),
+    )
 
 
 def silhouette(clustered: DataFrame) -> float:
@@ -376,24 +404,31 @@ def silhouette_check(embeddings: DataFrame) -> DataFrame:
     return one_row(clustered, F.count(F.lit(1)).alias("rows"), wrong_silhouette=off)
 
 
-def embedding_model(embeddings: DataFrame, kinds: tuple[int, ...]) -> tuple[Model, DataFrame]:
-    """Two classes of stored feature vectors, one weak logistic step on 70 %; the model and the other 30 %."""
+# The penalty of the weak step, and the part of it that is on absolute weights.
+WEAK_STEP = (0.05, 0.3)
+
+
+def embedding_model(embeddings: DataFrame, kinds: tuple[int, ...]) -> tuple[Model, DataFrame, DataFrame]:
+    """Two classes of stored feature vectors, one weak logistic step on 70 %; the model, these and the other 30 %."""
     rows = written(labelled_union(embeddings, kinds).withColumnRenamed("kind", "label"), "pair")
     parts = hash_split(rows, "vec_id", 70)
     train, test = (parts.where(F.col("part") == name).drop("part") for name in ("train", "test"))
-    # The parameters of the weak step.
-    estimator = LogisticRegression(maxIter=1, regParam=0.05, elasticNetParam=0.3)
-    return estimator.fit(placed(train, "vec_id").transform(embedding_vectors)), embedding_vectors(test)
+    penalty, mix = WEAK_STEP
+    estimator = LogisticRegression(maxIter=1, regParam=penalty, elasticNetParam=mix)
+    learned = placed(train, "vec_id").transform(embedding_vectors)
+    return estimator.fit(learned), learned, embedding_vectors(test)
 
 
 def embedding_classifier(embeddings: DataFrame, kinds: tuple[int, ...] = (0, 1)) -> DataFrame:
-    model, test = embedding_model(embeddings, kinds)
+    model, _, test = embedding_model(embeddings, kinds)
     return scored_row("logistic", "label", model.transform(test))
 
 
 def embedding_check(embeddings: DataFrame, kinds: tuple[int, ...] = (0, 1)) -> DataFrame:
-    """Test rows, and those whose probability or prediction is not what the weights say."""
-    model, test = embedding_model(embeddings, kinds)
-    scored = model.transform(test)
-    wrong = checks.wrong_logits(scored, list(model.coefficients), model.intercept)
-    return one_row(scored, F.count(F.lit(1)).alias("test_rows"), wrong_predictions=wrong)
+    """Test rows, those whose probability or prediction is not what the weights say, and weights that are not where
+    one step of the optimiser leads from the start."""
+    model, train, test = embedding_model(embeddings, kinds)
+    scored, weights = model.transform(test), list(model.coefficients)
+    wrong = checks.wrong_logits(scored, weights, model.intercept)
+    steps = checks.wrong_first_step(train, "label", weights, model.intercept, *WEAK_STEP)
+    return one_row(scored, F.count(F.lit(1)).alias("test_rows"), wrong_predictions=wrong, wrong_step=steps)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.tuning import TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,15 +59,29 @@ def fit_ctr_model(
     replace: bool = False,
 ) -> DataFrame:
     """The training job: read, tune all families, store the winner, report both errors."""
+    return searched_ctr_model(spark, train_path, test_path, model_path, settings, parallelism, replace)[1]
+
+
+def searched_ctr_model(
+    spark: SparkSession,
+    train_path: str,
+    test_path: str,
+    model_path: str,
+    settings: dict[str, dict] | None = None,
+    parallelism: int = PARALLEL_FITS,
+    replace: bool = False,
+    keep_models: bool = False,
+) -> tuple[TrainValidationSplitModel, DataFrame]:
+    """The training job's search, with the models of all settings if they are to be kept, and its report."""
     train = labelled(spark.read.parquet(train_path))
     test = labelled(spark.read.parquet(test_path))
-    model = tune_jointly(train, settings, parallelism)
+    model = tune_jointly(train, settings, parallelism, keep_models)
     position = best_position(model)
     family, params = describe_setting(model.getEstimatorParamMaps()[position])
     save(model.bestModel, model_path, replace)
     test_error = rmse().evaluate(model.bestModel.transform(test))
     row = [(family, params, float(model.validationMetrics[position]), float(test_error))]
-    return spark.createDataFrame(row, RESULT_SCHEMA)
+    return model, spark.createDataFrame(row, RESULT_SCHEMA)
 
 
 def fit_best_family(
@@ -77,12 +92,18 @@ def fit_best_family(
     settings: dict[str, dict] | None = None,
     parallelism: int = PARALLEL_FITS,
     replace: bool = False,
+    families_path: str | None = None,
+    by: str = "test",
 ) -> list[FamilyResult]:
-    """The training job that tunes each family on its own; the best one is stored."""
+    """The training job that tunes each family on its own by validation error. The family with the least test error is
+    stored (`by` "validation": the least validation error), the best model of each below `families_path` too."""
     train = labelled(spark.read.parquet(train_path))
     test = labelled(spark.read.parquet(test_path))
     features = assembler(middle_columns(train))
     results = tune_families(train, test, features, settings or FAMILY_GRID, parallelism=parallelism)
+    results.sort(key=lambda r: getattr(r, f"{by}_rmse"))
+    for result in results if families_path else ():
+        save(result.model, f"{families_path}/{result.family}", replace)
     save(results[0].model, model_path, replace)
     return results
 

@@ -182,7 +182,7 @@ def tune_families(
     label: str = "ctr",
     parallelism: int = PARALLEL_FITS,
 ) -> list[FamilyResult]:
-    """Tune each family on its own; families are ranked by validation error, the test set only reports."""
+    """Tune each family on its own; families come in the order of their validation errors."""
     families, evaluator, results = regressors(label), rmse(label), []
     for name, chosen in settings.items():
         estimator = families[name]

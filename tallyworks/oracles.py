@@ -129,9 +129,18 @@ PASSENGER_COLUMNS = {
 
 LABELLED = "select count(ctr) as n from features"
 HELD_OUT = "select count(*) as n from passengers where (PassengerId % 100 * 7919) % 100 >= 80"
-BOOSTED_GRID = """
-    select 'GBTRegressor' as family, format('maxBins={}, maxDepth={}, maxIter={}', bins, depth, iterations) as params
-    from (values (32), (33)) as b(bins), (values (5), (6), (7)) as d(depth), (values (4), (5), (6), (7)) as i(iterations)"""
+JOINT_GRID = """
+    select 'LinearRegression' as family, 'elasticNetParam=0.8, maxIter=40, regParam=0.4' as params
+    union all
+    select 'GBTRegressor', format('maxBins={}, maxDepth={}, maxIter={}', bins, depth, iterations)
+    from (values (32), (33)) as b(bins), (values (5), (6), (7)) as d(depth), (values (4), (5), (6), (7)) as i(iterations)
+    union all
+    select 'RandomForestRegressor', format('featureSubsetStrategy={}, maxDepth={}, numTrees={}', subset, depth, trees)
+    from (values ('onethird'), ('0.5'), ('sqrt')) as f(subset), (values (2), (3), (4), (5)) as d(depth),
+         (values (19), (20), (21)) as t(trees)
+    union all
+    select 'DecisionTreeRegressor', format('maxBins={}, maxDepth={}, minInfoGain={}', bins, depth, gain)
+    from (values (28), (32), (33)) as b(bins), (values (4), (5), (6)) as d(depth), (values ('0.0'), ('0.1'), ('0.2')) as g(gain)"""
 
 SPIKE = "date '2024-01-05'"
 
@@ -705,12 +714,12 @@ MODELS = {
     "linreg_summary": """
         select count(*) as rows, count(*) as summarised, false as wrong_rmse, false as wrong_r2 from lineitem""",
     "dt_reg": on("features", f"select n as rows, 0::bigint as wrong_leaves, 0::bigint as unknown_values from ({LABELLED})"),
-    "rf_reg": on("features", f"select n as rows, 0::bigint as wrong_sums from ({LABELLED})"),
-    "gbt_reg": on("features", f"select n as rows, 0::bigint as wrong_sums from ({LABELLED})"),
+    "rf_reg": on("features", f"select n as rows, 0::bigint as wrong_sums, 0::bigint as wrong_nodes from ({LABELLED})"),
+    "gbt_reg": on("features", f"select n as rows, 0::bigint as wrong_sums, 0::bigint as wrong_nodes from ({LABELLED})"),
     "compare_regressors": on(
         "features",
         f"""
-        select n as rows, model, false as wrong_rmse
+        select n as rows, model, false as wrong_rmse, 0::bigint as wrong_fit
         from ({LABELLED}), (values ('lr'), ('gbt'), ('rf'), ('dt')) as t(model)""",
     ),
     **{
@@ -728,7 +737,9 @@ MODELS = {
             "port_classifiers": ["tree", "forest"],
         }.items()
     },
-    "kmeans_assign": "select count(*) as rows, 3::bigint as clusters, 0::bigint as misplaced from embeddings",
+    "kmeans_assign": """
+        select count(*) as rows, 3::bigint as clusters, 0::bigint as misplaced, 0::bigint as moved_centres, false as costly
+        from embeddings""",
     "kmeans_silhouette": "select count(*) as rows, false as wrong_silhouette from embeddings",
     "tvs_best": on(
         "passengers",
@@ -741,12 +752,17 @@ MODELS = {
         f"""
         select n as rows, 88::bigint as settings, false as wrong_choice, false as wrong_metric from ({LABELLED})""",
     ),
-    "tuning_report": f"select family, params, false as out_of_order from ({BOOSTED_GRID})",
+    "tuning_report": f"select family, params, false as wrong_metric, false as wrong_rank from ({JOINT_GRID})",
     "best_family": on(
         "features",
-        f"select n as rows, family, false as wrong_rmse from ({LABELLED}), (values ('dt'), ('rf'), ('gbt')) as t(family)",
+        f"""
+        select n as rows, family, false as wrong_rmse, 0::bigint as wrong_fit, false as wrong_winner
+        from ({LABELLED}), (values ('dt'), ('rf'), ('gbt')) as t(family)""",
+    ),
+    "ctr_train_job": on(
+        "features",
+        f"select n as rows, false as wrong_rmse, 0::bigint as wrong_fit, false as wrong_winner from ({LABELLED})",
     ),
-    "ctr_train_job": on("features", f"select n as rows, false as wrong_rmse from ({LABELLED})"),
     "score_ads": on(
         "features", "select count(*) as rows, 0::bigint as missing, 0::bigint as differences from features"
     ),
@@ -754,7 +770,7 @@ MODELS = {
         "passengers", f"select n as rows, n as scored, false as wrong_error, false as poor from ({HELD_OUT})"
     ),
     "embedding_classifier": """
-        select count(*) as test_rows, 0::bigint as wrong_predictions from embeddings
+        select count(*) as test_rows, 0::bigint as wrong_predictions, 0::bigint as wrong_step from embeddings
         where label in (0, 1) and (vec_id % 100 * 7919) % 100 >= 70""",
     "model_roundtrip": "select count(*) as rows, cast(0 as bigint) as differences from orders",
 }

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.ml import checks, models, scoring, tuning, vectors
+from tallyworks.ml import checks, models, ranking, scoring, tuning, vectors
 from tallyworks.operators import splits
 from tallyworks.operators.words import word_count
 from tallyworks.plans import ad_features, ads, arithmetic, passengers, staff, taxi
@@ -105,51 +105,85 @@ def ctr_search_check(settings: dict[str, dict] | None = None) -> Query:
     return run
 
 
-def boosted_report(spark: SparkSession, data_dir: str) -> DataFrame:
-    """All settings of the boosted trees, and whether each stands behind all with a smaller validation error."""
-    train, _ = ctr_parts(spark, data_dir)
-    search = scoring.tune_jointly(train, {"gbt": tuning.JOINT_GRID["gbt"]})
-    report = tuning.tuning_report(spark, search).orderBy("validation_metric", "params").collect()
-    rows, least = [], 0.0
-    for row in report:
-        rows.append((row.family, row.params, row.validation_metric < least))
-        least = row.validation_metric
-    return spark.createDataFrame(rows, "family string, params string, out_of_order boolean")
+def search_report(settings: dict[str, dict] | None = None) -> Query:
+    """Every setting of the joint search, whether its metric is not that of its sub-model, and whether its rank, over
+    all or in its family, is wrong."""
+
+    def run(spark: SparkSession, data_dir: str) -> DataFrame:
+        train, _ = ctr_parts(spark, data_dir)
+        search = scoring.tune_jointly(train, settings, keep_models=True)
+        return ranking.report_faults(ranking.search_report(search, train, "ctr"))
+
+    return run
 
 
 def best_family(settings: dict[str, dict] | None = None) -> Query:
-    """Each family tuned on its own over the full grid: its labelled test rows, and whether the reported test error
-    is not that of its model."""
+    """Each family tuned on its own over the full grid: its labelled test rows, whether the reported test error is not
+    that of its stored model, whether that model is not fitted as it says, and whether the stored winner is not the
+    family with the least test error."""
 
     def run(spark: SparkSession, data_dir: str) -> DataFrame:
-        paths = ctr_files(spark, data_dir)
-        results = scoring.fit_best_family(spark, paths["train"], paths["test"], new_folder(spark, "best-family"), settings)
+        paths, folder, winner = ctr_files(spark, data_dir), new_folder(spark, "families"), new_folder(spark, "best-family")
+        results = scoring.fit_best_family(spark, paths["train"], paths["test"], winner, settings, families_path=folder)
         train, test = (vectors.labelled(spark.read.parquet(paths[name])) for name in ("train", "test"))
-        entries = []
-        for r in results:
-            off = not checks.close(r.test_rmse, checks.rmse_of(r.model.transform(test), "ctr"))
-            entries.append(F.struct(F.lit(r.family).alias("family"), F.lit(off).alias("wrong_rmse")))
-        counted = train.unionByName(test).agg(F.count(F.lit(1)).alias("rows"))
-        return counted.select("rows", F.inline(F.array(*entries)))
+        return family_faults(results, folder, winner, train, test)
 
     return run
 
 
+def family_faults(results: list, folder: str, winner: str, train: DataFrame, test: DataFrame) -> DataFrame:
+    stored = [PipelineModel.load(f"{folder}/{r.family}") for r in results]
+    swapped = ranking.wrong_winner(PipelineModel.load(winner), stored, test, "ctr")
+    entries = [
+        F.struct(
+            F.lit(r.family).alias("family"),
+            F.lit(not checks.close(r.test_rmse, error)).alias("wrong_rmse"),
+            F.lit(ranking.pipeline_faults(model, train, "ctr")).cast("bigint").alias("wrong_fit"),
+            F.lit(swapped).alias("wrong_winner"),
+        )
+        for r, model, error in zip(results, stored, ranking.errors_together(stored, test, "ctr"), strict=True)
+    ]
+    counted = train.unionByName(test).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select("rows", F.inline(F.array(*entries)))
+
+
 def ctr_train_job(settings: dict[str, dict] | None = None) -> Query:
-    """The training job over the full grid: labelled rows, and whether the reported test error is not that of the
-    stored model."""
+    """The training job over the full grid: labelled rows, whether the reported test error is not that of the stored
+    model, what is wrong with its fit, and whether another setting's sub-model has a smaller validation error."""
 
     def run(spark: SparkSession, data_dir: str) -> DataFrame:
         paths, model_path = ctr_files(spark, data_dir), new_folder(spark, "ctr-model")
-        report = scoring.fit_ctr_model(spark, paths["train"], paths["test"], model_path, settings).first()
+        search, report = scoring.searched_ctr_model(
+            spark, paths["train"], paths["test"], model_path, settings, keep_models=True
+        )
         train, test = (vectors.labelled(spark.read.parquet(paths[name])) for name in ("train", "test"))
-        found = checks.rmse_of(PipelineModel.load(model_path).transform(test), "ctr")
-        rows = train.unionByName(test)
-        return models.one_row(rows, F.count(F.lit(1)).alias("rows"), wrong_rmse=not checks.close(report.test_rmse, found))
+        return job_faults(search, report, model_path, train, test)
 
     return run
 
 
+def job_faults(search, report: DataFrame, model_path: str, train: DataFrame, test: DataFrame) -> DataFrame:
+    told, stored = report.first(), PipelineModel.load(model_path)
+    settings = ranking.search_report(search, train, "ctr")
+    least = settings.agg(F.min("recomputed")).first()[0]
+    same = settings.where((F.col("family") == told.family) & (F.col("params") == told.params)).first()
+    rows = train.unionByName(test)
+    return models.one_row(
+        rows,
+        F.count(F.lit(1)).alias("rows"),
+        wrong_rmse=not checks.close(told.test_rmse, checks.rmse_of(stored.transform(test), "ctr")),
+        wrong_fit=ranking.pipeline_faults(stored, train, "ctr"),
+        wrong_winner=same is None or not checks.close(same.recomputed, least, 1e-6) or not is_setting(stored, told.params),
+    )
+
+
+def is_setting(model: PipelineModel, params: str) -> bool:
+    """The last stage has the parameters, given as "name=value, ..."."""
+    last = model.stages[-1]
+    pairs = [p.split("=") for p in params.split(", ")]
+    return all(str(last.getOrDefault(name)) == value for name, value in pairs)
+
+
 def score_check(features: DataFrame) -> DataFrame:
     """The scoring job: rows, predictions that are missing, and those that the model in memory does not make."""
     stored, expected = scoring.scored_ads(features)
@@ -340,7 +374,7 @@ MODELS: dict[str, Query] = {
     "accuracy_metric": over(models.accuracy_of_class_rule, tables.passengers),
     "tvs_best": over(models.port_search_check, tables.passengers),
     "tune_all_families": ctr_search_check(),
-    "tuning_report": boosted_report,
+    "tuning_report": search_report(),
     "best_family": best_family(),
     "ctr_train_job": ctr_train_job(),
     "model_roundtrip": over(scoring.model_round_trip, tables.passengers),

@@ -176,7 +176,7 @@ def test_broken_clusters_are_seen(spark, sf_dir):
 
 
 def test_broken_logits_are_seen(spark, sf_dir):
-    model, test = models.embedding_model(tables.stored(spark, "/root/testdata/sf0.01", "embeddings"), (0, 1))
+    model, _, test = models.embedding_model(tables.stored(spark, "/root/testdata/sf0.01", "embeddings"), (0, 1))
     scored, weights = model.transform(test), list(model.coefficients)
     assert checks.wrong_logits(scored, weights, model.intercept) == 0
     assert checks.wrong_logits(scored, weights, model.intercept + 0.1) == scored.count()
