@@ -27,6 +27,7 @@ from tallyworks.ml.vectors import assembler, labelled, middle_columns
 from tallyworks.operators.splits import hash_split
 from tallyworks.plans import passengers
 from tallyworks.sources.files import write_csv
+from tallyworks.sources.switching import switched
 from tallyworks.sources.workspace import new_folder, placed, written
 
 RESULT_SCHEMA = "family string, params string, validation_rmse double, test_rmse double"
@@ -45,8 +46,10 @@ def tune_jointly(
 
 
 def save(model: PipelineModel, path: str, replace: bool) -> None:
-    """Store the model; an existing path is an error unless it is to be replaced."""
-    (model.write().overwrite() if replace else model.write()).save(path)
+    """Store the model; an existing path is an error unless it is to be replaced, and holds the old model until the
+    new one is complete."""
+    with switched(SparkSession.active(), path, replace) as place:
+        model.save(place)
 
 
 def fit_ctr_model(

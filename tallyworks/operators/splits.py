@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.sources.switching import switched
+
 
 def seeded_parts(stored: DataFrame, shares: dict[str, float], seed: int) -> dict[str, DataFrame]:
     """Random parts of a frame read from files.
@@ -38,10 +40,12 @@ def content_parts(df: DataFrame, shares: dict[str, float], seed: int, keys: list
 def write_split(df: DataFrame, target: str, shares: dict[str, float], seed: int, key: str, replace: bool = False) -> dict[str, str]:
     """Write the parts as Parquet to `target/part=<name>` in one pass over the frame, without a copy of it.
 
-    Rows with the same key are in the same part. An existing target is an error unless it is to be replaced.
+    Rows with the same key are in the same part. An existing target is an error unless it is to be
+    replaced, and stays as it is until the new files are complete.
     """
     parted = df.withColumn("part", part_of([key], shares, seed))
-    parted.write.mode("overwrite" if replace else "errorifexists").partitionBy("part").parquet(target)
+    with switched(df.sparkSession, target, replace) as place:
+        parted.write.partitionBy("part").parquet(place)
     return {name: f"{target.rstrip('/')}/part={name}" for name in shares}
 
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyworks.sources.switching import switched
 from tallyworks.sources.workspace import new_folder
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, one_file: bool = False, replace: bool = False) -> None:
     """One file per partition; `one_file` is for results known to be small, it runs in one task. An existing
-    path is an error unless it is to be replaced."""
-    writer = (df.coalesce(1) if one_file else df).write.mode("overwrite" if replace else "errorifexists")
-    writer.option("header", header).csv(path)
+    path is an error unless it is to be replaced, and stays as it is until the new files are complete."""
+    rows = df.coalesce(1) if one_file else df
+    with switched(df.sparkSession, path, replace) as place:
+        rows.write.option("header", header).csv(place)
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
