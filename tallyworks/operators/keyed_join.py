@@ -9,6 +9,13 @@ from tallyworks.sources.workspace import written
 
 FINENESS = 8  # slots of an n-th of the rows come in this many parts
 
+SMALL_ROWS = 1_000_000  # rows of a few short values that may be broadcast
+
+
+def small_table(stored: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
+    """A stored table marked for broadcast if it has at most `limit` rows, else left to a shuffled join."""
+    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
+
 
 def join_per_key(
     rows: DataFrame,

@@ -430,6 +430,21 @@ ADS = {
               from ads_data)
         where position = 1 and event = 'click'""",
     ),
+    "daily_ads_sketches": on(
+        "ads_data", "select date, count(distinct ad_id) as ads, false as outside_bound from ads_data group by date"
+    ),
+    "merged_ads_sketches": on(
+        "ads_data",
+        "select count(distinct ad_id) as ads, false as outside_bound, false as other_than_whole from ads_data",
+    ),
+    "trailing_ads_sketches": on(
+        "ads_data",
+        """
+        select day, count(distinct ad_id) as ads, false as outside_bound
+        from (select distinct date as day from ads_data)
+        join ads_data on date between day - interval 6 day and day
+        group by day""",
+    ),
     "late_click_count": on(
         "ads_data",
         """
@@ -498,6 +513,7 @@ ADS = {
     ),
 }
 SOURCES["csv_one_file"] = ADS["platform_view_share"]
+ADS["ad_features_bucketed"] = ADS["ad_features_event_grain"]
 
 TAXI = {
     "miles_total_corr": on("trips", "select round(corr(trip_miles, trip_total), 5) as corr from trips"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.columns import flag
 from tallyworks.operators.keyed_join import join_per_key
+from tallyworks.operators.layout import write_layout
 from tallyworks.operators.splits import write_split
 from tallyworks.plans.ads import clicks, is_view, views
 from tallyworks.sources.workspace import new_folder
@@ -75,6 +76,20 @@ def event_features(ads: DataFrame) -> DataFrame:
     return _onto_events(ads, with_ctr(per_ad)).select(*FEATURE_COLUMNS)
 
 
+def bucketed_event_features(ads: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The same rows over a layout of the events by ad: neither the statistics nor the join shuffle events."""
+    keep = ads.select("*", _row_id(ads).alias("row_id")) if "event_id" not in ads.columns else ads
+    columns = [c for c in keep.columns if c in {*AD_COLUMNS, "ad_cost_type", "event", "date", "row_id", "event_id"}]
+    row = "event_id" if "event_id" in keep.columns else "row_id"
+    layout = write_layout(keep.select(*columns), "ad_id", lambda: F.col(row), buckets)
+    days = F.collect_set(F.when(is_view(), F.col("date"))).alias("days")
+    per_ad = layout.statistics(
+        [views(), clicks(), days],
+        [F.sum("views").alias("views"), F.sum("clicks").alias("clicks"), F.size(F.array_distinct(F.flatten(F.collect_list("days")))).cast("long").alias("day_count")],
+    )
+    return with_cost_flags(layout.join_back(with_ctr(per_ad))).select(*FEATURE_COLUMNS)
+
+
 def event_features_two_tables(ads: DataFrame) -> DataFrame:
     """One row per event: view days and click rates as from two tables, so that an ad that was never
     viewed has no day count at all instead of 0.

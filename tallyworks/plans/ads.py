@@ -22,8 +22,9 @@ from tallyworks.functions.columns import (
     ratio,
     sum_where,
 )
-from tallyworks.operators.keyed_join import join_per_key
+from tallyworks.operators.keyed_join import join_per_key, small_table
 from tallyworks.operators.quantile import exact_quantile, mean_of, rank_discrete, value_counts
+from tallyworks.sources.workspace import written
 
 SPIKE_DAY = datetime.date(2024, 1, 5)
 APPROXIMATE_DEVIATION = 0.05  # relative standard deviation of approximate distinct counts
@@ -277,39 +278,48 @@ def max_platforms_per_ad(ads: DataFrame) -> DataFrame:
     return per_ad.agg(F.max("platforms").alias("max_platforms"))
 
 
-def _mask(platforms: list[str]) -> Column:
-    """Aggregate: a bit for each of the platforms with a view."""
-    bit = F.lit(0).cast("long")
-    for place, name in enumerate(platforms):
-        bit = F.when(F.col("platform") == name, F.lit(1 << place).cast("long")).otherwise(bit)
-    return F.bit_or(F.when(is_view(), bit).otherwise(F.lit(0).cast("long")))
+WORD = 62  # platforms whose bits share a number
+
+
+def platform_numbers(ads: DataFrame) -> DataFrame:
+    """platform and number, from 0 in the order of the names, of every platform with a view."""
+    names = ads.where(is_view() & F.col("platform").isNotNull()).select("platform").distinct()
+    return names.select("platform", (F.row_number().over(Window.orderBy("platform")) - 1).alias("number"))
+
+
+def platform_bits(ads: DataFrame, numbers: DataFrame) -> DataFrame:
+    """ad_id and words: for every ad the sorted (word, bits) of the platforms that it was viewed on, none without views.
+
+    Bits are combined as plain numbers by hash, in the tasks first, so an ad or platform with most of the events sends
+    one row a task.
+    """
+    shown = is_view() & F.col("number").isNotNull()
+    word = F.when(shown, F.floor(F.col("number") / WORD)).otherwise(0).cast("int")
+    bit = F.when(shown, F.expr(f"shiftleft(1L, cast(number % {WORD} as int))")).otherwise(F.lit(0).cast("long"))
+    numbered = ads.select("ad_id", "platform", "event").join(small_table(numbers), "platform", "left")
+    parts = numbered.groupBy("ad_id", word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    some = F.when(F.col("bits") != 0, F.struct("word", "bits"))
+    return parts.groupBy("ad_id").agg(F.array_sort(F.collect_list(some)).alias("words"))
 
 
 def platform_sets(ads: DataFrame) -> DataFrame:
-    """Share of all ads per combination of platforms they were viewed on.
+    """Share of all ads per combination of platforms they were viewed on, for any number of platforms.
 
-    Each platform has a bit, 62 of them a number, and an ad the combined bits of its views, which a hash
-    aggregate holds as plain numbers. Bits become names again in the few result rows. Ads without views
-    stay in with no bit until the total is known.
+    Platforms are numbered in a table of their own; numbers become names again in the result rows only.
     """
-    shown = ads.where(is_view() & F.col("platform").isNotNull())
-    names = [row[0] for row in shown.select("platform").distinct().orderBy("platform").collect()]
-    groups = [names[i : i + 62] for i in range(0, len(names), 62)]
-    masks = {f"_mask{i}": _mask(group) for i, group in enumerate(groups)}
-    per_ad = ads.groupBy("ad_id").agg(F.lit(0).alias("_none"), *(mask.alias(c) for c, mask in masks.items()))
-    sets = per_ad.groupBy("_none", *masks).agg(F.count(F.lit(1)).alias("ads"))
-    sets = sets.withColumn("sum_ads", F.sum("ads").over(Window.partitionBy()))
-    named = [
-        F.when(F.getbit(c, F.lit(bit)) == 1, name)
-        for c, group in zip(masks, groups, strict=True)
-        for bit, name in enumerate(group)
-    ]
-    found = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
-    shares = sets.withColumn("platforms", found).where(F.size("platforms") > 0).select(
-        F.array_join("platforms", ",").alias("platforms"),
+    numbers = written(platform_numbers(ads), "platforms")
+    sets = platform_bits(ads, numbers).groupBy("words").agg(F.count(F.lit(1)).alias("ads"))
+    sets = written(sets, "platform-sets")
+    total = sets.agg(F.sum("ads").alias("n"))
+    places = F.expr(f"transform(filter(sequence(0, {WORD - 1}), b -> getbit(w.bits, b) = 1), b -> w.word * {WORD} + b)")
+    ones = sets.select("words", F.explode("words").alias("w")).select("words", F.explode(places).alias("number"))
+    ordered = F.array_sort(F.collect_list(F.struct("number", "platform")))["platform"]
+    named = ones.join(small_table(numbers), "number").groupBy("words").agg(F.array_join(ordered, ",").alias("platforms"))
+    shares = sets.join(named, "words").select(
+        "platforms",
         "ads",
-        "sum_ads",
-        (F.col("ads").cast("double") / F.col("sum_ads") * 100).alias("perc_ads"),
+        total.scalar().alias("sum_ads"),
+        (F.col("ads").cast("double") / total.scalar() * 100).alias("perc_ads"),
     )
     return shares.orderBy(F.desc("perc_ads"), "platforms")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyworks.ml import checks, models, ranking, scoring, tuning, vectors
 from tallyworks.operators import splits
 from tallyworks.operators.words import word_count
-from tallyworks.plans import ad_features, ads, arithmetic, passengers, staff, taxi
+from tallyworks.plans import ad_features, ads, arithmetic, passengers, sketches, staff, taxi
 from tallyworks.sources import files, integers, tables
 from tallyworks.sources.workspace import new_folder, written
 
@@ -291,6 +291,9 @@ ADS: dict[str, Query] = {
     "orphan_click_platforms_all": over(ads.orphan_platforms_all, tables.ads_data),
     "click_first_ads": over(ads.click_first_ads, tables.ads_data),
     "approx_click_first": over(ads.click_first_ads_check, tables.ads_data),
+    "daily_ads_sketches": over(sketches.daily_ads, tables.ads_data),
+    "merged_ads_sketches": over(sketches.merged_days, tables.ads_data),
+    "trailing_ads_sketches": over(sketches.trailing_ads, tables.ads_data),
     "late_click_count": over(ads.late_changes, tables.ads_data),
     "clients_without_ads": over(ads.clients_without_ads, tables.ads_clients_data, tables.ads_data),
     "never_active_share": over(ads.never_active_share, tables.ads_clients_data, tables.ads_data),
@@ -301,6 +304,7 @@ ADS: dict[str, Query] = {
     "view_days_per_ad": over(ad_features.view_days_per_ad, tables.ads_data),
     "ad_features": over(ad_features.ad_features, tables.ads_data),
     "ad_features_event_grain": over(ad_features.event_features, tables.ads_data),
+    "ad_features_bucketed": over(ad_features.bucketed_event_features, tables.ads_data),
     "ad_features_two_joins": over(ad_features.event_features_two_tables, tables.ads_data),
 }
 
