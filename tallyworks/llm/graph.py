@@ -1,13 +1,44 @@
-"""Connected components of a stored graph, by alternating stars."""
+"""Connected components: of the links of one task by union-find, of a stored graph by alternating stars."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.sources.workspace import written
 
 
+class UnionFind:
+    """Components of nodes named by whole numbers; joins that connected nothing new are not links."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        top = x
+        while (above := self.up.get(top, top)) != top:
+            top = above
+        while (above := self.up.get(x, x)) != top:
+            self.up[x], x = top, above
+        return top
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        self.up[max(a, b)] = min(a, b)
+        return True
+
+
+def spanning(pairs: np.ndarray) -> np.ndarray:
+    """The pairs (rows of two nodes) without those that connect nothing new."""
+    if not len(pairs):
+        return pairs
+    found, pairs = UnionFind(), np.unique(pairs, axis=0)
+    return pairs[[found.join(a, b) for a, b in pairs.tolist()]]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node it is connected with) of every node of `edges` (a, b: long).
 

@@ -24,16 +24,18 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import bounded, free_name, join_hot, whole_text, with_fields
 from tallyworks.llm.encoding import runs
-from tallyworks.llm.graph import components
+from tallyworks.llm.graph import components, spanning
 from tallyworks.llm.workers import lean
 from tallyworks.sources.workspace import written
 
 WORDS = 5
 FREQUENT = 1 << 21  # shingles whose frequency is part of the order, at most; the most frequent ones
 FLUSH = 1_000_000  # shingles a task holds before it sends them on
-RUN_BYTES = 4 << 20  # texts are taken in runs of about this size
+RUN_BYTES = 1 << 20  # texts are taken in runs of about this size
 SPARSE = 16
-BLOCK_BYTES = 32 << 20  # sets of a group that one task compares, about
+HELD_LINKS = 1_000_000  # a task that asks holds so many before it drops those that connect nothing new
+BLOCK_BYTES = 1 << 19  # sets of a group that one task compares, about; larger groups are cut into blocks
+MOST_BLOCKS, MOST_BLOCK_BYTES = 256, 32 << 20  # more blocks only once they are as large as a task should hold
 
 
 class Threshold:
@@ -430,17 +432,20 @@ def typical(sets: DataFrame) -> DataFrame:
 
 
 def blocked(sets: DataFrame, name: str, block_bytes: int) -> DataFrame:
-    """`sets` with the column `name`: each group in order of size, cut into blocks of about `block_bytes`.
+    """`sets` with the column `name`: each group in order of size, cut into blocks of about `block_bytes`, larger ones
+    in groups that would have more than MOST_BLOCKS.
 
     Sets of one size are dealt by hash, so only sums over the sizes of a group are ordered.
     """
     n = F.octet_length("hashes")
     sizes = sets.groupBy("root", n.alias("_size")).agg(F.sum(n).alias("_bytes"))
     below = Window.partitionBy("root").orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_bytes").over(below), F.lit(0)))
+    fair = F.sum("_bytes").over(Window.partitionBy("root")) / MOST_BLOCKS
+    width = F.greatest(F.lit(block_bytes), F.least(fair, F.lit(MOST_BLOCK_BYTES)))
+    sizes = sizes.withColumns({"_before": F.coalesce(F.sum("_bytes").over(below), F.lit(0)), "_width": width})
     sizes = written(sizes.withColumnRenamed("root", "_root"), "sizes")
     share = F.pmod(F.xxhash64("node", F.lit(name)), F.lit(1 << 30)) / (1 << 30)
-    block = F.floor((F.col("_before") + F.col("_bytes") * share) / block_bytes)
+    block = F.floor((F.col("_before") + F.col("_bytes") * share) / F.col("_width"))
     rows = sets.join(bounded(sizes), (F.col("root") == F.col("_root")) & (n == F.col("_size")))
     return rows.select(*sets.columns, block.cast("long").alias(name))
 
@@ -468,21 +473,25 @@ def large_group_links(sets: DataFrame, threshold: Threshold, block_bytes: int) -
 
     The sets of a group are cut into blocks by size. The group's most typical set is asked in all blocks that
     can hold similar ones; then the sets that it does not reach, in slices of the same size as blocks. A task
-    has one block and one slice.
+    has one block and one slice, and returns links that connect what all that it found do: fewer than it has sets.
     """
 
     def ask(table: pa.Table) -> pa.Table:
         rows = table.select(["node", "asks", "hashes"]).to_pylist()
         members = {r["node"]: np.frombuffer(r["hashes"], "<u8") for r in rows if not r["asks"]}
         asking = {r["node"]: np.frombuffer(r["hashes"], "<u8") for r in rows if r["asks"]}
-        links = []
+        links = np.zeros((0, 2), np.int64)
         if members and asking:
             nodes, queries = sorted(members), sorted(asking)
             numbers, count = ranked([members[n] for n in nodes] + [asking[q] for q in queries])
-            trie = Trie(numbers[: len(nodes)], len(count), threshold)
+            trie, found, held = Trie(numbers[: len(nodes)], len(count), threshold), [links], 0
             for q, number in zip(queries, numbers[len(nodes) :], strict=True):
-                links += [(q, nodes[i]) for i in trie.similar_to(number) if nodes[i] != q]
-        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+                found.append(np.array([(q, nodes[i]) for i in trie.similar_to(number) if nodes[i] != q], np.int64).reshape(-1, 2))
+                held += len(found[-1])
+                if held > HELD_LINKS:
+                    found, held = [spanning(np.concatenate(found))], 0
+            links = spanning(np.concatenate(found))
+        return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
     sets = written(blocked(sets, "block", block_bytes), "blocks")
 
@@ -569,10 +578,11 @@ def one_of_each_group(docs: DataFrame, percent: int = 75, frequent: int = FREQUE
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, nodes = pc.fill_null(batch["text"], ""), []
+            texts = pc.fill_null(batch["text"], "")
             for start, n in runs(texts, RUN_BYTES):
-                nodes += [node_of(s) if len(s) else None for s in shingle_sets(texts.slice(start, n))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.int64())], [*batch.schema.names, own])
+                part = batch.slice(start, n)
+                nodes = [node_of(s) if len(s) else None for s in shingle_sets(texts.slice(start, n))]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nodes, pa.int64())], [*part.schema.names, own])
 
     marked = docs.mapInArrow(lean(mark), with_fields(docs, **{own: "long"}))
     same = marked["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(node))

@@ -7,8 +7,8 @@
 3. Signatures are cut into BANDS bands of equal length. Sets that agree in a band and do not differ too much in
    size are candidates. Two sets with a similarity of 0.8 agree in no band with a chance of
    (1 - 0.8^6)^48 = 5e-7, more similar ones with less; unrelated ones (0.01) agree in one with a chance of 5e-11.
-4. Candidates are not listed as pairs: members of a band are chained by size, in each task first, and
-   union-find leaves the spanning links only.
+4. Candidates are not listed as pairs: members of a band are chained by size, in each task first, a chain is held
+   together by links to one of its sets, and union-find leaves the spanning ones only.
 5. Connected candidates are compared on their full sets; the links that hold make the components.
 """
 
@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.encoding import runs
+from tallyworks.llm.graph import UnionFind, spanning
 from tallyworks.llm.jaccard import (
+    BLOCK_BYTES,
     RUN_BYTES,
     Threshold,
     bucket_bits,
@@ -43,9 +45,8 @@ from tallyworks.sources.workspace import written
 WORDS = 2
 BANDS, ROWS = 48, 6
 SLOTS = BANDS * ROWS
-BLOCK_BYTES = 2 << 20  # sets of a group that one task compares, about
 ELEMENTS = 8192  # shingles whose permutations are held together
-FLUSH = 10_000  # sets a task holds before it sends their bands on
+FLUSH = 4096  # sets a task holds before it sends their bands on
 SIZE_STEP = np.log(1.01)  # sizes are sent as whole numbers of this step, rounded down
 STRIDE = 0x9E3779B97F4A7C15
 GOLDEN, LOW = np.uint64(STRIDE), np.uint64(0xFFFFFFFF)
@@ -122,54 +123,29 @@ def bands(signature: np.ndarray, count: int = BANDS) -> np.ndarray:
     return h
 
 
-class UnionFind:
-    """Components of nodes named by whole numbers; joins that connected nothing new are not links."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        top = x
-        while (above := self.up.get(top, top)) != top:
-            top = above
-        while (above := self.up.get(x, x)) != top:
-            self.up[x], x = top, above
-        return top
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        if a == b:
-            return False
-        self.up[max(a, b)] = min(a, b)
-        return True
-
-
-def spanning(pairs: np.ndarray) -> np.ndarray:
-    """The pairs (rows of two nodes) without those that connect nothing new."""
-    if not len(pairs):
-        return pairs
-    found, pairs = UnionFind(), np.unique(pairs, axis=0)
-    return pairs[[found.join(a, b) for a, b in pairs.tolist()]]
-
-
 def chained(h: np.ndarray, node: np.ndarray, low: np.ndarray, high: np.ndarray, steps: int):
-    """Chains of the rows that share `h`, and the links (a, b) within them.
+    """Chains of the rows that share `h`, and the links (a, b) that hold each chain together.
 
     A row stands for sets of one chain with sizes from `low` to `high`. In order of the least size, a row goes
     on with the chain before it unless its least size is more than `steps` above all of that chain. Two sets
-    with one `h` whose sizes are that near are always in one chain. Returns the chains as rows again.
+    with one `h` whose sizes are that near are always in one chain. All rows of a chain are linked to its smallest
+    node, which the chains of other bands over the same sets mostly have too, so that their links are the same.
+    Returns the chains as rows again, named by that node.
     """
-    order = np.lexsort((node, low, h))
+    if not len(h):
+        return (h, node, low.astype(np.uint16), high.astype(np.uint16)), np.zeros((0, 2), np.int64)
+    order = np.lexsort((low, h))
     h, node, low, high = h[order], node[order], low[order].astype(np.int64), high[order].astype(np.int64)
-    group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-    span = int(high.max()) + steps + 2 if len(h) else 1
-    reach = np.maximum.accumulate(high + group * span) if len(h) else high  # of groups before: less than any low
-    joins = np.concatenate([[False], (h[1:] == h[:-1]) & (low[1:] + group[1:] * span <= reach[:-1] + steps)])[: len(h)]
-    links = np.stack([node[:-1][joins[1:]], node[1:][joins[1:]]], axis=1) if len(h) else np.zeros((0, 2), np.int64)
-    first = np.flatnonzero(~joins)
+    group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+    span = int(high.max()) + steps + 2
+    reach = np.maximum.accumulate(high + group * span)  # of groups before: less than any low
+    goes_on = (h[1:] == h[:-1]) & (low[1:] + group[1:] * span <= reach[:-1] + steps)
+    first = np.flatnonzero(np.concatenate([[True], ~goes_on]))
     ends = np.append(first[1:], len(h)) - 1
-    chains = (h[first], node[first], low[first].astype(np.uint16), (reach[ends] - group[ends] * span).astype(np.uint16))
-    return chains, links[links[:, 0] != links[:, 1]] if len(links) else links
+    least = np.minimum.reduceat(node, first)
+    links = np.stack([np.repeat(least, ends - first + 1), node], axis=1)
+    chains = (h[first], least, low[first].astype(np.uint16), (reach[ends] - group[ends] * span).astype(np.uint16))
+    return chains, links[links[:, 0] != links[:, 1]]
 
 
 def band_links(docs: DataFrame, threshold: Threshold, words: int = WORDS) -> DataFrame:
