@@ -1,9 +1,9 @@
 """Exact Jaccard join of word shingles: prefix filter for candidates, a prefix tree for the links.
 
 1. Every document becomes the sorted set of hashes of its distinct shingles; equal sets are one node.
-2. A global order puts frequent shingles last. Two sets that are similar enough share one of their first
-   n - ceil(t n) + 1 shingles in any common order. Sets that share one are candidates; their connected
-   groups are small, because frequent shingles hardly ever come that early.
+2. A global order puts shared shingles after unique ones, and frequent ones last. Two sets that are similar enough
+   share one of their first n - ceil(t n) + 1 shingles in any common order. Sets that share one are candidates;
+   their connected groups are small, because frequent shingles hardly ever come that early.
 3. The sets of a group go into a trie, the group's frequent shingles first. A query walks it with one running
    overlap for all sets below a node and leaves out subtrees whose sizes and remaining shingles cannot reach
    the threshold. One central set is asked first: whatever it links is one component already, and only sets
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,10 @@ from tallyworks.llm.workers import lean
 from tallyworks.sources.workspace import written
 
 WORDS = 5
-FREQUENT = 1 << 21  # shingles whose frequency is part of the order, at most; the most frequent ones
+FREQUENT = 1 << 20  # shingles whose frequency is part of the order, at most; the most frequent ones
+SHARED_BITS, MOST_SHARED = 21, 30  # bits of a bucket, and of all, that say which shingles several sets have: 2^21, 2^30
+SLOT_BITS = 24  # of a hash that count shingles within a bucket
+MATCH_BITS = 40  # of a hash that say within a bucket whether two sets share a shingle; a chance match is checked later
 FLUSH = 1_000_000  # shingles a task holds before it sends them on
 RUN_BYTES = 1 << 20  # texts are taken in runs of about this size
 SPARSE = 16
@@ -134,34 +138,85 @@ def bucket_bits(docs: DataFrame) -> int:
     return max(1, (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
-def by_bucket(bits: int, keys: np.ndarray, columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    """Rows of (bucket, packed columns): the first bits of the key say which bucket."""
+def by_bucket(bits: int, keys: np.ndarray, columns: list[np.ndarray], names: list[str], key_bits: int = 0) -> pa.RecordBatch:
+    """Rows of (bucket, packed columns): the first bits of the key say which bucket. With `key_bits`, the next so many
+    bits of the keys come first, as the column "slots" of their gaps; `names` has it too."""
     order = np.argsort(keys, kind="stable")
     bucket = (keys[order] >> np.uint64(64 - bits)).astype(np.int64)
     present, first = np.unique(bucket, return_index=True)
     ends = np.append(first[1:], len(bucket))
     packed = [pa.array([c[order[a:b]].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()) for c in columns]
+    if key_bits:
+        slots = keys[order] >> np.uint64(64 - bits - key_bits) & np.uint64((1 << key_bits) - 1)
+        packed.insert(0, pa.array([gaps_packed(slots[a:b]) for a, b in zip(first, ends, strict=True)], pa.binary()))
     return pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), *packed], ["bucket", *names])
 
 
+def gaps_packed(values: np.ndarray) -> bytes:
+    """Sorted unsigned numbers as their gaps, seven bits a byte, the last byte of each below 128."""
+    gap = np.diff(values, prepend=values.dtype.type(0))
+    size = np.ones(len(gap), np.int64)
+    for bits in range(7, 64, 7):
+        size += gap >= 1 << bits
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for k in range(int(size.max(initial=0))):
+        has = np.flatnonzero(size > k)
+        more = np.where(size[has] > k + 1, 128, 0)
+        out[ends[has] - size[has] + k] = (gap[has] >> gap.dtype.type(7 * k) & gap.dtype.type(127)).astype(np.uint8) | more.astype(np.uint8)
+    return out.tobytes()
+
+
+def gaps_unpacked(data: bytes) -> np.ndarray:
+    """The numbers that `gaps_packed` was given, with 64 bits."""
+    raw = np.frombuffer(data, np.uint8)
+    last = np.flatnonzero(raw < 128)
+    first = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+    place = np.arange(len(raw)) - np.repeat(first, last - first + 1)
+    parts = (raw & 127).astype(np.uint64) << (7 * place).astype(np.uint64)
+    return np.cumsum(np.add.reduceat(parts, first) if len(first) else parts, dtype=np.uint64)
+
+
 def unpacked(column: pa.ChunkedArray, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind)
 
 
-def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, `limit` of them at most: the first 32 + bits bits of their hashes in order,
-    and the logarithm of the number of sets they are in.
+@dataclass(frozen=True)
+class Order:
+    """How late a shingle comes in the global order: unique ones first, then those of several sets, at last the most
+    frequent ones by the logarithm of the number of sets."""
+
+    bits: int  # of a bucket
+    keys: np.ndarray  # the first SLOT_BITS + bits bits of the hashes of the most frequent shingles, in order
+    levels: np.ndarray
+    shared: np.ndarray  # a bit for each beginning of a hash that a shingle of several sets has
+    shared_bits: int  # length of such a beginning
 
-    All shingles of all distinct sets of a task are counted, as 32 bits in a bucket; there are as many buckets
-    as the data has shuffle partitions, so the chance that two shingles share a number stays the same.
+    def level(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(64 - self.shared_bits)
+        level = self.shared[at >> np.uint64(3)] >> (7 - (at & np.uint64(7)).astype(np.uint8)) & 1
+        if len(self.keys):
+            key = hashes >> np.uint64(64 - SLOT_BITS - self.bits)
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            level = np.where(self.keys[place] == key, self.levels[place] + 1, level)
+        return level
+
+
+def shingle_order(docs: DataFrame, limit: int = FREQUENT) -> Order:
+    """The order of the shingles of `docs`; `limit` is the number of the most frequent ones that have a level each.
+
+    All shingles of all distinct sets of a task are counted, as SLOT_BITS bits in a bucket; there are as many buckets
+    as the data has shuffle partitions, so the chance that two shingles share a number, and come in the order with the
+    sum of both, stays the same. The bits of those that several sets have grow with the buckets, up to MOST_SHARED.
+    Any order finds all links; one that puts fewer shared shingles first has fewer candidates.
     """
     bits = bucket_bits(docs)
-    share = max(1, limit >> bits)
+    share = max(1, limit >> bits) if limit else 0
+    own_bits = min(SHARED_BITS, max(0, MOST_SHARED - bits))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
-            h = np.concatenate(held)
-            return by_bucket(bits, h, [(h >> np.uint64(32 - bits)).astype(np.uint32)], ["slots"])
+            return by_bucket(bits, np.concatenate(held), [], ["slots"], SLOT_BITS)
 
         held, size = [], 0
         for _, hashes in distinct_sets(batches):
@@ -174,19 +229,32 @@ def frequent_shingles(docs: DataFrame, limit: int = FREQUENT) -> tuple[np.ndarra
             yield flush()
 
     def count(table: pa.Table) -> pa.Table:
-        slots, n = np.unique(unpacked(table["slots"], "<u4"), return_counts=True)
-        shared = np.flatnonzero(n > 1)
-        if len(shared) > share:
-            shared = np.sort(shared[np.argsort(-n[shared], kind="stable")[:share]])
-        keys = slots[shared].astype(np.uint64) | np.uint64(table["bucket"][0].as_py() << 32)
-        return pa.table({"keys": [keys.tobytes()], "level": [np.log2(n[shared]).astype(np.uint8).tobytes()]})
+        bucket = table["bucket"][0].as_py()
+        slots, n = np.unique(np.concatenate([gaps_unpacked(x) for x in table["slots"].to_pylist()]), return_counts=True)
+        several = np.flatnonzero(n > 1)
+        flags = np.zeros(max(8, 1 << own_bits), bool)
+        flags[slots[several] >> np.uint64(SLOT_BITS - own_bits)] = True
+        top = np.sort(several[np.argsort(-n[several], kind="stable")[:share]])
+        keys = slots[top] | np.uint64(bucket << SLOT_BITS)
+        return pa.table(
+            {
+                "bucket": [bucket],
+                "keys": [keys.tobytes()],
+                "level": [np.log2(n[top]).astype(np.uint8).tobytes()],
+                "shared": [np.packbits(flags).tobytes()],
+            }
+        )
 
     sent = texts_of(docs).mapInArrow(lean(send), "bucket long, slots binary")
-    found = sent.groupBy("bucket").applyInArrow(lean(count), "keys binary, level binary").collect()
+    counted = sent.groupBy("bucket").applyInArrow(lean(count), "bucket long, keys binary, level binary, shared binary")
+    found = counted.collect()  # at most FREQUENT keys, and 2^MOST_SHARED bits
     keys = np.concatenate([np.frombuffer(r["keys"], "<u8") for r in found] or [np.zeros(0, np.uint64)])
-    level = np.concatenate([np.frombuffer(r["level"], np.uint8) for r in found] or [np.zeros(0, np.uint8)])
+    levels = np.concatenate([np.frombuffer(r["level"], np.uint8) for r in found] or [np.zeros(0, np.uint8)])
+    shared = np.zeros((1 << bits, max(1, (1 << own_bits) >> 3)), np.uint8)
+    for row in found:
+        shared[row["bucket"]] = np.frombuffer(row["shared"], np.uint8)
     order = np.argsort(keys)
-    return keys[order], level[order]
+    return Order(bits, keys[order], levels[order], shared.reshape(-1), bits + own_bits)
 
 
 def candidate_links(docs: DataFrame, threshold: Threshold, limit: int = FREQUENT) -> DataFrame:
@@ -196,28 +264,23 @@ def candidate_links(docs: DataFrame, threshold: Threshold, limit: int = FREQUENT
     large to be similar to the one before, and so to any smaller one.
     """
     bits = bucket_bits(docs)
-    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, limit))
+    shared = docs.sparkSession.sparkContext.broadcast(shingle_order(docs, limit))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, levels = frequent.value
+        order = shared.value
 
         def flush():
             h = np.concatenate([x[0] for x in held])
             sizes = [len(x[0]) for x in held]
             nodes = np.repeat(np.array([x[1] for x in held], np.int64), sizes)
             n = np.repeat(np.array([x[2] for x in held], np.uint32), sizes)
-            return by_bucket(bits, h, [h, nodes, n], ["h", "node", "n"])
+            return by_bucket(bits, h, [nodes, n], ["slots", "node", "n"], MATCH_BITS)
 
         held, size = [], 0
         for node, hashes in distinct_sets(batches):
             first = threshold.prefix(len(hashes))
-            if len(keys):
-                key = hashes >> np.uint64(32 - bits)
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                level = np.where(keys[at] == key, levels[at], 0)
-                chosen = hashes[np.argsort(level, kind="stable")[:first]] if level.any() else hashes[:first]
-            else:
-                chosen = hashes[:first]
+            level = order.level(hashes)
+            chosen = hashes[np.argsort(level, kind="stable")[:first]] if level.any() else hashes[:first]
             held.append((chosen, node, len(hashes)))
             size += first
             if size >= FLUSH:
@@ -227,7 +290,8 @@ def candidate_links(docs: DataFrame, threshold: Threshold, limit: int = FREQUENT
             yield flush()
 
     def chain(table: pa.Table) -> pa.Table:
-        h, node, n = (unpacked(table[c], k) for c, k in (("h", "<u8"), ("node", "<i8"), ("n", "<u4")))
+        h = np.concatenate([gaps_unpacked(x) for x in table["slots"].to_pylist()])
+        node, n = unpacked(table["node"], "<i8"), unpacked(table["n"], "<u4")
         order = np.argsort(h, kind="stable")
         same = h[order][1:] == h[order][:-1]
         order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
@@ -238,7 +302,7 @@ def candidate_links(docs: DataFrame, threshold: Threshold, limit: int = FREQUENT
         pairs = np.unique(pairs, axis=0) if len(pairs) else pairs
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    sent = texts_of(docs).mapInArrow(lean(send), "bucket long, h binary, node binary, n binary")
+    sent = texts_of(docs).mapInArrow(lean(send), "bucket long, slots binary, node binary, n binary")
     return sent.groupBy("bucket").applyInArrow(lean(chain), "a long, b long")
 
 

@@ -75,6 +75,13 @@ def corpus(seed, groups=12, alone=40):
     return [*rows, (rows[20][0], rows[20][1]), (rows[21][0], "another text with the same id"), (None, rows[22][1]), (None, "x")]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, (1 << 64) - 1)), max_size=60))
+def test_gaps_come_back(values):
+    numbers = np.sort(np.array(values, np.uint64))
+    assert jaccard.gaps_unpacked(jaccard.gaps_packed(numbers)).tolist() == numbers.tolist()
+
+
 @pytest.mark.parametrize(
     ("seed", "frequent", "block_bytes"), [(1, 1 << 21, 32 << 20), (2, 4, 32 << 20), (3, 1 << 21, 1500), (4, 0, 4000)]
 )
