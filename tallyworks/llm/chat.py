@@ -9,40 +9,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyworks.llm.common import bounded, marked, placed_in_order, same
 from tallyworks.sources.workspace import written
 
 BLOCK_TURNS = 1024  # a conversation is worked on, and rendered, in parts of so many turns
+KEY = ["conv_id", "turn", "d1", "d2"]  # of a turn; the last two are hashes of role and text, together 128 bits
 
 
-def positions(turns: DataFrame) -> DataFrame:
-    """Distinct turns (conv_id, turn, role, text) with position (from 1) and part in their conversation, and n_turns.
-
-    Turns are ordered by number, role and text: all rows are dealt to ranges of that order and sorted there.
-    Ranges of a conversation only exchange their sizes, so a long one is spread over tasks, however often one
-    of its turn numbers, or none, occurs. Parts have BLOCK_TURNS rows.
-    """
+def digested(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text (missing ones empty) and the hashes d1 and d2 of role and text."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")),
-    ).distinct()
-    order = ["conv_id", "turn", "role", "text"]
-    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = written(rows.withColumn("_at", F.monotonically_increasing_id()), "turns")  # range, then place in it
-    rows = rows.withColumn("_range", F.shiftright("_at", 33))
-    sizes = rows.groupBy("conv_id", "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
-    running = Window.partitionBy("conv_id").orderBy("_range")
-    whole = Window.partitionBy("conv_id")
-    sizes = sizes.select(
-        F.col("conv_id").alias("_conv"),
-        F.col("_range").alias("_own"),
-        (F.sum("_n").over(running) - F.col("_n") - F.col("_first")).alias("_before"),
-        F.sum("_n").over(whole).alias("n_turns"),
     )
-    placed = rows.join(sizes, rows["conv_id"].eqNullSafe(sizes["_conv"]) & (rows["_range"] == sizes["_own"]))
-    placed = placed.withColumn("position", F.col("_before") + F.col("_at") + 1)
-    part = F.floor((F.col("position") - 1) / BLOCK_TURNS).cast("int")
-    return placed.withColumn("part", part).drop("_conv", "_own", "_range", "_before", "_at")
+    return rows.withColumns({f"d{i}": F.xxhash64(F.lit(i), F.length("role"), "role", "text") for i in (1, 2)})
+
+
+def positions(rows: DataFrame) -> DataFrame:
+    """The distinct turns of `rows` as KEY with position (from 1) and part in their conversation, and n_turns.
+
+    Turns are ordered by number, role and text. Only hashes are shuffled for that; the texts themselves only of turns
+    that share their number with another one of the conversation, since these alone are ordered by them. Parts have
+    BLOCK_TURNS turns, however often one turn number, or none, occurs.
+    """
+    keys = written(rows.select(*KEY).distinct(), "turns")
+    shared = keys.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("conv_id", "turn")
+    shared = marked(written(shared, "shared-numbers"), "conv_id", "turn")
+    texts = rows.join(bounded(shared), same(rows, shared, "conv_id", "turn"), "left_semi").distinct()
+    among = placed_in_order(texts, ["conv_id", "turn", "role", "text"], ["conv_id", "turn"], "rank")
+    among = marked(written(among.select(*KEY, "rank"), "ranks"), *KEY)
+    ranked = keys.join(bounded(among), same(keys, among, *KEY), "left").select(*KEY, F.coalesce("rank", F.lit(0)).alias("rank"))
+    placed = placed_in_order(ranked, ["conv_id", "turn", "rank"], ["conv_id"], "before")
+    part = F.floor(F.col("before") / BLOCK_TURNS).cast("int")
+    return placed.select(*KEY, (F.col("before") + 1).alias("position"), part.alias("part"), F.col("of_group").alias("n_turns"))
 
 
 def prefix_hashes(placed: DataFrame) -> DataFrame:
@@ -51,21 +51,17 @@ def prefix_hashes(placed: DataFrame) -> DataFrame:
     They are the exclusive or of the hashes of (position, role, text), first within a part, then over the
     parts before; whether turns are numbered from 0 or 1 makes no difference.
     """
-    def own(seed: int) -> Column:
-        return F.xxhash64(F.lit(seed), "position", F.length("role"), "role", "text")
-
     inner = Window.partitionBy("conv_id", "part").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    rows = placed.withColumns({"_h1": own(1), "_h2": own(2)})
+    rows = placed.withColumns({f"_h{i}": F.xxhash64(F.lit(i), "position", "d1", "d2") for i in (1, 2)})
     blocks = rows.groupBy("conv_id", "part").agg(F.bit_xor("_h1").alias("_x1"), F.bit_xor("_h2").alias("_x2"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     blocks = blocks.select(
-        F.col("conv_id").alias("_conv"),
-        F.col("part").alias("_part"),
-        *(F.coalesce(F.bit_xor(f"_x{i}").over(before), zero).alias(f"_b{i}") for i in (1, 2)),
+        "conv_id", "part", *(F.coalesce(F.bit_xor(f"_x{i}").over(before), zero).alias(f"_b{i}") for i in (1, 2))
     )
+    blocks = marked(blocks, "conv_id", "part")
     rows = rows.withColumns({f"_r{i}": F.bit_xor(f"_h{i}").over(inner) for i in (1, 2)})
-    rows = rows.join(blocks, rows["conv_id"].eqNullSafe(blocks["_conv"]) & (rows["part"] == blocks["_part"]))
+    rows = rows.join(blocks, same(rows, blocks, "conv_id", "part"))
     return rows.select(
         "conv_id", "position", "n_turns", *(F.col(f"_r{i}").bitwiseXOR(F.col(f"_b{i}")).alias(f"h{i}") for i in (1, 2))
     )
@@ -95,9 +91,34 @@ def chats(turns: DataFrame) -> DataFrame:
     number are ordered by role and text; missing roles and texts are empty, missing numbers come first. Rows
     without conv_id are one conversation, kept only if no other begins with or equals it.
     """
-    placed = written(positions(turns), "placed-turns")
-    kept = maximal(written(prefix_hashes(placed), "prefix-hashes")).withColumnRenamed("conv_id", "_kept")
-    rows = placed.join(kept, placed["conv_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    rows = digested(turns)
+    placed = written(positions(rows), "placed-turns")
+    kept = maximal(written(prefix_hashes(placed), "prefix-hashes")).select(F.col("conv_id").alias("conv_id_"))
+    kept = bounded(written(kept, "kept"))
+    chosen = placed.join(kept, same(placed, kept, "conv_id"), "left_semi")
+    ids = written(chosen.select("conv_id", "n_turns").distinct(), "chosen")
+    short = short_texts(rows, ids.where(F.col("n_turns") <= BLOCK_TURNS).select("conv_id"))
+    return short.unionByName(long_texts(rows, written(chosen.where(F.col("n_turns") > BLOCK_TURNS), "long")))
+
+
+def short_texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The conversations `ids` in the chat format, each of one part: their turns meet in one group and are sorted
+    there, so that a text is shuffled once."""
+    named = {"_id": F.coalesce("conv_id", F.lit(0)), "_none": F.col("conv_id").isNull()}
+    wanted = rows.withColumns(named).join(bounded(ids.select(*(c.alias(n) for n, c in named.items()))), list(named), "left_semi")
+    turns = F.array_sort(F.collect_set(F.struct("turn", "role", "text")))
+    found = wanted.groupBy(*named).agg(turns.alias("_turns"))
+    text = F.array_join(F.transform("_turns", lambda t: render(t["role"], t["text"])), "")
+    conv_id = F.when(~F.col("_none"), F.col("_id")).alias("conv_id")
+    return found.select(conv_id, F.lit(0).alias("part"), F.size("_turns").cast("long").alias("n_turns"), text.alias("text"))
+
+
+def long_texts(rows: DataFrame, placed: DataFrame) -> DataFrame:
+    """The turns in `placed`, of conversations with many, in the chat format part by part."""
+    ids = marked(bounded(written(placed.select("conv_id").distinct(), "long-ids")), "conv_id")
+    wanted, places = rows.join(ids, same(rows, ids, "conv_id"), "left_semi"), marked(placed, *KEY)
     turn = F.struct("position", render(F.col("role"), F.col("text")).alias("text"))
-    parts = rows.groupBy("conv_id", "part", "n_turns").agg(F.sort_array(F.collect_list(turn)).alias("_turns"))
+    parts = wanted.join(places, same(wanted, places, *KEY)).groupBy("conv_id", "part", "n_turns").agg(
+        F.array_sort(F.collect_set(turn)).alias("_turns")  # a set: copies of a turn have one place
+    )
     return parts.select("conv_id", "part", "n_turns", F.array_join(F.transform("_turns", lambda t: t["text"]), "").alias("text"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tallyworks.sources.workspace import written
+
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each; larger tables are joined by a shuffle
 
 
@@ -54,3 +58,36 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def same(a: DataFrame, b: DataFrame, *columns: str) -> Column:
+    """The two agree in the columns, of which `b` has copies that end in _; missing values agree too."""
+    equal = [a[c].eqNullSafe(b[f"{c}_"]) for c in columns]
+    return reduce(Column.__and__, equal)
+
+
+def marked(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{c}_" for c in columns})
+
+
+def placed_in_order(rows: DataFrame, order: list[str], group: list[str], name: str) -> DataFrame:
+    """The rows with `name`: how many rows of their group come before them in the given order, which begins with the
+    group's columns, and `of_group`, the number of rows in it.
+
+    All rows are dealt to ranges of that order and sorted there. Ranges of a group only exchange their sizes, so a
+    large one is spread over tasks.
+    """
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(rows.withColumn("_at", F.monotonically_increasing_id()), "ordered")  # range, then place in it
+    rows = rows.withColumn("_range", F.shiftright("_at", 33))
+    sizes = rows.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    running, whole = Window.partitionBy(*group).orderBy("_range"), Window.partitionBy(*group)
+    sizes = sizes.select(
+        *group,
+        "_range",
+        (F.sum("_n").over(running) - F.col("_n") - F.col("_first")).alias("_before"),
+        F.sum("_n").over(whole).alias("of_group"),
+    )
+    sizes = marked(sizes, *group, "_range")
+    found = rows.join(sizes, same(rows, sizes, *group, "_range"))
+    return found.select(*(rows[c] for c in rows.columns if c not in ("_at", "_range")), (F.col("_before") + F.col("_at")).alias(name), "of_group")
