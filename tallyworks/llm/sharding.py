@@ -7,10 +7,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyworks.llm.common import whole_text
+from tallyworks.llm.common import bounded, placed_in_order, whole_text
 from tallyworks.sources.workspace import written
 
 HASH_BITS = 60
@@ -84,9 +84,12 @@ def shards(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
     bits = F.when(F.col("depth") == 0, "").otherwise(F.expr(f"lpad(bin(shiftright(_hash, {HASH_BITS} - depth)), depth, '0')"))
     placed = placed.withColumn("shard", bits)
     fits = F.col("shard_bytes") <= limit
-    same = Window.partitionBy("_hash")
-    each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.max("n_bytes").over(same))))
-    number = F.row_number().over(same.orderBy("doc_id", "n_bytes")) - 1
-    paged = placed.where(~fits).withColumn("page", F.floor(number / each).cast("int"))
+    over = written(placed.where(~fits).withColumn("_row", F.monotonically_increasing_id()), "overflow")
+    # A hash with very many rows, which is one id or none, is numbered range by range, not in one window.
+    numbered = placed_in_order(over, ["_hash", "doc_id", "n_bytes", "_row"], ["_hash"], "_number")
+    largest = bounded(written(over.groupBy("_hash").agg(F.max("n_bytes").alias("_largest")), "largest"))
+    each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), F.col("_largest"))))
+    paged = numbered.join(largest, "_hash").withColumn("page", F.floor(F.col("_number") / each).cast("int"))
     whole = placed.where(fits).withColumn("page", F.lit(0))
-    return whole.unionByName(paged).select("doc_id", "n_bytes", "shard", "page", "depth", "shard_bytes")
+    columns = ["doc_id", "n_bytes", "shard", "page", "depth", "shard_bytes"]
+    return whole.select(*columns).unionByName(paged.select(*columns))

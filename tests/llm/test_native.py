@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
@@ -125,6 +126,7 @@ def test_one_and_no_document(spark):
 def test_next_row_for_any_number_of_ranges(spark):
     rng = random.Random(4)
     rows = [(rng.randrange(0, 200) if rng.random() < 0.9 else None, str(i)) for i in range(150)] + [(7, "a")] * 40
+    rows += [(2**62 + rng.randrange(99), f"far {i}") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1]))
     expected = sorted(((*r, ordered[(k + 1) % len(ordered)][1]) for k, r in enumerate(ordered)), key=str)
@@ -138,6 +140,77 @@ def test_next_row_for_any_number_of_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", was)
 
 
+def test_a_hot_id_has_several_ranges(spark):
+    """A third of the rows have one id, a third none; no range gets more than a few shares, and the order holds."""
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abcdé中😀", k=rng.randrange(0, 12))) for _ in range(3000)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bounds = fingerprints.range_bounds(docs, 20)
+    assert len(bounds) < 80 and min(sum(i == h for i, _ in bounds) for h in (None, 7)) > 6
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    expected = sorted(((*r, ordered[(k + 1) % len(ordered)][1]) for k, r in enumerate(ordered)), key=str)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 20)
+        found = fingerprints.with_next(docs, ["text"], docs.orderBy("doc_id", "text").limit(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert sorted(map(tuple, found), key=str) == expected
+    place = lambda r: (r[0] is not None, r[0] or 0, int.from_bytes(r[1].encode()[:6].ljust(6, b"\0")))
+    begins = [(i is not None, i or 0, p) for i, p in bounds]
+    sizes = [0] * (len(begins) + 1)
+    for row in rows:
+        sizes[sum(b <= place(row) for b in begins)] += 1
+    assert max(sizes) < 3 * 3000 / 20
+
+
+def test_near_copies_of_a_small_language_are_found(spark):
+    """Two documents in a thousand are in another language; its words are in the lexicon."""
+    rng = random.Random(6)
+    small = [f"ž{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(WORDS, k=30)) for _ in range(1996)] + [" ".join(rng.choices(small, k=80)) for _ in range(2)]
+    texts += [texts[-1] + " ž999", texts[-2].replace(" ", " ž998 ", 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bits = fingerprints.lexicon(docs)
+    pairs = spark.createDataFrame([(texts[-3], texts[-2]), (texts[-4], texts[-1]), (texts[-3], texts[-4])], "a string, b string")
+    for c in "ab":
+        pairs = fingerprints.with_fingerprint(pairs, c, bits, f"f{c}")
+    near = [r[0] for r in pairs.select(fingerprints.likeness(pairs["fa"], pairs["fb"])).collect()]
+    assert near[0] > 0.6 and near[1] > 0.6 and near[2] < 0.3
+
+
+def test_digests_and_likeness_by_brute_force(spark):
+    """The lexicon, the digests of its parts and the likeness, from sets of words in plain Python."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(60)], k=rng.randrange(1, 25))) for _ in range(80)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    bits = fingerprints.lexicon(docs, 0.05, 0.3)
+    count = Counter(w for t in texts for w in set(t.split()))
+    band = {w for w, n in count.items() if max(2, 0.05 * 80) <= n <= 0.3 * 80}
+    names = sorted(count)
+    hashes = spark.createDataFrame([(w,) for w in names], "w string").select(
+        "w", *(fingerprints.F.pmod(fingerprints.F.xxhash64(fingerprints.F.xxhash64("w"), fingerprints.F.lit(i)), fingerprints.F.lit(rate)).alias(f"l{i}") for i, rate in enumerate(fingerprints.RATES))
+    )
+    lexicons = [{r["w"] for r in hashes.where(f"l{i} = 0").collect()} & band for i in range(len(fingerprints.RATES))]
+    own = [[frozenset(set(t.split()) & lexicon) for lexicon in lexicons] for t in texts]
+    found = fingerprints.with_fingerprint(docs, "text", bits, "f").collect()
+    parts = {r["text"]: r["f"].split("-") for r in found}
+    by_digest = {}
+    for text, sets in zip(texts, own, strict=True):
+        for i, words in enumerate(sets):
+            assert (parts[text][i] == "") == (not words)
+            assert by_digest.setdefault((i, parts[text][i]), words) == words  # one digest, one set of words
+        assert (parts[text][-1] == "") == any(sets)
+    pairs = [(texts[i], texts[j]) for i in range(40) for j in range(i, 40, 7)]
+    said = spark.createDataFrame([(a, b, "-".join(parts[a]), "-".join(parts[b])) for a, b in pairs], "a string, b string, fa string, fb string")
+    at = {t: k for k, t in enumerate(texts)}
+    for row in said.select("a", "b", fingerprints.likeness(said["fa"], said["fb"]).alias("x")).collect():
+        both = [(x, y) for x, y in zip(own[at[row["a"]]], own[at[row["b"]]], strict=True) if x or y]
+        same = parts[row["a"]] == parts[row["b"]]
+        assert row["x"] == pytest.approx(1.0 if same else sum(x == y for x, y in both) / len(both) if both else 0.0)
+
+
 def test_lexicon_has_the_terms_of_the_band(spark):
     docs = spark.createDataFrame([(f"all w{i % 5} Half" if i % 2 else f"ALL only{i} w{i % 5}",) for i in range(20)], "text string")
     bits = fingerprints.lexicon(docs, 0.1, 0.5)
@@ -204,6 +277,18 @@ def test_shards_are_split_only_where_needed(spark, limit):
     assert sharding.shards(docs.limit(0), limit).count() == 0
 
 
+def test_overflow_pages_of_a_hot_id(spark):
+    rows = [(5 if i % 3 else i, "x" * (10 + i % 7)) for i in range(900)] + [(5, "y" * 10)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sharding.shards(docs, 200).collect()
+    pages = {}
+    for r in found:
+        pages.setdefault((r["shard"], r["page"]), []).append(r["n_bytes"])
+    assert len(found) == len(rows) and all(sum(p) <= 200 for p in pages.values())
+    hot = sorted(r["page"] for r in found if r["doc_id"] == 5)
+    assert set(hot) == set(range(max(hot) + 1)) and len(set(hot)) == -(-650 // (200 // 16))
+
+
 def test_native_plans_run_no_python(spark, sf_dir):
     for name in ("op2_chat", "op8_imatch", "op9_extendible_shards"):
         plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
