@@ -204,7 +204,10 @@ class Index:
         # Sums of products are at most the square of the largest length, so whole numbers below 2^53 stay exact.
         self.kind = np.float64 if not rows or longest < 1 << 53 else np.int64
         self.width = self.width or 0
-        drawn = vectors.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE_ROWS).select("v").collect()
+        # About twice the sample by hash first, so that tasks do not send a whole sample each.
+        draw, share = F.xxhash64("vec_id", "v"), min(1.0, (2 * SAMPLE_ROWS + 100) / max(1, rows))
+        some = vectors.where(F.pmod(draw, F.lit(1 << 30)) < int(share * (1 << 30)))
+        drawn = some.orderBy(draw, "vec_id").limit(SAMPLE_ROWS).select("v").collect()
         sample = np.zeros((len(drawn), self.width))
         for i, (v,) in enumerate(drawn):
             sample[i, : len(v)] = v
