@@ -65,7 +65,7 @@ class WaveletMatrix:
             packed = np.packbits(bits)
             raw = [packed[i : i + BLOCK].tobytes() for i in range(0, len(packed), BLOCK)]
             ones = np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), BLOCK), dtype=np.uint64)
-            blocks = [min(pack(b), b, key=len) for b in raw]
+            blocks = [min(b, pack(b), key=len) for b in raw]  # raw on a tie: full length means raw
             ends = np.cumsum([0, *map(len, blocks)])
             out += [
                 struct.pack("<QQ", n - int(ones.sum()), int(ends[-1])),
@@ -165,7 +165,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_
     The documents are range-partitioned by id. A task encodes its range and cuts it, between documents,
     into shards of at most `shard_tokens` ids (one longer document makes a larger shard); each shard is one
     row with its wavelet matrix, its document ids and their numbers of ids. Missing texts are empty,
-    missing ids come first, rows with the same id follow each other ordered by text.
+    missing ids come first, rows with the same id follow each other ordered by the beginning of the text, then as
+    the table has them; so many rows with one id, or none, or equal ones, are dealt to several tasks like others.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +207,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str, shard_
             yield shard()
 
     ranged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(docs).alias("text"))
-    ranged = ranged.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "_begins", "_row"]
+    ranged = ranged.withColumns({"_begins": F.substring("text", 1, 32), "_row": F.monotonically_increasing_id()})
+    ranged = ranged.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ranged.mapInArrow(lean(encode, encodes=True), SHARD_SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -110,6 +111,55 @@ def test_wavelet_matrix_over_several_blocks():
     assert [matrix.access(p) for p in (0, 65_535, 65_536, 199_999)] == ids[[0, 65_535, 65_536, 199_999]].tolist()
 
 
+def holds(ids):
+    """Whether decoding, access, counting and lookup agree with the plain sequence."""
+    matrix = wavelet.WaveletMatrix(wavelet.WaveletMatrix.build(ids))
+    assert matrix.decode().tolist() == ids.tolist()
+    for position in range(0, len(ids), 1 + len(ids) // 40):
+        assert matrix.access(position) == ids[position]
+    for token in np.unique(ids)[:: 1 + len(np.unique(ids)) // 10].tolist():
+        where = np.flatnonzero(ids == token)
+        assert matrix.count(token) == len(where)
+        assert matrix.count(token, len(ids) // 3, len(ids)) == int((where >= len(ids) // 3).sum())
+        assert [matrix.find(token, k) for k in (0, len(where) - 1, len(where))] == [where[0], where[-1], -1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 1 << 32), st.integers(500, 5000), st.sampled_from([0.3, 0.1, 0.02, 0.004]))
+def test_wavelet_matrix_of_skewed_sequences(seed, n, p):
+    holds(np.random.default_rng(seed).geometric(p, n).astype(np.uint32))
+
+
+def test_block_that_is_as_long_compressed_as_raw():
+    ids, ties = np.random.default_rng(7), 0
+    ids = ids.geometric(0.02, int(ids.integers(600, 1500))).astype(np.uint32)
+    current = np.searchsorted(np.unique(ids), ids)
+    for level in reversed(range(int(current.max()).bit_length())):
+        bits = (current >> level & 1).astype(bool)
+        block = np.packbits(bits).tobytes()
+        ties += len(zstandard.ZstdCompressor(level=1).compress(block)) == len(block)
+        current = np.concatenate([current[~bits], current[bits]])
+    assert ties  # else the sequence does not try what it should
+    holds(ids)
+
+
+def test_shards_of_an_empty_table_and_of_one_hot_id(spark):
+    path = new_folder(spark, "shards")
+    wavelet.write_shards(spark.createDataFrame([], "doc_id long, text string"), TOKENIZER, 2, path)
+    assert wavelet.read_documents(spark, path).count() == 0 and wavelet.shard_starts(spark, path).count() == 0
+    path = new_folder(spark, "shards")
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 5, id)) as doc_id", "repeat('word ', 30) as text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wavelet.write_shards(docs, TOKENIZER, 2, path, 2000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = wavelet.read_documents(spark, path)
+    most = max(r["count"] for r in found.groupBy("part").count().collect())
+    assert most < 1500  # 4 parts; two thirds of the rows have one id or none
+    assert found.count() == 3000 and found.where("doc_id is null").count() == 1000
+
+
 @pytest.mark.parametrize("shard_tokens", [5, 100_000])
 def test_shards_round_trip(spark, shard_tokens):
     docs, path = table(spark, ODD), new_folder(spark, "shards")
