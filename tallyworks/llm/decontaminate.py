@@ -24,18 +24,21 @@ from tallyworks.llm.encoding import runs
 from tallyworks.llm.workers import lean
 from tallyworks.sources.workspace import written
 
-ITEMS = 500  # benchmark items of one search; more are searched in blocks of so many
+ITEMS = 500  # benchmark items whose passages a task compares with its windows at once
 PASSAGE = 64  # words of a document passage, and of an item passage at most
 SCALES = ((64, 16), (24, 8))  # windows that are searched: words, words between their beginnings
+NARROW = (10, 3)  # the same for items of fewer than LEAST_WORDS words, which wider windows would drown
 RANK, EXTRA = 24, 8  # leading dimensions of the latent space, and more that the random projection takes
 RESIDUAL = 72  # random dimensions for what the leading ones leave
 STOP_SHARE = 0.01  # words in more than this share of all passages have no weight,
 OWN_WORDS = 8  # unless they are among so many rarest words of an item passage
 LEAST_WEIGHTED = 4  # words with a weight that a window must have to be compared, if all item passages have as many
-NEAR = 0.4  # cosine of a candidate, at least
+NEAR = 0.33  # cosine of a candidate, at least
 LEAK = 0.8  # share of an item's words in common order that makes a leak
 PARAPHRASE = 0.5  # the same where the passage also has the item's answer
 ANSWER_WORDS = 5  # an answer is the last sentence of an item, and so many words at least
+RUN_BYTES = 1 << 20  # texts and numbered words are taken in runs of about this size: a word needs 400 bytes and more
+WINDOWS, CHECKED = 10_000, 5_000  # windows that are compared, and candidates whose words are counted, at once
 LEAST_WORDS = 8  # items with fewer words say too little and match only as a whole
 
 SENTENCE = re.compile(r"[.!?\n]+")
@@ -128,7 +131,7 @@ def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
             return find(p, 0) if (p := plain(word)) else -1
 
         for batch in batches:
-            for first, n in runs(batch["text"], 4 << 20):
+            for first, n in runs(batch["text"], RUN_BYTES):
                 split, coded, listed = word_lists(batch["text"].slice(first, n).cast(pa.large_string()))
                 numbers = [find(w.lower(), 0) if w.isalnum() else marked(w) for w in listed]
                 at = np.array(numbers, np.int32)[coded.indices.to_numpy()]
@@ -150,7 +153,7 @@ def numbered(docs: DataFrame, number: dict[str, int]) -> DataFrame:
 def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """doc_ids, all words in a row, and the bounds of the documents in them."""
     for batch in batches:
-        for first, n in runs(batch["words"], 4 << 20):
+        for first, n in runs(batch["words"], RUN_BYTES):
             part = batch["words"].slice(first, n)
             sizes = pc.binary_length(part).to_numpy(zero_copy_only=False).astype(np.int64) // 4
             words = np.frombuffer(b"".join(part.to_pylist()), np.int32)
@@ -294,10 +297,11 @@ FOUND = "doc_id long, item_id long, start long, end long, share double, cosine d
 
 @dataclass(frozen=True)
 class Searched:
-    """Item passages with what the search needs of them, in arrays."""
+    """Passages of some items with what the search needs of them, in arrays over the words that they have."""
 
     passages: list[Passage]
-    table: np.ndarray  # latent vector of each word number
+    local: np.ndarray  # of each word number, its place among these words, 0 for others
+    table: np.ndarray  # latent vector of each of these words
     vectors: np.ndarray  # of each passage
     parts: np.ndarray  # passage x word: 1 for a weighted word of the passage, 3 for one of its answer
     answers: np.ndarray  # weighted words of each answer
@@ -308,13 +312,17 @@ class Searched:
 
     @staticmethod
     def of(passages: list[Passage], space: LatentSpace) -> Searched:
-        rare = np.zeros((len(passages), len(space.idf)), bool)
+        known = np.array(sorted({w for p in passages for w in p.words}), np.int64)
+        local = np.zeros(len(space.idf), np.int32)
+        local[known] = np.arange(1, len(known) + 1)
+        weight = np.concatenate([[0.0], space.idf[known]])
+        rare = np.zeros((len(passages), len(weight)), bool)
         answer = np.zeros_like(rare)
         for i, p in enumerate(passages):
-            rare[i, list(p.words)] = True
-            answer[i, list(p.words[len(p.words) - p.answer :])] = True
-        rare &= space.idf > 0
-        answer &= space.idf > 0
+            rare[i, local[list(p.words)]] = True
+            answer[i, local[list(p.words[len(p.words) - p.answer :])]] = True
+        rare &= weight > 0
+        answer &= weight > 0
         size = np.array([len(p.words) for p in passages])
         stops = np.array([sum(space.idf[w] == 0 for w in p.words) for p in passages])
         leak = np.where(size < LEAST_WORDS, size, np.ceil(LEAK * size)) - stops
@@ -323,7 +331,8 @@ class Searched:
         least = min(LEAST_WEIGHTED, int(rare.sum(1).min(initial=LEAST_WEIGHTED)))
         return Searched(
             passages,
-            space.table(),
+            local,
+            np.concatenate([np.zeros((1, space.axes.shape[1]), np.float32), space.table()[known]]),
             space.of(passages),
             parts,
             answer.sum(1),
@@ -336,31 +345,35 @@ class Searched:
     def near(self, words: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
         """document, passage, beginning and end of the part to check, and cosine of the windows of all scales that
         are near a passage and have enough of its weighted words around them."""
+        words = self.local[words]
         weighted = np.where(self.table.any(1)[words], words, 0)
         before = np.concatenate([[0], np.cumsum(weighted > 0)])  # weighted words before each position
         running = running_sums(self.table, weighted)
         found = [[np.zeros(0, np.int64)] * 5]
         for size, step in SCALES:
-            found += self._near(windows(bounds, size, step), bounds, weighted, before, running)
+            found += self._near(windows(bounds, size, step), bounds, weighted, before, running, np.arange(len(self.size)))
+        short = np.flatnonzero(self.size < LEAST_WORDS)
+        if len(short):
+            found += self._near(windows(bounds, *NARROW), bounds, weighted, before, running, short)
         return [np.concatenate(x) for x in zip(*found, strict=True)]
 
-    def _near(self, places, bounds, weighted, before, running):
+    def _near(self, places, bounds, weighted, before, running, among):
         doc, start, end = places
         worth = before[end] - before[start] >= self.least
         doc, start, end = doc[worth], start[worth], end[worth]
-        for first in range(0, len(doc), 50_000):
-            part = slice(first, first + 50_000)
+        for first in range(0, len(doc), WINDOWS):
+            part = slice(first, first + WINDOWS)
             inside = running[before[end[part]]] - running[before[start[part]]]
             inside /= np.maximum(np.linalg.norm(inside, axis=1), 1e-6)[:, None]
-            cosine = inside @ self.vectors.T
-            row, item = np.nonzero(cosine >= NEAR)
-            d, value = doc[part][row], cosine[row, item]
+            cosine = inside @ self.vectors[among].T
+            row, place = np.nonzero(cosine >= NEAR)
+            d, item, value = doc[part][row], among[place], cosine[row, place]
             margin = self.size[item] * 3 // 4
             a = np.maximum(bounds[d], start[part][row] - margin)
             b = np.minimum(bounds[d + 1], end[part][row] + margin)
             enough = np.zeros(len(row), bool)
-            for some in range(0, len(row), 20_000):
-                g = slice(some, some + 20_000)
+            for some in range(0, len(row), CHECKED):
+                g = slice(some, some + CHECKED)
                 at = a[g][:, None] + np.arange((b[g] - a[g]).max())
                 w = np.where(at < b[g][:, None], weighted[np.minimum(at, len(weighted) - 1)], 0)
                 said = self.parts[item[g][:, None], w]
@@ -374,23 +387,27 @@ class Searched:
 def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> DataFrame:
     """doc_id, item_id, start and end (words), share (of the passage's words in common order) and cosine of the
     leaks in numbered documents; at most one for each document and item passage, the nearest window that is one."""
-    shared = stored.sparkSession.sparkContext.broadcast(Searched.of(passages, space))
+    ids = sorted({p.item_id for p in passages})
+    blocks = [set(ids[i : i + ITEMS]) for i in range(0, len(ids), ITEMS)]
+    parts = [Searched.of([p for p in passages if p.item_id in block], space) for block in blocks]
+    shared = stored.sparkSession.sparkContext.broadcast(parts)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        masks = [p.masks() for p in wanted.passages]
+        searched = [(wanted, [p.masks() for p in wanted.passages]) for wanted in shared.value]
         for doc_ids, words, bounds in sequences(batches):
-            doc, item, start, end, cosine = wanted.near(words, bounds)
-            rows, done = [], None
-            for i in np.lexsort((-cosine, item, doc)):
-                key = doc[i], item[i]
-                if key == done:
-                    continue
-                passage = wanted.passages[item[i]]
-                share = leaks(passage, masks[item[i]], words[start[i] : end[i]].tolist())
-                if share:
-                    done, base = key, bounds[doc[i]]
-                    rows.append((doc[i], passage.item_id, start[i] - base, end[i] - base, share, float(cosine[i])))
+            rows = []
+            for wanted, masks in searched:
+                doc, item, start, end, cosine = wanted.near(words, bounds)
+                done = None
+                for i in np.lexsort((-cosine, item, doc)):
+                    key = doc[i], item[i]
+                    if key == done:
+                        continue
+                    passage = wanted.passages[item[i]]
+                    share = leaks(passage, masks[item[i]], words[start[i] : end[i]].tolist())
+                    if share:
+                        done, base = key, bounds[doc[i]]
+                        rows.append((doc[i], passage.item_id, start[i] - base, end[i] - base, share, float(cosine[i])))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.take(pa.array(columns[0], pa.int64()))]
@@ -405,30 +422,22 @@ def search(stored: DataFrame, passages: list[Passage], space: LatentSpace) -> Da
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The leaks of `benchmark` (item_id, text) in `docs` (doc_id, text): doc_id, item_id, start, end, share, cosine.
 
-    start and end are the word positions of the checked part of the document. Whole texts are searched. Items
-    are taken in blocks of ITEMS, each against all documents; rows without item_id or without a word are no
-    items. Repeated documents are found each; missing texts have no leaks; a missing doc_id stays missing.
+    start and end are the word positions of the checked part of the document. Whole texts are searched. The
+    benchmark is taken whole, by the driver and by every task: the documents are stored once as numbers of its words,
+    and read four times however many items there are; a task compares its windows with ITEMS items at once. Rows
+    without item_id or without a word are no items. Repeated documents are found each; missing texts have no leaks; a
+    missing doc_id stays missing.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    items = written(items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct(), "items")
-    found, after = None, None
-    while True:
-        block = items
-        if after is not None:
-            same = F.col("item_id") == after[0]
-            block = items.where((F.col("item_id") > after[0]) | (same & (F.col("text") > after[1])))
-        rows = [(r["item_id"], r["text"]) for r in block.orderBy("item_id", "text").limit(ITEMS).collect()]
-        known = sorted({w for _, text in rows for w in words_of(text)})
-        if known:
-            number = {w: i + 1 for i, w in enumerate(known)}
-            passages = passages_of(rows, number)
-            stored = written(numbered(docs, number), "numbered")
-            part = written(search(stored, passages, latent_space(stored, len(known), passages)), "leaks")
-            found = part if found is None else found.unionByName(part)
-        if len(rows) < ITEMS:
-            break
-        after = rows[-1]
-    return found if found is not None else docs.sparkSession.createDataFrame([], FOUND)
+    items = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
+    rows = sorted((r["item_id"], r["text"]) for r in items.collect())
+    known = sorted({w for _, text in rows for w in words_of(text)})
+    if not known:
+        return docs.sparkSession.createDataFrame([], FOUND)
+    number = {w: i + 1 for i, w in enumerate(known)}
+    passages = passages_of(rows, number)
+    stored = written(numbered(docs, number), "numbered")
+    return written(search(stored, passages, latent_space(stored, len(known), passages)), "leaks")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
