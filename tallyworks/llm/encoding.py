@@ -151,8 +151,9 @@ def by_word(file: dict) -> bool:
 
 
 def runs(texts: pa.Array, limit: int = TEXT_BYTES):
-    """(first, length) of runs of texts with about `limit` bytes; a longer text is a run of its own."""
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    """(first, length) of runs of texts with about `limit` bytes; a longer text is a run of its own, a missing one has
+    no bytes."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     first = 0
     while first < len(sizes):
         start = sizes[first - 1] if first else 0

@@ -446,7 +446,9 @@ def packed_sets(docs: DataFrame, members: DataFrame, words: int = WORDS) -> Data
                 yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), hashes], [*kept, "hashes"])
 
     types = dict(members.dtypes)
-    packed = member_texts(docs, members, words).mapInArrow(
+    # Stored in between: two steps in Python in one stage would need, and keep, two workers a core.
+    texts = written(member_texts(docs, members, words), "member-texts")
+    packed = texts.mapInArrow(
         lean(pack), ", ".join(f"{c} {types[c]}" for c in kept) + ", hashes binary"
     )
     return packed.dropDuplicates(["node"])

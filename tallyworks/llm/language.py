@@ -18,7 +18,7 @@ from tallyworks.llm.workers import lean
 BITS = 15
 DIMENSIONS = 1 << BITS  # hashed n-grams of one to three characters
 SCALE = 30.0  # sum of a text's TF-IDF weights
-RUN_BYTES = 1 << 20  # texts are taken in runs of about this size: an n-gram needs some 50 bytes for each character
+RUN_BYTES = 1 << 18  # texts are taken in runs of about this size: an n-gram needs some 70 bytes for each character
 NO_LETTERS = re.compile(r"[\W\d_]+")
 SAMPLE_DOCS = 1500  # documents of each language to learn from, at most
 SAMPLE_TOTAL = 8000
@@ -217,19 +217,20 @@ def predicted(docs: DataFrame, model: LanguageModel, names: tuple[str, str] = ("
         table[:-1, :-1] = learned.weights * learned.idf[:, None] * SCALE
         table[:-1, -1] = learned.idf
         for batch in batches:
-            predictions, values = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
-            texts = batch["text"].to_pylist()
-            rows = [i for i, t in enumerate(texts) if t and learned.languages and has_letter(t)]
-            some = pa.array([texts[i] for i in rows], pa.large_string())
-            for first, n in runs(some, RUN_BYTES):
-                found, starts = grams(some.slice(first, n).to_pylist())
-                sums = sum(np.add.reduceat(table[each], starts, axis=0, dtype=np.float64) for each in found)
-                p = learned.probabilities(sums[:, :-1] / sums[:, -1:] + learned.bias)
-                for i, k, value in zip(rows[first : first + n], p.argmax(1), p.max(1), strict=True):
-                    predictions[i], values[i] = learned.languages[k], value
-            yield pa.RecordBatch.from_arrays(
-                [*(batch[c] for c in kept), pa.array(predictions, pa.string()), pa.array(values)], [*kept, *names]
-            )
+            for first, n in runs(batch["text"], RUN_BYTES):  # only a run's texts are strings, and only its rows go on
+                part = batch.slice(first, n)
+                texts = part["text"].to_pylist()
+                predictions, values = [UNKNOWN] * n, np.zeros(n)
+                rows = [i for i, t in enumerate(texts) if t and learned.languages and has_letter(t)]
+                if rows:
+                    found, starts = grams([texts[i] for i in rows])
+                    sums = sum(np.add.reduceat(table[each], starts, axis=0, dtype=np.float64) for each in found)
+                    p = learned.probabilities(sums[:, :-1] / sums[:, -1:] + learned.bias)
+                    for i, k, value in zip(rows, p.argmax(1), p.max(1), strict=True):
+                        predictions[i], values[i] = learned.languages[k], value
+                yield pa.RecordBatch.from_arrays(
+                    [*(part[c] for c in kept), pa.array(predictions, pa.string()), pa.array(values)], [*kept, *names]
+                )
 
     rest = docs.select(*kept)
     return rest.mapInArrow(lean(predict), with_fields(rest, **dict(zip(names, ("string", "double"), strict=True))))

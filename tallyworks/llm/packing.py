@@ -16,7 +16,7 @@ from tallyworks.llm.common import whole_text
 from tallyworks.llm.encoding import encoder, runs
 from tallyworks.llm.workers import lean
 
-MEMO_WORDS, RUN_BYTES = 150_000, 2 << 20  # less memory than encoding takes by default: it runs after other stages
+MEMO_WORDS, RUN_BYTES = 100_000, 1 << 20  # less memory than encoding takes by default: it runs after other stages
 
 Pattern = tuple[tuple[int, ...], int]  # lengths of the pieces of one sequence, number of such sequences
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.llm.common import whole_text, with_fields
+from tallyworks.llm.encoding import runs
 from tallyworks.llm.workers import lean
 
 SAMPLE_DOCS = 4000  # labelled documents of each class to learn from, at most; half train, half calibrate
@@ -20,6 +21,7 @@ PIECE_CHARS = 512
 DICTIONARY_BYTES = 112_640
 CHUNK_BYTES = 2048  # a text is compressed in chunks, so that its own beginning cannot replace the dictionary
 LEVEL = 3
+RUN_BYTES = 1 << 20  # texts are taken in runs of about this size
 
 
 @dataclass(frozen=True)
@@ -105,7 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Quality
 
     measured = taught.where(calibrates).select("label", "text").mapInArrow(lean(measure), "label int, x0 double, x1 double")
     rows = np.array(sorted(tuple(r) for r in measured.collect()), float).reshape(-1, 3)
-    counts = {r[0]: r[1] for r in labels.groupBy(F.col(label).cast("int")).count().collect()}
+    known = labels.where(F.col(label).cast("int").isin(0, 1))
+    counts = {r[0]: r[1] for r in known.groupBy(F.col(label).cast("int")).count().collect()}
     return calibrated(model, rows[:, 1:], rows[:, 0], counts)
 
 
@@ -149,9 +152,10 @@ def scored(docs: DataFrame, model: QualityModel, name: str = "score") -> DataFra
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = model.compressors()
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            values = pa.array(model.score(features(texts, tools)))
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), values], [*kept, name])
+            for first, n in runs(batch["text"], RUN_BYTES):  # only a run's texts are strings, and only its rows go on
+                part = batch.slice(first, n)
+                values = pa.array(model.score(features([t or "" for t in part["text"].to_pylist()], tools)))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in kept), values], [*kept, name])
 
     rest = docs.select(*kept)
     return rest.mapInArrow(lean(score), with_fields(rest, **{name: "double"}))

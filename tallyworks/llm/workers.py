@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +13,8 @@ from tallyworks.llm import encoding
 
 
 def release() -> None:
-    """Give back what the allocators keep of freed memory."""
+    """Give back what unused cycles and the allocators keep."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
