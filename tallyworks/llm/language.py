@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyworks.llm.common import with_fields
 from tallyworks.llm.encoding import runs
-from tallyworks.llm.workers import lean
+from tallyworks.llm.workers import lean, release
+from tallyworks.sources.workspace import released
 
 BITS = 15
 DIMENSIONS = 1 << BITS  # hashed n-grams of one to three characters
@@ -123,7 +124,8 @@ def follow_the_leader(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndar
     order = np.random.default_rng(0)
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
-            at, x = np.append(rows[i][0], DIMENSIONS), np.append(rows[i][1], 1.0)  # the last one is the bias
+            at = np.append(rows[i][0].astype(np.int64), DIMENSIONS)  # the last one is the bias
+            x = np.append(rows[i][1].astype(float), 1.0)
             w = weights(at)
             error = softmax(x @ w)
             error[labels[i]] -= 1
@@ -193,12 +195,15 @@ def train(labelled: DataFrame) -> LanguageModel:
     chosen = sample.select("doc_id", "lang", checks.alias("checks"), "text")
     sparse = chosen.mapInArrow(lean(vectors), "doc_id long, lang string, checks boolean, at binary, x binary")
     found = sorted(sparse.collect(), key=lambda r: (r["doc_id"] is None, r["doc_id"], r["lang"], r["at"], r["x"]))
-    data = [(np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["x"], "<f4").astype(float)) for r in found]
+    data = [(np.frombuffer(r["at"], "<u2"), np.frombuffer(r["x"], "<f4")) for r in found]  # widened one at a time
     labels = np.array([languages.index(r["lang"]) for r in found], np.int64)
     held = np.array([bool(r["checks"]) for r in found], bool)
     pick = lambda mask: [d for d, m in zip(data, mask, strict=True) if m]
     weights, bias = follow_the_leader(pick(~held), labels[~held], len(languages))
-    logits = np.array([x @ weights[at] + bias for at, x in pick(held)]).reshape(-1, len(languages))
+    logits = np.array([x.astype(float) @ weights[at] + bias for at, x in pick(held)]).reshape(-1, len(languages))
+    del found, data
+    release()
+    released(spark)
     return LanguageModel(tuple(languages), idf, weights, bias, calibrate(logits, labels[held]))
 
 
