@@ -22,6 +22,7 @@ from tallyworks.sources.workspace import placed
 SEED = 42
 TRAIN_RATIO = 0.8
 PARALLEL_FITS = 4
+FITTED_ROWS = 40_000_000  # rows that the fits at one time hold together; more are fitted on in fewer fits at a time
 
 # The settings tried by the fit job that tunes all families in one grid.
 JOINT_GRID = {
@@ -121,18 +122,20 @@ def tune(
 ) -> TrainValidationSplitModel:
     """Fit every setting on 80 % of the rows, score on the rest, refit the winner on all rows.
 
-    The rows are placed by content first, because the split and the trees depend on where rows are.
+    The rows are placed by content first, because the split and the trees depend on where rows are. At most
+    `parallelism` settings are fitted at a time, fewer on many rows: each fit keeps its own copy of them.
     """
+    rows = placed(train, *(keys or train.columns)).persist()
+    at_once = max(1, min(parallelism, FITTED_ROWS // max(1, rows.count())))
     search = TrainValidationSplit(
         estimator=estimator,
         estimatorParamMaps=grid,
         evaluator=evaluator,
         trainRatio=TRAIN_RATIO,
-        parallelism=parallelism,
+        parallelism=at_once,
         collectSubModels=keep_models,
         seed=SEED,
     )
-    rows = placed(train, *(keys or train.columns)).persist()
     try:
         return search.fit(rows)
     finally:
