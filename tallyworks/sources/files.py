@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.sources.switching import switched
@@ -44,7 +46,8 @@ def csv_typed_scan(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame) -> DataFrame:
     """Position, name, type, rows, non-NULL rows and distinct values per column.
 
-    The distinct values of all columns are combined in the tasks, then spread by (column, value).
+    The counts are one aggregate; the distinct values are joined to them by position, so Spark leaves them out of a
+    plan that does not read them.
     """
     entries = [
         F.struct(
@@ -52,12 +55,32 @@ def column_profile(df: DataFrame) -> DataFrame:
             F.lit(name).alias("column_name"),
             F.lit(kind).alias("data_type"),
             F.count(F.lit(1)).alias("rows"),
-            F.count(F.col(name)).alias("non_null"),
-            F.count_distinct(F.col(name)).alias("distinct_values"),
+            F.count(F.col(f"`{name}`")).alias("non_null"),
+        )
+        for position, (name, kind) in enumerate(df.dtypes, start=1)
+    ]
+    counts = df.agg(F.array(*entries).alias("profile")).select(F.inline("profile"))
+    values = F.coalesce("distinct_values", F.lit(0).cast("bigint")).alias("distinct_values")
+    return counts.join(distinct_values(df), "position", "left").select(*counts.columns, values)
+
+
+def distinct_values(df: DataFrame) -> DataFrame:
+    """position and distinct_values of each column with values.
+
+    Values of one type share a column, so a row of the shuffle holds a value for each type, not for each column. Equal
+    values are dropped in the tasks, then spread by (column, value).
+    """
+    kinds = list(dict.fromkeys(kind for _, kind in df.dtypes))
+    entries = [
+        F.struct(
+            F.lit(position).alias("position"),
+            *(F.col(f"`{name}`").alias(f"v{i}") if k == kind else F.lit(None).cast(k).alias(f"v{i}") for i, k in enumerate(kinds)),
         )
         for position, (name, kind) in enumerate(df.dtypes, start=1)
     ]
-    return df.agg(F.array(*entries).alias("profile")).select(F.inline("profile"))
+    held = df.select(F.inline(F.array(*entries)))
+    present = reduce(Column.__or__, (F.col(f"v{i}").isNotNull() for i in range(len(kinds))))
+    return held.where(present).distinct().groupBy("position").agg(F.count(F.lit(1)).alias("distinct_values"))
 
 
 def csv_type_check(df: DataFrame) -> DataFrame:
