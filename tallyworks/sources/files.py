@@ -61,7 +61,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     ]
     counts = df.agg(F.array(*entries).alias("profile")).select(F.inline("profile"))
     values = F.coalesce("distinct_values", F.lit(0).cast("bigint")).alias("distinct_values")
-    return counts.join(distinct_values(df), "position", "left").select(*counts.columns, values)
+    return counts.join(F.broadcast(distinct_values(df)), "position", "left").select(*counts.columns, values)
 
 
 def distinct_values(df: DataFrame) -> DataFrame:
