@@ -59,6 +59,40 @@ def test_odd_texts():
     assert ids.tolist() == sum((ids_of(t) for t in texts), []) and counts.sum() == len(ids)
 
 
+class Asked:
+    """A model that notes which words it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.words = model, []
+
+    def tokenize(self, word):
+        self.words.append(word)
+        return self.model.tokenize(word)
+
+
+def test_frequent_words_are_encoded_once():
+    code = WordEncoder(LIBRARY, 100)
+    code.model = Asked(LIBRARY.model)
+    for i in range(40):
+        rare = " ".join("".join(chr(97 + int(d)) for d in f"{n:04}") for n in range(10 * i, 10 * i + 10))
+        texts = ["" if i % 3 == 2 else "Alpha alpha, ALPHA; Beta beta. gamma", rare]
+        ids, counts = code.encode(pa.array(texts), end=0)
+        expected = [[*ids_of(t), 0] for t in texts]
+        assert counts.tolist() == [len(x) for x in expected] and ids.tolist() == sum(expected, [])
+    assert all(sum(w.startswith(known) for w in code.model.words) == 1 for known in ("alpha", "beta", "gamma"))
+
+
+def test_every_plain_letter_and_mark():
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [*letters, *(f"{a}{b}x" for a in letters for b in "aZéÖ"), *(f"Word{a}{b}" for a in marks for b in marks)]
+    code = WordEncoder(LIBRARY, 1000)
+    for _ in range(2):  # the second time from the memo, as far as it goes
+        ids, counts = code.encode(pa.array(texts))
+        expected = [ids_of(t) for t in texts]
+        assert counts.tolist() == [len(x) for x in expected] and ids.tolist() == sum(expected, [])
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model"])
 def test_other_tokenizers_count_text_by_text(spark, name):
     path = public_tokenizers.path(name)
