@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import with_fields
 from tallyworks.llm.encoding import runs
 from tallyworks.llm.workers import lean, release
-from tallyworks.sources.workspace import released
+from tallyworks.sources.workspace import released_everywhere
 
 BITS = 15
 DIMENSIONS = 1 << BITS  # hashed n-grams of one to three characters
@@ -203,7 +203,7 @@ def train(labelled: DataFrame) -> LanguageModel:
     logits = np.array([x.astype(float) @ weights[at] + bias for at, x in pick(held)]).reshape(-1, len(languages))
     del found, data
     release()
-    released(spark)
+    released_everywhere(spark)
     return LanguageModel(tuple(languages), idf, weights, bias, calibrate(logits, labels[held]))
 
 

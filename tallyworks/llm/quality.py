@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyworks.llm.common import whole_text, with_fields
 from tallyworks.llm.encoding import runs
 from tallyworks.llm.workers import lean, release
-from tallyworks.sources.workspace import released
+from tallyworks.sources.workspace import released_everywhere
 
 SAMPLE_DOCS = 4000  # labelled documents of each class to learn from, at most; half train, half calibrate
 PIECES = 8000  # pieces of each class that make its dictionary, at most
@@ -111,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Quality
     known = labels.where(F.col(label).cast("int").isin(0, 1))
     counts = {r[0]: r[1] for r in known.groupBy(F.col(label).cast("int")).count().collect()}
     release()
-    released(docs.sparkSession)
+    released_everywhere(docs.sparkSession)
     return calibrated(model, rows[:, 1:], rows[:, 0], counts)
 
 
