@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import StringIndexer
+from pyspark.ml.feature import SQLTransformer, StringIndexer
 from pyspark.ml.tuning import TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,10 +119,25 @@ def family_report(spark: SparkSession, results: list[FamilyResult]) -> DataFrame
 def score_ads(spark: SparkSession, model_path: str, input_path: str, output_path: str, replace: bool = False) -> None:
     """The scoring job: stored model, Parquet in, CSV of ad_id and prediction out, a row for each row."""
     model = PipelineModel.load(model_path)
-    predicted = model.transform(spark.read.parquet(input_path))
+    try:
+        predicted = model.transform(spark.read.parquet(input_path))
+    except Exception:
+        drop_views_of(model, spark)
+        raise
     write_csv(predicted.select("ad_id", "prediction"), output_path, replace=replace)
 
 
+def drop_views_of(model: PipelineModel, spark: SparkSession) -> None:
+    """Drop the temporary views that SQL stages of the model leave when they fail, on rows without one of their columns."""
+    for stage in model.stages:
+        if isinstance(stage, PipelineModel):
+            drop_views_of(stage, spark)
+        elif isinstance(stage, SQLTransformer):
+            for view in spark.catalog.listTables():
+                if view.isTemporary and view.name.startswith(f"{stage.uid.lower()}_"):
+                    spark.catalog.dropTempView(view.name)
+
+
 def quick_ctr_model(train: DataFrame, family: str = "dt") -> PipelineModel:
     return Pipeline(stages=[assembler(middle_columns(train)), regressors()[family]]).fit(placed(train))
 
