@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -93,6 +94,28 @@ def test_same_components_as_brute_force(spark, seed, frequent, block_bytes):
     assert sorted(map(tuple, found), key=key) == sorted(brute(rows), key=key)
 
 
+def test_order_is_small_on_its_way_through_the_driver(spark):
+    """Its bits, 2^21 for each shuffle partition, are few among many unless the data has many shared shingles."""
+    texts = [" ".join(f"w{i * 20 + k}" for k in range(20)) for i in range(300)]
+    docs = spark.createDataFrame([(i, t + more) for i, t in enumerate(texts) for more in ("", " and more")], "doc_id long, text string")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        order = jaccard.shingle_order(docs, 64)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    handed_on = pickle.dumps(order)
+    assert len(handed_on) < 200_000
+    first = jaccard.shingle_sets(pa.array(texts[:2]))[0]
+    for _ in range(2):  # the second time the bits are there
+        assert order.level(first).min() >= 1
+        lone = jaccard.shingle_sets(pa.array([" ".join(f"lone{k}" for k in range(400))]))[0]
+        assert np.count_nonzero(order.level(lone)) <= 1
+    later = pickle.loads(handed_on)
+    assert np.array_equal(later.level(first), order.level(first))
+    assert len(order.flags()) == 256 * (1 << 21) // 8 == len(later.flags())
+
+
 def test_members_meet_only_their_own_text(spark):
     texts = [" ".join(f"w{i * 7 + k}" for k in range(12)) for i in range(30)]
     rows = [(None, t) for t in texts] + [(5, t + " more") for t in texts] + [(9, texts[0] + " again")] * 4 + [(9, " ")]
