@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from tallyworks.llm import jaccard
 from tallyworks.llm.graph import components
 from tallyworks.llm.queries import QUERIES
+from tallyworks.sources import workspace
 
 
 def shingles(text):
@@ -147,6 +148,41 @@ def test_tasks_of_a_large_group_are_bounded(spark):
     assert len(asked) < 2 * 400 * 400  # and not everything everywhere
 
 
+@pytest.mark.parametrize("block_bytes", [32 << 20, 6000])
+def test_texts_of_groups_are_moved_once(spark, monkeypatch, block_bytes):
+    """Near copies of all documents: texts go to the tasks that compare them as they are, and only groups that no task
+    can hold are stored, once. With what was stored and shuffled besides, disk was six times the input."""
+    plans = {}
+
+    def written(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return workspace.written(df, label)
+
+    monkeypatch.setattr(jaccard, "written", written)
+    rows = corpus(11, groups=30, alone=0)
+    rows = [r for i, r in enumerate(rows) if r not in rows[:i]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.similar_groups(docs, 75, block_bytes=block_bytes).collect()
+    key = lambda r: tuple((x is None, x) for x in r)
+    assert sorted(map(tuple, found), key=key) == sorted(brute(rows), key=key)
+    large = {"member-texts", "large-groups"}
+    assert plans.keys() & {*large, "blocks", "queries"} == (large if block_bytes == 6000 else set())
+    assert plans["small-links"].count("Exchange hashpartitioning") == 1
+    assert "hashes" not in plans["small-links"]
+    assert "Exchange" not in plans.get("large-groups", "")
+
+
+def test_buckets_follow_the_number_of_shingles(spark):
+    """However few shuffle partitions there are; numbers of many shingles in few buckets would not tell them apart."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * 20 + k}" for k in range(20))) for i in range(50)], "doc_id long, text string")
+    assert [jaccard.bucket_bits(docs, n) for n in (0, 1, 4 << 21, (4 << 21) + 1, 1 << 31, 1 << 60)] == [2, 2, 2, 3, 10, 16]
+    assert jaccard.shingles_of(jaccard.set_table(docs)) == 50 * 16
+    assert jaccard.shingles_of(jaccard.set_table(docs.limit(0))) == 0
+    order = jaccard.shingle_order(docs, 64, 1 << 30)
+    assert order.bits == 9 and order.shared_bits == 30
+    assert jaccard.candidate_links(docs.unionAll(docs), jaccard.Threshold(75), 64, 1 << 30).count() == 0
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.similar_groups(docs).count() == 0
