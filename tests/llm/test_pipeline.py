@@ -142,6 +142,20 @@ def test_one_document_of_each_group_stays(spark):
     assert not any(sets.similar(len(a & b), len(a), len(b)) for i, a in enumerate(texts) for b in texts[:i])
 
 
+def test_documents_are_read_once_more_only_for_rows_that_come_again(spark):
+    from test_jaccard import corpus as near_copies
+
+    rows = [(i, t) for i, (_, t) in enumerate(near_copies(12))]
+    kept = {}
+    for name, given in (("once", rows), ("again", [*rows, *rows])):
+        found = jaccard.one_of_each_group(spark.createDataFrame(given, "doc_id long, text string"), 75)
+        steps = found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+        assert steps == {"once": 1, "again": 2}[name]
+        kept[name] = sorted(map(tuple, found.collect()))
+    words = lambda found: [r for r in found if (r[1] or "").split()]
+    assert words(kept["once"]) == words(kept["again"]) and len(words(kept["once"])) < len(words(rows))
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark):
     path = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{path}/documents.parquet").withColumn("score", docs_score())
