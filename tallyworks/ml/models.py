@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.ml import checks, ranking, replay
+from tallyworks.ml.forests import NestedForestClassifier
 from tallyworks.ml.tuning import (
     FOREST_GRID,
     SEED,
@@ -321,7 +322,7 @@ def port_check(passenger_rows: DataFrame) -> DataFrame:
 def tune_port_forest(passenger_rows: DataFrame, settings: dict[str, list] | None = None):
     """The fitted search for the best forest for the three-valued target, by validation accuracy, and its rows."""
     train, _ = split_rows(written(port_vectors(passenger_rows), "port-vectors"))
-    forest = RandomForestClassifier(labelCol="type", numTrees=10, seed=SEED)
+    forest = NestedForestClassifier(labelCol="type", numTrees=10, seed=SEED)
     grid = grid_of(forest, settings or FOREST_GRID)
     return tune(forest, grid, accuracy("type"), train, keep_models=True, keys=[KEY]), train
 
